@@ -1,9 +1,10 @@
 """Batches that become visible all at once.
 
 Files of a batch go to ``<root>/<table>/batch_id=<id>``; one row in
-``<root>/manifest/batch_id=<id>`` is written last. Readers keep only batches the
-manifest names, so a batch that failed half-way is never seen, and its retry
-replaces the files. A committed batch is not written again.
+``<root>/manifest/batch_id=<id>`` is written last. Readers open only folders of
+batches the manifest names, so a batch that failed half-way is never seen, and its
+retry replaces the files. A committed batch is not written again, not even after it
+was retired.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from eventmere.schemas import TABLES
 from eventmere.sources import paths
-from eventmere.sources.tables import Tables
+from eventmere.sources.tables import Tables, from_reader
 
 MANIFEST = T.StructType(
     [T.StructField("committed_at", T.TimestampType()), T.StructField("batch_id", T.StringType())]
@@ -28,7 +29,10 @@ def batch_folder(root: str, table: str, batch_id: str) -> str:
 
 
 def is_committed(spark: SparkSession, root: str, batch_id: str) -> bool:
-    return paths.exists(spark, f"{batch_folder(root, 'manifest', batch_id)}/_SUCCESS")
+    """Whether the batch was ever committed, retired ones included."""
+    return any(
+        paths.exists(spark, f"{batch_folder(root, state, batch_id)}/_SUCCESS") for state in ("manifest", "retired")
+    )
 
 
 def commit(spark: SparkSession, root: str, batch_id: str, write_files: Callable[[], None]) -> bool:
@@ -41,24 +45,31 @@ def commit(spark: SparkSession, root: str, batch_id: str, write_files: Callable[
     return True
 
 
-def committed(spark: SparkSession, root: str) -> DataFrame:
-    """Manifest rows: one per visible batch."""
-    folder = f"{root}/manifest"
-    if not paths.exists(spark, folder):
-        return spark.createDataFrame([], MANIFEST)
-    return spark.read.schema(MANIFEST).parquet(folder)
+def committed_ids(spark: SparkSession, root: str) -> list[str]:
+    """Ids of visible batches, from folder names: one per run, whatever its size."""
+    folders = paths.finished_folders(spark, f"{root}/manifest")
+    return [name.removeprefix("batch_id=") for name in folders if name.startswith("batch_id=")]
+
 
+def visible(
+    spark: SparkSession, root: str, table: str, schema: T.StructType, only: list[str] | None = None
+) -> DataFrame:
+    """Rows of one table in committed batches; ``batch_id`` is a folder column.
 
-def visible(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
-    """Rows of one table in committed batches; ``batch_id`` is a folder column."""
-    folder = f"{root}/{table}"
+    Only these batches' folders are listed and opened. Sorting them out by a join
+    with the manifest could send all rows of a large batch to one task.
+    """
     full = schema if "batch_id" in schema.fieldNames() else T.StructType(
         [*schema.fields, T.StructField("batch_id", T.StringType())]
     )
-    if not paths.exists(spark, folder):
+    ids = committed_ids(spark, root)
+    if only is not None:
+        ids = sorted(set(ids) & set(only))
+    if not ids:
         return spark.createDataFrame([], full)
-    rows = spark.read.schema(full).parquet(folder)
-    return rows.join(committed(spark, root).select("batch_id"), "batch_id", "left_semi").select(*full.fieldNames())
+    folders = [batch_folder(root, table, batch_id) for batch_id in ids]
+    rows = spark.read.schema(full).option("basePath", f"{root}/{table}").parquet(*folders)
+    return rows.select(*full.fieldNames())
 
 
 def write_tables(frames: dict[str, DataFrame], root: str, batch_id: str) -> None:
@@ -71,13 +82,25 @@ def commit_tables(spark: SparkSession, frames: dict[str, DataFrame], root: str,
     return commit(spark, root, batch_id, lambda: write_tables(frames, root, batch_id))
 
 
-def read_tables(spark: SparkSession, root: str, batch_ids: list[str] | None = None) -> Tables:
-    """The committed tables; with ``batch_ids`` the scan lists only those folders' rows."""
+def read_tables(spark: SparkSession, root: str, only: list[str] | None = None) -> Tables:
+    """The committed tables, or those of some batches."""
+    return from_reader(lambda name: _read_table(spark, root, name, only))
+
+
+def _read_table(spark: SparkSession, root: str, name: str, only: list[str] | None) -> DataFrame:
+    if not paths.exists(spark, f"{root}/{name}"):
+        return spark.createDataFrame([], TABLES[name].schema)
+    return visible(spark, root, name, TABLES[name].schema, only)
+
 
-    def read(name: str) -> DataFrame:
-        df = visible(spark, root, name, TABLES[name].schema)
-        if batch_ids is not None:
-            df = df.filter(F.col("batch_id").isin(batch_ids))
-        return df.select(*TABLES[name].columns)
+def retire(spark: SparkSession, root: str, batch_ids: list[str]) -> None:
+    """Drop whole batches: remembered as retired, then out of the manifest, then deleted.
 
-    return Tables(**{name: read(name) for name in TABLES})
+    Each step can be repeated, so a run that was interrupted is finished by the next.
+    """
+    for batch_id in batch_ids:
+        row = spark.range(1, numPartitions=1).select(F.current_timestamp().alias("committed_at"))
+        row.write.mode("overwrite").parquet(batch_folder(root, "retired", batch_id))
+        paths.delete_folder(spark, batch_folder(root, "manifest", batch_id))
+        for name in TABLES:
+            paths.delete_folder(spark, batch_folder(root, name, batch_id))

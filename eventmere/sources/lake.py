@@ -11,13 +11,15 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmere.functions import days, labels
 from eventmere.operators.dedupe import earliest_value
 from eventmere.schemas import COMMON_COLUMNS, KIND_COLUMNS, LAKE, WIDE, record_columns
-from eventmere.sources import batches
+from eventmere.sources import batches, paths
 
 DATA = "data"
+SOURCES = "sources"
 
 
 def with_folders(records: DataFrame) -> DataFrame:
@@ -40,9 +42,13 @@ def only_kind_columns(records: DataFrame) -> DataFrame:
     return records.select(*kept)
 
 
-def write_batch(spark: SparkSession, records: DataFrame, root: str, batch_id: str) -> bool:
+def write_batch(
+    spark: SparkSession, records: DataFrame, root: str, batch_id: str, sources: DataFrame | None = None
+) -> bool:
     """Archive records as one batch; False when the batch is already archived.
 
+    ``sources`` (batch_id) names the table batches the records came from.
+
     Rows are rebalanced by folder before writing: AQE splits a folder that holds a
     large share of the rows over several tasks and merges small ones, so file
     counts follow data size and no task gets a whole hot kind or day.
@@ -52,6 +58,9 @@ def write_batch(spark: SparkSession, records: DataFrame, root: str, batch_id: st
 
     def write_files() -> None:
         rows.write.mode("overwrite").partitionBy("kind", "dt").parquet(batches.batch_folder(root, DATA, batch_id))
+        if sources is not None:
+            names = sources.select(F.col("batch_id").alias("source_id")).coalesce(1)
+            names.write.mode("overwrite").parquet(batches.batch_folder(root, SOURCES, batch_id))
 
     return batches.commit(spark, root, batch_id, write_files)
 
@@ -94,6 +103,13 @@ def read(spark: SparkSession, root: str, once: bool = False) -> DataFrame:
     return rows
 
 
+def archived_sources(spark: SparkSession, root: str) -> DataFrame:
+    """Ids of the table batches that committed archive batches hold."""
+    if not paths.exists(spark, f"{root}/{SOURCES}"):
+        return spark.createDataFrame([], "source_id string")
+    return batches.visible(spark, root, SOURCES, T.StructType([T.StructField("source_id", T.StringType())]))
+
+
 def read_kind(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """One kind with its own columns; other kinds' folders are not opened."""
     rows = batches.visible(spark, root, DATA, LAKE).filter(F.col("kind") == kind)

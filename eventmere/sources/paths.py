@@ -33,6 +33,18 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
 
 
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path whose write has ended."""
+    fs, hadoop_path = _file_system(spark, f"{path}/*/_SUCCESS")
+    found = fs.globStatus(hadoop_path)
+    return sorted(s.getPath().getParent().getName() for s in found or [])
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def matches(spark: SparkSession, pattern: str) -> bool:
     """Whether any file fits a glob."""
     fs, hadoop_path = _file_system(spark, pattern)

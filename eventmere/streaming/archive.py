@@ -8,6 +8,7 @@ archiving a batch needs no other.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmere.operators import archive
@@ -45,7 +46,21 @@ def archive_stream(
         # At most batches_per_step short ids, to let the scan open only their folders.
         ids = [row["batch_id"] for row in commits.collect()]
         records = archive.wide(batches.read_tables(session, root, ids))
-        lake.write_batch(session, records, lake_root, batch_id)
+        lake.write_batch(session, records, lake_root, batch_id, sources=commits)
         lake.write_metrics(session, lake_root, batch_id)
 
     return each_batch(watch_commits(spark, root, batches_per_step), checkpoint, handle, trigger)
+
+
+def purge_archived(spark: SparkSession, root: str, lake_root: str) -> list[str]:
+    """Drop the table batches the lake holds; returns their ids.
+
+    An event committed later than the archive run is in a later batch and stays.
+    With nothing archived nothing is dropped. No rows are read or rewritten.
+    """
+    live = batches.committed_ids(spark, root)
+    archived = lake.archived_sources(spark, lake_root).filter(F.col("source_id").isin(live)).distinct()
+    # Ids of live batches only, so not more than there are.
+    ids = sorted(row["source_id"] for row in archived.collect())
+    batches.retire(spark, root, ids)
+    return ids
