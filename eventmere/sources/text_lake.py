@@ -1,5 +1,7 @@
 """Lake kept as text files: ``<base>/<kind>/<YYYY-MM-DD>/<any>.csv``.
 
+Folders named ``kind=<kind>`` and ``dt=<day>`` are read as well.
+
 Kinds have different columns, and a text scan fills columns by position, so each
 kind is read with its own columns and the results are joined by name.
 """
@@ -37,12 +39,15 @@ def read_text(
     large files are split.
     """
     limits = days.parse_range(start, end)
-    wanted = f"{{{','.join(days.day_list(*limits))}}}" if limits else "*"
+    wanted = "*"
+    if limits:
+        wanted = f"{{{','.join(f'{day},dt={day}' for day in days.day_list(*limits))}}}"
     frames = []
-    for kind in paths.child_folders(spark, base):
+    for folder in paths.child_folders(spark, base):
+        kind = folder.removeprefix("kind=")
         names = (headers or {}).get(kind, record_columns(kind))
         schema = T.StructType([TEXT_RECORD[name] for name in names])
-        frames.append(_read_kind(spark, f"{base}/{kind}", wanted, schema, line_breaks))
+        frames.append(_read_kind(spark, f"{base}/{folder}", wanted, schema, line_breaks))
     if not frames:
         return spark.createDataFrame([], T.StructType([*TEXT_RECORD.fields, *_FOLDERS.fields]))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -67,8 +72,8 @@ def _read_kind(spark: SparkSession, folder: str, wanted: str, schema: T.StructTy
     place = F.col("_metadata.file_path")
     return reader.csv(path).select(
         *schema.fieldNames(),
-        F.regexp_extract(place, r"/([^/]+)/[^/]+/[^/]+$", 1).alias("kind"),
-        F.regexp_extract(place, r"/([^/]+)/[^/]+$", 1).try_cast("date").alias("dt"),
+        F.regexp_extract(place, r"/(?:kind=)?([^/]+)/[^/]+/[^/]+$", 1).alias("kind"),
+        F.regexp_extract(place, r"/(?:dt=)?([^/]+)/[^/]+$", 1).try_cast("date").alias("dt"),
     )
 
 

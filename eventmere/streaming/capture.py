@@ -18,7 +18,7 @@ def watch_parquet(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """Stream of a parquet folder's files, or of a single file.
 
