@@ -44,18 +44,16 @@ def follow_up_tasks(raw: DataFrame) -> DataFrame:
 
 def _broken_rule() -> Column:
     """First declared rule of its tables an event breaks on its own, else NULL."""
-    checks = []
+    cases = []
     for kind, table in [(None, "master_event_logs"), *DETAIL_OF_KIND.items()]:
-        applies = F.lit(True) if kind is None else F.coalesce(F.col("event_type") == kind, F.lit(False))
+        applies = "" if kind is None else f"event_type = '{kind}' AND "
         spec = TABLES[table]
-        for column in spec.required:
-            checks.append((applies & F.col(column).isNull(), f"missing {column}"))
-        for column, limit in spec.max_length.items():
-            checks.append((applies & (F.length(column) > limit), f"too long {column}"))
-    reason = F.lit(None).cast("string")
-    for broken, text in reversed(checks):
-        reason = F.when(broken, F.lit(text)).otherwise(reason)
-    return reason
+        cases += [f"WHEN {applies}{column} IS NULL THEN 'missing {column}'" for column in spec.required]
+        cases += [
+            f"WHEN {applies}length({column}) > {limit} THEN 'too long {column}'"
+            for column, limit in spec.max_length.items()
+        ]
+    return F.expr(f"CASE {' '.join(cases)} END")
 
 
 def judge(raw: DataFrame, users: DataFrame | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmere.schemas import TABLES
@@ -21,9 +21,9 @@ def _rows(counts: DataFrame, rules: list[tuple[str, str, str, str]]) -> DataFram
 def _row_rules(name: str, df: DataFrame) -> DataFrame | None:
     """NOT NULL and length rules of a table, all in one pass."""
     spec = TABLES[name]
-    checks: list[tuple[str, str, Column]] = [("not_null", c, F.col(c).isNull()) for c in spec.required]
-    checks += [("max_length", c, F.length(c) > limit) for c, limit in spec.max_length.items()]
-    counts = df.agg(*[F.count_if(broken).alias(f"v{i}") for i, (_, _, broken) in enumerate(checks)])
+    checks = [("not_null", c, f"{c} IS NULL") for c in spec.required]
+    checks += [("max_length", c, f"length({c}) > {limit}") for c, limit in spec.max_length.items()]
+    counts = df.agg(*[F.expr(f"count_if({broken}) AS v{i}") for i, (_, _, broken) in enumerate(checks)])
     return _rows(counts, [(name, rule, column, f"v{i}") for i, (rule, column, _) in enumerate(checks)])
 
 

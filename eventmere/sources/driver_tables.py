@@ -7,7 +7,7 @@ filters and projections that the scan can prune.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmere.functions import labels
@@ -36,45 +36,43 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _pick(values: tuple, index: Column) -> Column:
-    choice = F.lit(values[-1])
-    for i, value in enumerate(values[:-1]):
-        choice = F.when(index == i, F.lit(value)).otherwise(choice)
-    return choice
-
-
-def _event_type() -> Column:
-    kind = F.col("event_type")
-    for source, target in KIND_NAMES.items():
-        kind = F.when(F.col("event_type") == source, F.lit(target)).otherwise(kind)
-    return kind
+def _pick(values: tuple, index: str) -> str:
+    """SQL for the value at an index."""
+    listed = " ".join(f"WHEN {i} THEN {value!r}" for i, value in enumerate(values))
+    return f"CASE {index} {listed} END"
+
+
+_KIND = "CASE event_type {} ELSE event_type END".format(
+    " ".join(f"WHEN '{source}' THEN '{target}'" for source, target in KIND_NAMES.items())
+)
+_PAYMENT = "event_type = 'purchase'"
+_STALL = "event_type = 'error'"
+_FAILED = "floor(value) % 5 = 0"
+
+# SQL text, as each Column call costs a round trip to the JVM and there are many.
+_RAW_COLUMNS = {
+    "event_id": "event_id",
+    "user_id": f"{USERS_FROM} + event_id - event_id % {EVENTS_PER_USER}",
+    "creator_id": f"1 + event_id % {CREATORS}",
+    "event_type": _KIND,
+    "created_at": "ts",
+    "lecture_id": f"CASE WHEN event_type IN ('view', 'click', 'error') THEN 1 + event_id % {LECTURES} END",
+    "referrer": f"CASE WHEN event_type = 'view' THEN {_pick(REFERRERS, f'(floor(value) + event_id) % {len(REFERRERS)}')} END",
+    "buffering_duration": f"CASE WHEN {_STALL} THEN 3 + floor(value) % 28 END",
+    "user_agent": f"CASE WHEN {_STALL} THEN {_pick(AGENTS, f'event_id % {len(AGENTS)}')} END",
+    "order_id": f"CASE WHEN {_PAYMENT} THEN 'ORD-' || event_id END",
+    "amount": f"CASE WHEN {_PAYMENT} THEN {_pick(AMOUNTS, f'event_id % {len(AMOUNTS)}')} END",
+    "status": f"CASE WHEN {_PAYMENT} THEN CASE WHEN {_FAILED} THEN 'FAIL' ELSE 'SUCCESS' END END",
+    "error_code": f"CASE WHEN {_PAYMENT} AND {_FAILED} THEN "
+    "CASE WHEN event_id % 2 = 0 THEN 'PG_TIMEOUT' ELSE 'CARD_DENIED' END END",
+}
 
 
 def raw_events(events: DataFrame) -> DataFrame:
     """One incoming event per source row; columns a kind does not have are NULL."""
-    number = F.col("event_id")
-    whole = F.floor("value")
-    kind = _event_type()
-    is_payment = kind == "payment"
-    is_buffering = kind == "video_buffering"
-    failed = whole % 5 == 0
-    error = F.when(number % 2 == 0, F.lit("PG_TIMEOUT")).otherwise(F.lit("CARD_DENIED"))
-    columns = {
-        "event_id": number.cast("string"),
-        "user_id": F.lit(USERS_FROM) + number - number % EVENTS_PER_USER,
-        "creator_id": F.lit(1) + number % CREATORS,
-        "event_type": kind,
-        "created_at": F.col("ts").cast("timestamp"),
-        "lecture_id": F.when(kind.isin("page_view", "cart_add", "video_buffering"), F.lit(1) + number % LECTURES),
-        "referrer": F.when(kind == "page_view", _pick(REFERRERS, (whole + number) % len(REFERRERS))),
-        "buffering_duration": F.when(is_buffering, F.lit(3) + whole % 28),
-        "user_agent": F.when(is_buffering, _pick(AGENTS, number % len(AGENTS))),
-        "order_id": F.when(is_payment, F.concat(F.lit("ORD-"), number.cast("string"))),
-        "amount": F.when(is_payment, _pick(AMOUNTS, number % len(AMOUNTS))),
-        "status": F.when(is_payment, F.when(failed, F.lit("FAIL")).otherwise(F.lit("SUCCESS"))),
-        "error_code": F.when(is_payment & failed, error),
-    }
-    return events.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in RAW_EVENT.fields])
+    return events.selectExpr(
+        *[f"CAST({_RAW_COLUMNS[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in RAW_EVENT.fields]
+    )
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
@@ -101,13 +99,12 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def _tasks(payments: DataFrame) -> DataFrame:
-    number = F.col("event_id").cast("bigint")
-    return payments.filter(F.col("status") == "SUCCESS").select(
-        number.alias("task_id"),
+    return payments.filter("status = 'SUCCESS'").selectExpr(
+        "CAST(event_id AS BIGINT) AS task_id",
         "order_id",
-        F.when(number % 3 == 0, F.lit("PENDING")).otherwise(F.lit("DONE")).alias("status"),
-        (number % 4).cast("int").alias("retry_count"),
-        F.col("created_at").alias("updated_at"),
+        "CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 THEN 'PENDING' ELSE 'DONE' END AS status",
+        "CAST(CAST(event_id AS BIGINT) % 4 AS INT) AS retry_count",
+        "created_at AS updated_at",
     )
 
 
@@ -115,11 +112,12 @@ def users(raw: DataFrame) -> DataFrame:
     """Everyone who acts or is acted on, joined at their earliest event."""
 
     def people(key: str, role: str) -> DataFrame:
+        person, who = F.col("user_id"), F.lit(role)
         return raw.groupBy(F.col(key).alias("user_id")).agg(F.min("created_at").alias("joined_at")).select(
-            "user_id",
-            labels.role_email(F.lit(role), F.col("user_id")).alias("email"),
-            labels.role_name(F.lit(role), F.col("user_id")).alias("name"),
-            F.lit(role).alias("role"),
+            person,
+            labels.role_email(who, person).alias("email"),
+            labels.role_name(who, person).alias("name"),
+            who.alias("role"),
             "joined_at",
         )
 
