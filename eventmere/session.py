@@ -34,7 +34,9 @@ def cluster_session(app_name: str = "eventmere") -> SparkSession:
     return builder.getOrCreate()
 
 
-def local_session(cores: str = "8", app_name: str = "eventmere-local") -> SparkSession:
+def local_session(
+    cores: str = "8", app_name: str = "eventmere-local", settings: dict[str, str] | None = None
+) -> SparkSession:
     """Small session for tests and the bench."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -44,7 +46,7 @@ def local_session(cores: str = "8", app_name: str = "eventmere-local") -> SparkS
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
     )
-    for key, value in RESULT_SETTINGS.items():
+    for key, value in {**RESULT_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -5,11 +5,8 @@ from eventmere.session import local_session
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
     folder = tmp_path_factory.mktemp("shared")
-    SparkSession.builder.config("spark.checkpoint.dir", str(folder))
-    session = local_session("4", "eventmere-tests")
+    session = local_session("4", "eventmere-tests", {"spark.checkpoint.dir": str(folder)})
     session.conf.set("spark.sql.shuffle.partitions", "4")
     session.sparkContext.setLogLevel("ERROR")
     yield session
