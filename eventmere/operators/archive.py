@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmere.functions import labels
-from eventmere.schemas import KINDS, WIDE, record_columns
+from eventmere.schemas import COMMON_COLUMNS, KINDS, WIDE, record_columns
 from eventmere.sources.tables import Tables
 
 
@@ -62,27 +62,27 @@ def _with_payment(events: DataFrame, tables: Tables) -> DataFrame:
 
 def wide(tables: Tables, cutoff: datetime | Column | None = None) -> DataFrame:
     """All events up to the cutoff with every archive column."""
-    events = up_to(tables.master_event_logs, cutoff)
-    return _with_payment(_with_lecture(events, tables), tables).select(*WIDE.fieldNames())
+    return _records(up_to(tables.master_event_logs, cutoff), tables, WIDE.fieldNames())
 
 
 def of_kind(tables: Tables, kind: str, cutoff: datetime | Column | None = None) -> DataFrame:
     """Records of one kind with that kind's columns; only the joins they need are made."""
     label = labels.kind_of(F.col("event_type"))
     events = up_to(tables.master_event_logs, cutoff).filter(label == kind)
-    return _narrow(events, tables, record_columns(kind))
+    return _records(events, tables, record_columns(kind))
 
 
 def of_other_kinds(tables: Tables, cutoff: datetime | Column | None = None) -> DataFrame:
     """Records of unlisted kinds: the common columns, no join."""
     label = labels.kind_of(F.col("event_type"))
-    events = up_to(tables.master_event_logs, cutoff).filter(~label.isin(*KINDS))
-    return _narrow(events, tables, record_columns(""))
+    return up_to(tables.master_event_logs, cutoff).filter(~label.isin(*KINDS)).select(*COMMON_COLUMNS)
 
 
-def _narrow(events: DataFrame, tables: Tables, columns: list[str]) -> DataFrame:
+def _records(events: DataFrame, tables: Tables, columns: list[str]) -> DataFrame:
+    joined = events.filter(F.col("event_id").isNotNull())
     if "lecture_id" in columns:
-        events = _with_lecture(events, tables)
+        joined = _with_lecture(joined, tables)
     if "order_id" in columns:
-        events = _with_payment(events, tables)
-    return events.select(*columns)
+        joined = _with_payment(joined, tables)
+    joined = joined.select(*columns)
+    return joined.unionByName(events.filter(F.col("event_id").isNull()), allowMissingColumns=True)

@@ -74,6 +74,12 @@ def judge(raw: DataFrame, users: DataFrame | None = None) -> DataFrame:
     return judged.select(*raw.columns, "reject_reason")
 
 
+def unknown_people(raw: DataFrame, users: DataFrame) -> DataFrame:
+    """Ids of acting users and creators that are not known, each once."""
+    ids = raw.select("user_id").unionByName(raw.select(F.col("creator_id").alias("user_id"))).distinct()
+    return ids.filter(F.col("user_id").isNotNull()).join(users.select("user_id"), "user_id", "left_anti")
+
+
 def accept(raw: DataFrame, users: DataFrame | None = None, stored: Tables | None = None) -> DataFrame:
     """Events that can be stored whole: an event that breaks a rule goes with all its parts.
 

@@ -26,10 +26,10 @@ SCALE_SETTINGS = {
 }
 
 
-def cluster_session(app_name: str = "eventmere") -> SparkSession:
+def cluster_session(app_name: str = "eventmere", settings: dict[str, str] | None = None) -> SparkSession:
     """Session for a large cluster; master and checkpoint folder come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**RESULT_SETTINGS, **SCALE_SETTINGS}.items():
+    for key, value in {**RESULT_SETTINGS, **SCALE_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

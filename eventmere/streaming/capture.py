@@ -91,7 +91,10 @@ def capture(
         if batches.is_committed(spark, root, batch_id):
             return
         stored = batches.read_tables(spark, root)
-        accepted = ingest.accept(batch, users, stored)
+        # Nearly always everyone is known. Seeing that from the few distinct ids
+        # saves two shuffles of the whole batch by user and by creator.
+        checked = users is not None and not ingest.unknown_people(batch, users).isEmpty()
+        accepted = ingest.accept(batch, users if checked else None, stored)
         # Six tables are written from it. Lost blocks are computed again, and give
         # the same rows: ties are broken by all columns.
         accepted.persist(StorageLevel.MEMORY_AND_DISK)

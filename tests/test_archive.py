@@ -15,6 +15,8 @@ def mixed(spark):
     # A payment that also has a cart detail, and a task of an unknown order.
     log.rows["cart_add_details"].append(("p1", 8))
     log.task("ORD-none", "PENDING")
+    # An event without id next to details without one.
+    log.event(None, 3, 1, "page_view").rows["page_view_details"].append((None, 2, "x"))
     return log.tables(spark)
 
 
@@ -23,7 +25,7 @@ def test_wide_equals_the_plain_chain_of_joins(spark):
     names = WIDE.fieldNames()
     got = values(archive.wide(tables), *names)
     assert got == values(literal_forms.wide(tables), *names)
-    assert len(got) == 11
+    assert len(got) == 12
 
 
 def test_wide_equals_the_plain_chain_on_given_tables(spark):
@@ -42,7 +44,7 @@ def test_kinds_are_the_wide_rows_with_their_own_columns(spark):
 
 def test_upper_case_kind_is_archived_with_its_kind(spark):
     rows = values(archive.of_kind(mixed(spark), "page_view"), "event_id", "event_type")
-    assert rows == [("odd", "Page_View"), ("v", "page_view")]
+    assert rows == [(None, "page_view"), ("odd", "Page_View"), ("v", "page_view")]
 
 
 def test_an_order_with_very_many_tasks(spark):

@@ -3,8 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+
 from eventmere.operators import archive
 from eventmere.plans import catalog, facts, reports
 from eventmere.sources import driver_tables, lake, paths
@@ -68,18 +70,40 @@ def test_top_creators_need_no_full_sort(spark):
     assert "TakeOrderedAndProject" in plan(catalog.queries()["dash_top_creators_by_buffering"](spark, SF))
 
 
+def below(text: str, pattern: str) -> list[str]:
+    """Subtrees of a printed plan whose first line fits."""
+    lines = text.splitlines()
+    trees = []
+    for i, line in enumerate(lines):
+        if re.search(pattern, line):
+            depth = re.search(r"\w|\*", line).start()
+            end = next((j for j in range(i + 1, len(lines)) if re.search(r"\w|\*", lines[j]).start() <= depth), len(lines))
+            trees.append("\n".join(lines[i:end]))
+    return trees
+
+
+def final(df) -> str:
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
 def test_events_without_order_are_not_shuffled_by_order(spark, no_broadcast):
     """Otherwise all events but payments would meet in the task of the NULL order."""
+    trees = below(final(archive.wide(driver_tables.tables(spark, SF))), r"Exchange hashpartitioning\(order_id")
+    assert len(trees) == 2
+    for tree in trees:
+        scans = [line for line in tree.splitlines() if "FileScan" in line]
+        assert scans and all("EqualTo(event_type,purchase)" in line for line in scans)
+
+
+def test_orders_with_several_tasks_share_the_shuffles(spark, no_broadcast):
     live = driver_tables.tables(spark, SF)
-    payments = live.payment_details.select("order_id").count()
-    df = archive.wide(live)
-    df.collect()
-    text = plan(df)
-    for line in text.splitlines():
-        if "hashpartitioning(order_id" in line:
-            assert "rows" not in line or str(payments) in line
-    joins = re.findall(r"SortMergeJoin \[order_id#\d+\], \[order_id#\d+\], (\w+)", text)
-    assert joins and joins[0] in ("LeftOuter", "Inner")
+    more = live.payment_tasks.filter("task_id % 10 = 0").withColumn("task_id", F.col("task_id") + 10**6)
+    df = archive.wide(live.with_tables(payment_tasks=live.payment_tasks.unionByName(more)))
+    text = final(df)
+    assert df.count() == live.master_event_logs.count() + more.count()
+    reused = [line for line in text.splitlines() if "ReusedExchange" in line and "hashpartitioning(event_id" in line]
+    assert len(reused) >= 4  # the parent log and three details
 
 
 def test_write_spreads_hot_folders(spark):
