@@ -43,19 +43,14 @@ def _key_rules(tables: Tables, target: tuple[str, str]) -> DataFrame:
         for i, (name, c) in enumerate(sources)
     ]
     values = reduce(lambda a, b: a.unionByName(b), tagged).filter(F.col("_value").isNotNull())
-    per_value = values.groupBy("_value").agg(
-        *[F.count_if(F.col("_source") == i).alias(f"n{i}") for i in range(len(sources))]
-    )
-    zero = F.lit(0).cast("bigint")
-    orphans = [
-        F.coalesce(F.sum(F.when(F.col("n0") == 0, F.col(f"n{i}"))), zero).alias(f"v{i}")
-        for i in range(1, len(sources))
-    ]
-    surplus = F.coalesce(F.sum(F.greatest(F.col("n0") - 1, F.lit(0))), zero).alias("v0")
+    numbered = range(len(sources))
+    per_value = values.groupBy("_value").agg(*[F.expr(f"count_if(_source = {i}) AS n{i}") for i in numbered])
+    sums = ["greatest(n0 - 1, 0)", *[f"CASE WHEN n0 = 0 THEN n{i} ELSE 0 END" for i in numbered[1:]]]
+    counts = per_value.agg(*[F.expr(f"coalesce(sum({broken}), 0L) AS v{i}") for i, broken in enumerate(sums)])
     unique_rule = "primary_key" if TABLES[table].primary_key == column else "unique"
     rules = [(table, unique_rule, column, "v0")]
     rules += [(name, "foreign_key", c, f"v{i}") for i, (name, c) in enumerate(sources) if i > 0]
-    return _rows(per_value.agg(surplus, *orphans), rules)
+    return _rows(counts, rules)
 
 
 def _own_event_keys(tables: Tables) -> DataFrame:
@@ -66,12 +61,8 @@ def _own_event_keys(tables: Tables) -> DataFrame:
     tagged = [tables[name].select("event_id", F.lit(i).alias("_source")) for i, name in enumerate(details)]
     keys = reduce(lambda a, b: a.unionByName(b), tagged).filter(F.col("event_id").isNotNull())
     copies = keys.groupBy("event_id", "_source").agg((F.count("*") - 1).alias("_extra"))
-    counts = copies.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("_source") == i, F.col("_extra"))), F.lit(0).cast("bigint")).alias(f"v{i}")
-            for i in range(len(details))
-        ]
-    )
+    extra = "CASE WHEN _source = {0} THEN _extra END"
+    counts = copies.agg(*[F.expr(f"coalesce(sum({extra.format(i)}), 0L) AS v{i}") for i in range(len(details))])
     return _rows(counts, [(name, "primary_key", "event_id", f"v{i}") for i, name in enumerate(details)])
 
 

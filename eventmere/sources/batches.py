@@ -96,11 +96,14 @@ def _read_table(spark: SparkSession, root: str, name: str, only: list[str] | Non
 def retire(spark: SparkSession, root: str, batch_ids: list[str]) -> None:
     """Drop whole batches: remembered as retired, then out of the manifest, then deleted.
 
-    Each step can be repeated, so a run that was interrupted is finished by the next.
+    Each step can be repeated, and files an interrupted run left are deleted by the
+    next. A query that already planned its scan of a dropped batch will fail.
     """
     for batch_id in batch_ids:
         row = spark.range(1, numPartitions=1).select(F.current_timestamp().alias("committed_at"))
         row.write.mode("overwrite").parquet(batch_folder(root, "retired", batch_id))
         paths.delete_folder(spark, batch_folder(root, "manifest", batch_id))
-        for name in TABLES:
-            paths.delete_folder(spark, batch_folder(root, name, batch_id))
+    retired = set(paths.finished_folders(spark, f"{root}/retired"))
+    for name in TABLES:
+        for folder in retired.intersection(paths.child_folders(spark, f"{root}/{name}")):
+            paths.delete_folder(spark, f"{root}/{name}/{folder}")

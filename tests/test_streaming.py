@@ -115,6 +115,10 @@ def test_purge_after_archive(spark):
     assert not os.path.exists(batches.batch_folder(store, "master_event_logs", gone[0]))
     archive(spark, store, target, archive_cp)
     assert lake.read(spark, target).select("event_id").distinct().count() == lake.read(spark, target).count() == 1000
+    # Files an interrupted purge left are deleted by the next one.
+    batches.write_tables(ingest.route(events), store, gone[0])
+    archiving.purge_archived(spark, store, target)
+    assert not os.path.exists(batches.batch_folder(store, "payment_details", gone[0]))
     # A replay of the purged batch must not bring it back.
     assert not batches.commit_tables(spark, ingest.route(events), store, gone[0])
 
