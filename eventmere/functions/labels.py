@@ -40,8 +40,8 @@ def day_text(at: Column) -> Column:
 
 
 def kind_of(event_type: Column) -> Column:
-    """Folder label of an event type."""
-    return F.coalesce(F.lower(event_type), F.lit(NO_KIND))
+    """Folder label of an event type; a folder name cannot be empty."""
+    return F.coalesce(F.nullif(F.lower(event_type), F.lit("")), F.lit(NO_KIND))
 
 
 def stable_uuid(*parts: Column) -> Column:

@@ -36,7 +36,7 @@ WAITING_METRIC_LABEL = "Pending Outbox Tasks"
 
 KINDS = tuple(KIND_COLUMNS)
 
-# Kind label of rows whose event type is missing.
+# Kind label of rows whose event type is missing or empty.
 NO_KIND = "none"
 
 

@@ -148,3 +148,15 @@ def test_tables_from_parquet(spark):
     for name in TABLES:
         assert values(read[name]) == values(live[name])
     assert dict(values(tables.row_counts(read)))["payment_tasks"] == 1
+
+
+def test_odd_kinds_and_missing_times_are_kept(spark):
+    root = paths.fresh_folder(spark, "lake")
+    kinds = ["a/b=c", "007", "", " x ", None, "Ünï", "%41"]
+    rows = records(spark, *[{"event_type": k} for k in kinds], {"event_type": "cart_add", "created_at": None})
+    lake.write_batch(spark, rows, root, "0001")
+    got = {r.event_id: r for r in lake.read(spark, root).collect()}
+    assert [got[f"e{i}"].event_type for i in range(7)] == kinds
+    assert [got[f"e{i}"].kind for i in range(7)] == ["a/b=c", "007", "none", " x ", "none", "ünï", "%41"]
+    assert got["e7"].dt is None and got["e7"].created_at is None and got["e7"].batch_id == "0001"
+    assert lake.in_range(lake.read(spark, root), "2024-03-01", "2024-03-01").count() == 7
