@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmere.llm import substring
+from eventmere.llm import near, quality, rules, substring
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, over its whole table."""
     return {
         "op1_substring_dedup": substring.query,
+        "op3_quality_classifier": quality.query,
+        "op8_minhash_near_dedup": near.query,
+        "op10_quality_rules": rules.query,
     }
 
 
@@ -20,4 +23,5 @@ def oracle_sql() -> dict[str, str]:
     """SQL of the queries whose whole result SQL can express."""
     return {
         "op1_substring_dedup": substring.ORACLE_SQL,
+        "op8_minhash_near_dedup": near.ORACLE_SQL,
     }
