@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame
 
 SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 SENT_DDL = "bucket int, block int, keys binary, counts binary"
-ANSWER_DDL = "block int, keys binary, counts binary"
-ANSWER = pa.schema([("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+ANSWER_DDL = "bucket int, block int, counts binary"
 
 
 def grouped(first: np.ndarray, second: np.ndarray, counts: np.ndarray | None = None):
@@ -56,79 +55,68 @@ def send(block: int, first: np.ndarray, second: np.ndarray, counts: np.ndarray,
             "bucket": pa.array(bucket[heads], pa.int32()),
             "block": pa.array(np.full(len(heads), block), pa.int32()),
             "keys": pa.array([pack(first[i:j], second[i:j]) for i, j in zip(heads, ends)], pa.binary()),
-            "counts": pa.array([counts[i:j].astype("<i8").tobytes() for i, j in zip(heads, ends)], pa.binary()),
+            "counts": pa.array([counts[i:j].astype("<i4").tobytes() for i, j in zip(heads, ends)], pa.binary()),
         },
         schema=SENT,
     )
 
 
-def received(sent: pa.Table):
+def _received(sent: pa.Table):
     """Sender row, key parts and counts of everything a bucket got."""
-    blobs = sent.column("keys").to_pylist()
-    counts = [np.frombuffer(c, dtype="<i8") for c in sent.column("counts").to_pylist()]
-    pairs = [unpack(b, len(c)) for b, c in zip(blobs, counts)]
-    sender = np.repeat(np.arange(len(blobs)), [len(c) for c in counts])
-    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-    return sender, join([p[0] for p in pairs], np.uint64), join([p[1] for p in pairs], np.uint64), join(counts, np.int64)
+    counts = [np.frombuffer(c, dtype="<i4").astype(np.int64) for c in sent.column("counts").to_pylist()]
+    pairs = [unpack(b, len(c)) for b, c in zip(sent.column("keys").to_pylist(), counts)]
+    sender = np.repeat(np.arange(len(counts)), [len(c) for c in counts])
+    join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    return sender, join([p[0] for p in pairs]), join([p[1] for p in pairs]), join(counts).astype(np.int64)
 
 
-def answer(sent: pa.Table, at_least: int = 1) -> pa.Table:
-    """For every block, the totals of its keys that occur ``at_least`` times in all."""
-    sender, first, second, counts = received(sent)
+def totals(sent: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of everything a bucket got: the sender row, the total of its key, and whether the key stands there first."""
+    sender, first, second, counts = _received(sent)
     order = np.lexsort((second, first))
     a, b = first[order], second[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     heads = np.flatnonzero(new)
-    totals = np.add.reduceat(counts[order], heads) if len(heads) else np.zeros(0, np.int64)
-    total = np.empty(len(a), np.int64)
-    total[order] = np.repeat(totals, np.diff(np.append(heads, len(a))))
-    chosen = total >= at_least
-    blocks = sent.column("block").to_pylist()
-    rows: list[tuple[int, bytes, bytes]] = []
-    edges = np.searchsorted(sender, np.arange(len(blocks) + 1))
-    for i, block in enumerate(blocks):
-        part = slice(edges[i], edges[i + 1])
-        keep = chosen[part]
-        if keep.any():
-            rows.append((block, pack(first[part][keep], second[part][keep]), total[part][keep].astype("<i8").tobytes()))
-    return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], schema=ANSWER)
-
-
-def answers(sent: DataFrame, at_least: int = 1) -> DataFrame:
-    """The buckets' answers to all blocks."""
+    sums = np.add.reduceat(counts[order], heads) if len(heads) else np.zeros(0, np.int64)
+    total, leading = np.empty(len(a), np.int64), np.empty(len(a), bool)
+    total[order] = np.repeat(sums, np.diff(np.append(heads, len(a))))
+    leading[order] = new
+    return sender, total, leading
+
+
+def answers(sent: DataFrame) -> DataFrame:
+    """The buckets' answers: the total of every key a block sent, in the order it sent them.
+
+    Keys are not sent back, as a block can make its own again.
+    """
 
     def of_bucket(rows: pa.Table) -> pa.Table:
-        return answer(rows, at_least)
+        sender, total, _ = totals(rows)
+        edges = np.searchsorted(sender, np.arange(rows.num_rows + 1))
+        packed = [total[i:j].astype("<i8").tobytes() for i, j in zip(edges[:-1], edges[1:])]
+        return pa.table({"bucket": rows.column("bucket"), "block": rows.column("block"), "counts": pa.array(packed, pa.binary())})
 
-    return sent.groupBy("bucket").applyInArrow(of_bucket, ANSWER_DDL)
+    return sent.select("bucket", "block", "keys", "counts").groupBy("bucket").applyInArrow(of_bucket, ANSWER_DDL)
 
 
 class Totals:
-    """Answers of one block, looked up by key."""
+    """Answers to one block for the distinct keys it sent, looked up by key."""
 
-    def __init__(self, answers: pa.Table):
-        _, first, second, counts = received(answers)
-        order = np.lexsort((second, first))
-        self.first, self.second, self.counts = first[order], second[order], counts[order]
+    def __init__(self, answers: pa.Table, first: np.ndarray, second: np.ndarray):
+        order = np.argsort(np.asarray(answers.column("bucket")), kind="stable")
+        blobs = answers.column("counts").to_pylist()
+        parts = [np.frombuffer(blobs[i], dtype="<i8") for i in order]
+        self.first, self.second = first, second
+        self.counts = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        if len(self.counts) != len(first):
+            raise ValueError("a block's keys changed between asking and reading the answer")
 
     def of(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Totals of some keys, 0 where the answers have none."""
-        if not len(self.first):
-            return np.zeros(len(first), np.int64)
+        """Totals of some of the block's keys."""
         at = np.searchsorted(self.first, first)
-        found = np.zeros(len(first), np.int64)
-        # Keys that differ only in their second part follow each other.
-        left = np.arange(len(first))
-        while len(left):
-            at_left = at[left]
-            left = left[at_left < len(self.first)]
-            at_left = at[left]
-            same = self.first[at_left] == first[left]
-            left, at_left = left[same], at_left[same]
-            hit = self.second[at_left] == second[left]
-            found[left[hit]] = self.counts[at_left[hit]]
-            left = left[~hit]
+        left = np.flatnonzero(self.second[at] != second) if len(at) else at
+        while len(left):  # keys that differ in their second part only follow each other
             at[left] += 1
-        return found
-
+            left = left[self.second[at[left]] != second[left]]
+        return self.counts[at] if len(at) else np.zeros(0, np.int64)

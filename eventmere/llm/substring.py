@@ -58,10 +58,8 @@ def _window_keys(hashes: np.ndarray, at: np.ndarray, window: int) -> tuple[np.nd
     return run_hashes(hashes, window, 0)[at], run_hashes(hashes, window, 1)[at]
 
 
-def _candidates(words: Words, hashes: np.ndarray, window: int, shared_anchors: exchange.Totals) -> np.ndarray:
-    """Starts of the windows that contain an anchor found twice."""
-    at, anchors = _anchors(words, hashes, window)
-    found = shared_anchors.of(anchors, np.zeros(len(anchors), np.uint64)) > 0
+def _candidates(words: Words, hashes: np.ndarray, window: int, at: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Starts of the windows that contain one of the anchors ``at`` that was ``found`` twice."""
     reached = np.zeros(len(hashes) + 1, np.int32)
     reached[at[found] + 1] = 1
     reached = np.cumsum(reached, dtype=np.int32)
@@ -103,37 +101,44 @@ def _covered(words: Words, starts: np.ndarray, window: int) -> np.ndarray:
 def remove_repeats(docs: DataFrame, window: int = 35, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``n_words``, ``n_removed`` and ``kept_text`` of every document."""
     docs = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    spark, key_type = docs.sparkSession, docs.schema["_key"].dataType
+    key_type = docs.schema["_key"].dataType
     blocks = shared.block_count(docs, "_text")
     tagged = docs.withColumn("block", shared.block_of(blocks, "_key", "_text"))
 
-    def send_anchors(keys: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        column, found = text_column(table, "_text"), []
+    def anchors_of(column: pa.Array):
+        """Words, hashes and anchors of each slice, and the block's distinct anchors."""
+        parts = []
         for start, stop in slices(column):
             words = read_words(column[start:stop])
-            found.append(_anchors(words, word_hashes(words), window)[1])
-        merged = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        return exchange.send(keys[0].as_py(), *exchange.grouped(merged, np.zeros_like(merged)), blocks)
+            hashes = word_hashes(words)
+            parts.append((start, stop, words, hashes, *_anchors(words, hashes, window)))
+        merged = np.concatenate([p[-1] for p in parts]) if parts else np.zeros(0, np.uint64)
+        return parts, exchange.grouped(merged, np.zeros_like(merged))
+
+    def send_anchors(keys: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return exchange.send(keys[0].as_py(), *anchors_of(text_column(table, "_text"))[1], blocks)
 
     sent = tagged.groupBy("block").applyInArrow(send_anchors, exchange.SENT_DDL)
-    answers = exchange.answers(sent, 2)
+    answers = exchange.answers(sent)
     answers = shared.stored(answers, "anchors")
 
-    parts = f"kind int, _key {key_type.simpleString()}, n_words long, _text string, {exchange.SENT_DDL}"
+    part_ddl = f"kind int, _key {key_type.simpleString()}, n_words long, _text string, spots binary, {exchange.SENT_DDL}"
 
     def extend(keys: tuple[pa.Scalar, ...], table: pa.Table, found: pa.Table) -> pa.Table:
         block, column, ids = keys[0].as_py(), text_column(table, "_text"), text_column(table, "_key")
-        known, rows, firsts, seconds = exchange.Totals(found), [], [], []
-        for start, stop in slices(column):
-            words = read_words(column[start:stop])
-            hashes = word_hashes(words)
-            at = _candidates(words, hashes, window, known)
+        rows, firsts, seconds = [], [], []
+        parts, (distinct, zeros, _) = anchors_of(column)
+        known = exchange.Totals(found, distinct, zeros)
+        for start, stop, words, hashes, at, anchors in parts:
+            twice = known.of(anchors, np.zeros_like(anchors)) > 1
+            at = _candidates(words, hashes, window, at, twice)
             first, second = _window_keys(hashes, at, window)
             firsts.append(first)
             seconds.append(second)
-            pending = np.bincount(words.text_of[at], minlength=stop - start) > 0
+            near = np.zeros(len(words.starts), bool)
+            near[at] = True
             texts = _kept_texts(words, np.ones(len(words.starts), bool))
-            rows.append(_part_rows(ids[start:stop], words.counts, texts, pending, block))
+            rows.append(_part_rows(ids[start:stop], words, texts, near, block))
         merged = [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (firsts, seconds)]
         out = exchange.send(block, *exchange.grouped(*merged), blocks)
         return pa.concat_tables([*rows, _key_rows(out, key_arrow(table))])
@@ -141,20 +146,25 @@ def remove_repeats(docs: DataFrame, window: int = 35, key: str = "doc_id", text:
     def key_arrow(table: pa.Table) -> pa.DataType:
         return table.schema.field("_key").type
 
-    split = tagged.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(extend, parts)
+    split = tagged.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(extend, part_ddl)
     split = shared.stored(split, "windows")
 
     sent_keys = split.filter(F.col("kind") == KEYS).select("bucket", "block", "keys", "counts")
-    answers = exchange.answers(sent_keys, 2)
-    pending = split.filter(F.col("kind") == PENDING).select("_key", "_text", "block")
+    answers = exchange.answers(sent_keys)
+    pending = split.filter(F.col("kind") == PENDING).select("_key", "_text", "spots", "block")
 
     def remove(keys: tuple[pa.Scalar, ...], table: pa.Table, found: pa.Table) -> pa.Table:
-        column, ids, known, rows = text_column(table, "_text"), text_column(table, "_key"), exchange.Totals(found), []
+        column, ids = text_column(table, "_text"), text_column(table, "_key")
+        spots, parts, rows = table.column("spots").to_pylist(), [], []
         for start, stop in slices(column):
             words = read_words(column[start:stop])
-            hashes = word_hashes(words)
-            at = np.flatnonzero(whole_runs(words, window))
-            repeated = at[known.of(*_window_keys(hashes, at, window)) > 0]
+            near = [np.unpackbits(np.frombuffer(b, np.uint8), count=c) for b, c in zip(spots[start:stop], words.counts)]
+            at = np.flatnonzero(np.concatenate(near))
+            parts.append((start, stop, words, at, *_window_keys(word_hashes(words), at, window)))
+        merged = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.uint64) for i in (-2, -1)]
+        known = exchange.Totals(found, *exchange.grouped(*merged)[:2])
+        for start, stop, words, at, first, second in parts:
+            repeated = at[known.of(first, second) > 1]
             gone = _covered(words, repeated, window)
             rows.append(
                 pa.table(
@@ -181,14 +191,18 @@ def _empty(key_type: pa.DataType) -> pa.Table:
     return pa.schema(fields).empty_table()
 
 
-def _part_rows(ids: pa.Array, counts: np.ndarray, texts: pa.Array, pending: np.ndarray, block: int) -> pa.Table:
+def _part_rows(ids: pa.Array, words: Words, texts: pa.Array, near: np.ndarray, block: int) -> pa.Table:
+    """Whole documents; those with a window to compare are pending and say where its words start."""
     n = len(ids)
+    pending = np.bincount(words.text_of[near], minlength=n) > 0
+    spots = [np.packbits(near[i:j]).tobytes() if p else None for i, j, p in zip(words.first[:-1], words.first[1:], pending)]
     return pa.table(
         {
             "kind": pa.array(np.where(pending, PENDING, DONE), pa.int32()),
             "_key": ids,
-            "n_words": pa.array(counts, pa.int64()),
+            "n_words": pa.array(words.counts, pa.int64()),
             "_text": texts,
+            "spots": pa.array(spots, pa.binary()),
             "bucket": pa.nulls(n, pa.int32()),
             "block": pa.array(np.full(n, block), pa.int32()),
             "keys": pa.nulls(n, pa.binary()),
@@ -205,6 +219,7 @@ def _key_rows(sent: pa.Table, key_type: pa.DataType) -> pa.Table:
             "_key": pa.nulls(n, key_type),
             "n_words": pa.nulls(n, pa.int64()),
             "_text": pa.nulls(n, pa.string()),
+            "spots": pa.nulls(n, pa.binary()),
             **{name: sent.column(name) for name in ("bucket", "block", "keys", "counts")},
         }
     )
