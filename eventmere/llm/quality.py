@@ -79,34 +79,6 @@ class Model:
         return np.clip(np.interp(self.raw(stats), self.knots, self.levels), 0.0, 1.0)
 
 
-def _summed(rows: DataFrame, part, size: int) -> np.ndarray:
-    """The sum over all tasks of a matrix each task makes of its batches.
-
-    A task sends its matrix by rows; rows of one number meet in one group, which
-    holds one vector of fixed length per task.
-    """
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            found = part(batch)
-            total = found if total is None else total + found
-        if total is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(total)), pa.int32()), pa.array([r.tobytes() for r in total], pa.binary())], ["row", "v"]
-            )
-
-    def add(table: pa.Table) -> pa.Table:
-        vectors = [np.frombuffer(v) for v in table.column("v").to_pylist()]
-        return pa.table({"row": table.column("row")[:1], "v": pa.array([np.sum(vectors, axis=0).tobytes()], pa.binary())})
-
-    found = rows.mapInArrow(partial, "row int, v binary").groupBy("row").applyInArrow(add, "row int, v binary").collect()
-    out = np.zeros((max((r["row"] for r in found), default=-1) + 1, size))
-    for r in found:
-        out[r["row"]] = np.frombuffer(r["v"])
-    return out
-
-
 def pooled(scores: np.ndarray, good: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Isotonic shares by pooling neighbours that are out of order; scores ascend."""
     blocks: list[list[float]] = []  # first score, last score, good, count
@@ -131,7 +103,7 @@ def fit(labelled: DataFrame) -> Model:
         x = inputs(batch.column(STATS))
         return np.vstack((np.full(_INPUTS, len(x)), x.sum(0), (x * x).sum(0)))
 
-    sums = _summed(training, moments, _INPUTS)
+    sums = shared.summed(training, moments, _INPUTS)
     if not len(sums):
         return Model(np.zeros(_INPUTS), np.ones(_INPUTS), np.zeros(FEATURES + 1), np.zeros(1), np.full(1, 0.5))
     mean = sums[1] / sums[0]
@@ -142,7 +114,7 @@ def fit(labelled: DataFrame) -> Model:
         y = np.asarray(batch.column("_label"), np.float64)
         return np.column_stack((z.T @ z, z.T @ y))
 
-    normal = _summed(training, products, FEATURES + 2)
+    normal = shared.summed(training, products, FEATURES + 2)
     weights = np.linalg.solve(normal[:, :-1] + RIDGE * np.eye(FEATURES + 1), normal[:, -1])
     model = Model(mean, scale, weights, np.zeros(1), np.full(1, 0.5))
 
@@ -151,7 +123,7 @@ def fit(labelled: DataFrame) -> Model:
         y = np.asarray(batch.column("_label"), np.float64)
         return np.vstack((np.bincount(at, minlength=BINS), np.bincount(at, y, minlength=BINS)))
 
-    counts = _summed(labelled.filter(F.col("_fold") == 3).select(STATS, "_label"), bins, BINS)
+    counts = shared.summed(labelled.filter(F.col("_fold") == 3).select(STATS, "_label"), bins, BINS)
     if len(counts):
         used = np.flatnonzero(counts[0])
         model.knots, model.levels = pooled((used + 0.5) / BINS * 3 - 1, counts[1][used], counts[0][used])
