@@ -297,6 +297,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, into: str = "leaks", text:
     return docs.mapInArrow(add, schema)
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The documents that hold no benchmark item, with their own columns."""
+    found = find_leaks(docs, benchmark, "__leaks", text)
+    return found.filter(F.size("__leaks") == 0).select(*docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_leaks(docs, shared.table(spark, sf_dir, "benchmark"), keep_text=False)

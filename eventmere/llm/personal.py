@@ -187,8 +187,8 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(short, text), ",")
 
 
-def mask_personal(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents with every found span replaced by its kind in brackets."""
+def mask_personal(docs: DataFrame, text: str = "text", size: str | None = None) -> DataFrame:
+    """The documents with every found span replaced by its kind in brackets; ``size`` names their length."""
     rows = find_personal(docs, text)
     spans = F.array_sort(
         F.transform(F.concat("__base", "__added"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
@@ -207,6 +207,9 @@ def mask_personal(docs: DataFrame, text: str = "text") -> DataFrame:
     rest = lambda done: F.concat(done["out"], F.substring(F.col(text), done["at"] + 1, F.char_length(text)))
     masked = F.aggregate(F.col("__spans"), start, step, rest)
     rows = rows.withColumn("__spans", spans).withColumn(text, F.when(F.size("__spans") > 0, masked).otherwise(F.col(text)))
+    if size in docs.columns:
+        kind = docs.schema[size].dataType
+        rows = rows.withColumn(size, F.when(F.size("__spans") > 0, F.char_length(text).cast(kind)).otherwise(F.col(size)))
     return rows.select(*docs.columns)
 
 

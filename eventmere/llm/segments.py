@@ -49,7 +49,7 @@ SLICE = 1_000_000
 #: Sets of paths with less mass (natural log) than a float can tell from nothing are not opened.
 LEAST_LOG_MASS = -45.0
 #: Edges looked at first, four times as many where their mass is not used up, and cells at a time.
-WIDTH, CELLS = 96, 2_000_000
+WIDTH, CELLS = 512, 2_000_000
 SLOT_BITS = 18
 SPACE = 0x20
 FALLBACK = -1
@@ -523,6 +523,9 @@ def decode_segments(docs: DataFrame, ids: str = "ids", into: str = "text", model
     return docs.mapInArrow(add, T.StructType([*kept, T.StructField(into, T.StringType())]))
 
 
+DIGESTS = ("n_samples", "n_pieces", "ids_sha256", "log_chance", "inclusion", "round_trip")
+
+
 def digest_columns(into: str = "segments") -> list:
     """A row's samples as plain columns."""
     each = lambda name: F.transform(into, lambda s: s[name])
