@@ -79,14 +79,14 @@ def _flags(rows: np.ndarray) -> np.ndarray:
     return rows.reshape(-1) if len(rows) else np.zeros(TERMS)
 
 
-def _passages(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Row, terms and word hashes of each benchmark passage, two steps long at most."""
+def _passages(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row, first word, terms and the item's word hashes of each benchmark passage, two steps long at most."""
     words = read_words(column, lower=True)
     hashes = word_hashes(words)
     for row, (i, j) in enumerate(zip(words.first[:-1], words.first[1:])):
         for start in range(i, max(j - STEP, i + 1), STEP):
             if j > i:
-                yield row, _terms(hashes[start : min(start + 2 * STEP, j)]), hashes[i:j]
+                yield row, start - i, _terms(hashes[start : min(start + 2 * STEP, j)]), hashes[i:j]
 
 
 def term_weights(docs: DataFrame, items: DataFrame) -> np.ndarray:
@@ -120,7 +120,7 @@ def decompose(items: DataFrame, weights: np.ndarray) -> np.ndarray:
     width = RANK + OVERSAMPLED
 
     def sketched(column: pa.Array):
-        for _, terms, _ in _passages(column):
+        for _, _, terms, _ in _passages(column):
             own, tf = np.unique(terms, return_counts=True)
             a = tf * weights[own]
             a = a / (np.linalg.norm(a) or 1.0)
@@ -202,20 +202,22 @@ class Passages:
 
     vectors: np.ndarray
     item_of: np.ndarray
+    start_of: np.ndarray
     ids: list[int]
     items: list[np.ndarray]
 
 
 def read_passages(rows: pa.Table, table: np.ndarray) -> Passages:
-    vectors, item_of, items = [], [], []
+    vectors, item_of, start_of = [], [], []
     ids = rows.column("item_id").to_pylist()
     items = [np.zeros(0, np.uint64)] * len(ids)
-    for row, terms, hashes in _passages(text_column(rows, "text")):
+    for row, start, terms, hashes in _passages(text_column(rows, "text")):
         vector = table[terms].sum(0)
         vectors.append(vector / (np.linalg.norm(vector) or 1.0))
         item_of.append(row)
+        start_of.append(start)
         items[row] = hashes
-    return Passages(np.array(vectors, np.float32).reshape(-1, RANK), np.array(item_of, np.int64), ids, items)
+    return Passages(np.array(vectors, np.float32).reshape(-1, RANK), np.array(item_of, np.int64), np.array(start_of, np.int64), ids, items)
 
 
 def search(column: pa.Array, passages: Passages, table: np.ndarray, active: np.ndarray) -> list[list[dict]]:
@@ -242,9 +244,9 @@ def search(column: pa.Array, passages: Passages, table: np.ndarray, active: np.n
         row, text = int(passages.item_of[passage]), int(text_of[window])
         item = passages.items[row]
         begin, end = words.first[text], words.first[text + 1]
-        # A step more on both sides, as the item may begin before the window or end after it.
-        start = max(begin, first_word[window] - STEP)
-        region = hashes[start : min(end, first_word[window] + max(3 * STEP, len(item) + STEP))]
+        # Where the item would stand, with a step more on both sides.
+        about = first_word[window] - passages.start_of[passage]
+        region = hashes[max(begin, about - STEP) : min(end, about + max(3 * STEP, len(item) + STEP))]
         common = common_length(item, region)
         tail = item[-ANSWER_WORDS:]
         answered = any(np.array_equal(region[i : i + len(tail)], tail) for i in np.flatnonzero(region == tail[0]))
@@ -271,7 +273,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, into: str = "leaks", text:
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else items
         passages = read_passages(part.orderBy("item_id", "text").toArrow(), table)
-        lists.append((passages.vectors, passages.item_of, passages.ids, passages.items))
+        lists.append((passages.vectors, passages.item_of, passages.start_of, passages.ids, passages.items))
     shipped = spark.sparkContext.broadcast(np.flatnonzero(table.any(1))), spark.sparkContext.broadcast(table[table.any(1)])
     blocks_sent = [spark.sparkContext.broadcast(x) for x in lists]
     leak_type = pa.list_(

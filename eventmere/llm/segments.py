@@ -322,9 +322,9 @@ def top_paths(lattice: Lattice, fresh: list[Paths], keys: np.ndarray, width: int
         best_score = np.array([s[rows, t] for s, t in zip(sides, best_at)])
         best = best_score.argmax(axis=0)
         score = best_score[best, rows]
-        if len(found) == len(fresh):
-            return found, has, score, short
         number, alive = len(found), ~np.isneginf(score)
+        if number == len(fresh) or not alive.any():
+            return found, has, score, short
         t = best_at[best, rows]
         # Where each text leaves: the edge there, and those taken from that place before.
         pool = Paths(np.concatenate([p.edges for p in found]), np.concatenate([p.units for p in found]), np.zeros(0))

@@ -100,6 +100,7 @@ def _covered(words: Words, starts: np.ndarray, window: int) -> np.ndarray:
 
 def remove_repeats(docs: DataFrame, window: int = 35, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``n_words``, ``n_removed`` and ``kept_text`` of every document."""
+    anchor_length(window)  # too short a window is refused at once
     docs = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     key_type = docs.schema["_key"].dataType
     blocks = shared.block_count(docs, "_text")
