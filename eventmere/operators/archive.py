@@ -9,6 +9,7 @@ whole log, every event without an order would meet in the task of the NULL key.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,12 +38,13 @@ def _with_lecture(events: DataFrame, tables: Tables) -> DataFrame:
     return joined.withColumn("lecture_id", F.coalesce("_view", "_cart", "_stall")).drop("_view", "_cart", "_stall")
 
 
-def _with_payment(events: DataFrame, tables: Tables) -> DataFrame:
-    """Add payment and task columns, one row per task of the payment's order.
+def _with_payment(events: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """Events with payment and task columns, one row per task: those with one task at most, and the others.
 
     Tasks are first counted per order. Orders with one task, nearly all of them,
-    take it straight from that count row. Orders with more join their tasks in an
-    inner join, whose hot task partitions AQE can split; a left join's could not be.
+    take it straight from that count row. The few payments of orders with more
+    begin the second frame: the log is only looked up for them, and their tasks
+    come by an inner join, whose hot task partitions AQE can split.
     """
     tasks = tables.payment_tasks.select("order_id", F.col("status").alias("task_status"), "retry_count")
     per_order = tasks.groupBy("order_id").agg(
@@ -50,14 +52,13 @@ def _with_payment(events: DataFrame, tables: Tables) -> DataFrame:
         F.min("task_status").alias("task_status"),
         F.min("retry_count").alias("retry_count"),
     )
-    payments = tables.payment_details.select(
+    paid = tables.payment_details.select(
         "event_id", "order_id", "amount", F.col("status").alias("payment_status"), "error_code"
-    ).join(per_order, "order_id", "left")
-    joined = events.join(payments, "event_id", "left")
-    several = F.col("_tasks") > 1
-    single = joined.filter(F.coalesce(~several, F.lit(True))).drop("_tasks")
-    many = joined.filter(several).drop("_tasks", "task_status", "retry_count").join(tasks, "order_id")
-    return single.unionByName(many)
+    )
+    joined = events.join(paid.join(per_order, "order_id", "left"), "event_id", "left")
+    single = joined.filter(F.coalesce(F.col("_tasks") <= 1, F.lit(True))).drop("_tasks")
+    crowded = paid.join(per_order.filter("_tasks > 1").select("order_id"), "order_id", "left_semi")
+    return single, events.join(crowded, "event_id").join(tasks, "order_id")
 
 
 def wide(tables: Tables, cutoff: datetime | Column | None = None) -> DataFrame:
@@ -80,9 +81,10 @@ def of_other_kinds(tables: Tables, cutoff: datetime | Column | None = None) -> D
 
 def _records(events: DataFrame, tables: Tables, columns: list[str]) -> DataFrame:
     joined = events.filter(F.col("event_id").isNotNull())
-    if "lecture_id" in columns:
-        joined = _with_lecture(joined, tables)
+    parts = [joined]
     if "order_id" in columns:
-        joined = _with_payment(joined, tables)
-    joined = joined.select(*columns)
+        parts = list(_with_payment(joined, tables))
+    if "lecture_id" in columns:
+        parts = [_with_lecture(part, tables) for part in parts]
+    joined = reduce(lambda a, b: a.unionByName(b), [part.select(*columns) for part in parts])
     return joined.unionByName(events.filter(F.col("event_id").isNull()), allowMissingColumns=True)

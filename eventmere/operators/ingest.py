@@ -99,20 +99,64 @@ def accept(raw: DataFrame, users: DataFrame | None = None, stored: Tables | None
     return events.filter(~is_payment).select(*names).unionByName(payments.select(*names))
 
 
+def rejected(raw: DataFrame, users: DataFrame | None = None, stored: Tables | None = None) -> DataFrame:
+    """One row per event that :func:`accept` leaves out, with its ``reject_reason``.
+
+    Repeats are kept as often as they came: accepted and rejected make up all events.
+    """
+    names = RAW_EVENT.fieldNames()
+    judged = judge(raw.select(*names), users)
+    broken = judged.filter(F.col("reject_reason").isNotNull())
+    fit = judged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    repeated_event, repeated_order = F.lit("repeated event_id"), F.lit("repeated order_id")
+    parts = [broken]
+    if stored is not None:
+        known = stored.master_event_logs.select("event_id")
+        parts.append(fit.join(known, "event_id", "left_semi").withColumn("reject_reason", repeated_event))
+        fit = fit.join(known, "event_id", "left_anti")
+    # Equal copies are counted, so that the one that stays can be told from the rest.
+    rest = ["created_at", *[c for c in names if c not in ("event_id", "created_at")]]
+    copies = fit.groupBy(*names).agg(F.count("*").alias("_copies"))
+    first = fit.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("_first"))
+    left = copies.join(first, "event_id").withColumn(
+        "_left", F.col("_copies") - F.when(F.struct(*rest).eqNullSafe(F.col("_first")), 1).otherwise(0)
+    )
+    again = left.filter("_left > 0").withColumn("_one", F.explode(F.array_repeat(F.lit(0), F.col("_left").cast("int"))))
+    parts.append(again.select(*names, repeated_event.alias("reject_reason")))
+    payments = first.select("event_id", "_first.*").select(*names).filter(F.col("event_type") == "payment")
+    if stored is not None:
+        taken = stored.payment_details.select("order_id")
+        parts.append(payments.join(taken, "order_id", "left_semi").withColumn("reject_reason", repeated_order))
+        payments = payments.join(taken, "order_id", "left_anti")
+    winners = payments.groupBy("order_id").agg(F.min(F.struct("created_at", "event_id")).alias("_winner"))
+    losers = payments.join(winners, "order_id").filter(F.col("event_id") != F.col("_winner.event_id"))
+    parts.append(losers.select(*names, repeated_order.alias("reject_reason")))
+    return reduce(lambda a, b: a.unionByName(b), [p.select(*names, "reject_reason") for p in parts])
+
+
 def rejected_counts(raw: DataFrame, users: DataFrame | None = None) -> DataFrame:
-    """Rejected events per reason, copies of an event or order included."""
+    """Rejected events per reason, copies of an event or order included.
+
+    One grouping by event id gives copies and the event that stays, a second one
+    by order what is repeated there; both are combined before their shuffles.
+    """
     judged = judge(raw, users)
-    alone = judged.filter(F.col("reject_reason").isNotNull()).groupBy("reject_reason").agg(
-        F.count("*").alias("event_count")
+    rest = ["created_at", "event_type", "order_id"]
+    per_event = judged.groupBy("reject_reason", "event_id").agg(
+        F.count("*").alias("_rows"), F.min(F.struct(*rest)).alias("_first")
     )
-    fit = judged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    per_event = fit.groupBy("event_id").agg((F.count("*") - 1).alias("_extra"))
-    payments = earliest_row(fit, "event_id", order=("created_at",)).filter(F.col("event_type") == "payment")
-    per_order = payments.groupBy("order_id").agg((F.count("*") - 1).alias("_extra"))
-    copies = [
-        df.filter("_extra > 0").agg(F.sum("_extra").alias("event_count")).filter("event_count > 0").select(
-            F.lit(f"repeated {column}").alias("reject_reason"), "event_count"
-        )
-        for df, column in ((per_event, "event_id"), (per_order, "order_id"))
-    ]
-    return reduce(lambda a, b: a.unionByName(b), [alone, *copies])
+    paid = F.col("reject_reason").isNull() & (F.col("_first.event_type") == "payment")
+    order = F.when(paid, F.col("_first.order_id")).alias("_order")
+    per_order = per_event.groupBy("reject_reason", order).agg(F.sum("_rows").alias("_rows"), F.count("*").alias("_events"))
+    per_reason = per_order.groupBy("reject_reason").agg(
+        F.sum("_rows").alias("_rows"),
+        F.sum("_events").alias("_events"),
+        F.sum(F.when(F.col("_order").isNotNull(), F.col("_events") - 1).otherwise(0)).alias("_orders"),
+    )
+    line = lambda reason, count: F.struct(reason.alias("reject_reason"), count.cast("bigint").alias("event_count"))
+    repeats = F.array(
+        line(F.lit("repeated event_id"), F.col("_rows") - F.col("_events")), line(F.lit("repeated order_id"), F.col("_orders"))
+    )
+    alone = F.array(line(F.col("reject_reason"), F.col("_rows")))
+    lines = F.when(F.col("reject_reason").isNull(), repeats).otherwise(alone)
+    return per_reason.select(F.inline(lines)).filter("event_count > 0")

@@ -28,7 +28,10 @@ def _row_rules(name: str, df: DataFrame) -> DataFrame | None:
 
 
 def _key_rules(tables: Tables, target: tuple[str, str]) -> DataFrame:
-    """Uniqueness of one key and all references to it, from a single grouping.
+    """Uniqueness of one key, all references to it, and their own uniqueness, from a single grouping.
+
+    A detail's primary key is also its reference to the event, so its copies are
+    counted here as well.
 
     The key's rows and the referring rows are counted per value and source. Counts
     are combined before the shuffle, so a value most rows refer to arrives as a few
@@ -46,26 +49,16 @@ def _key_rules(tables: Tables, target: tuple[str, str]) -> DataFrame:
     numbered = range(len(sources))
     per_value = values.groupBy("_value").agg(*[F.expr(f"count_if(_source = {i}) AS n{i}") for i in numbered])
     sums = ["greatest(n0 - 1, 0)", *[f"CASE WHEN n0 = 0 THEN n{i} ELSE 0 END" for i in numbered[1:]]]
+    own = [i for i, (name, c) in enumerate(sources) if i > 0 and TABLES[name].primary_key == c]
+    sums += [f"greatest(n{i} - 1, 0)" for i in own]
     counts = per_value.agg(*[F.expr(f"coalesce(sum({broken}), 0L) AS v{i}") for i, broken in enumerate(sums)])
     unique_rule = "primary_key" if TABLES[table].primary_key == column else "unique"
     rules = [(table, unique_rule, column, "v0")]
     rules += [(name, "foreign_key", c, f"v{i}") for i, (name, c) in enumerate(sources) if i > 0]
+    rules += [(sources[i][0], "primary_key", sources[i][1], f"v{len(sources) + k}") for k, i in enumerate(own)]
     return _rows(counts, rules)
 
 
-def _own_event_keys(tables: Tables) -> DataFrame:
-    """Primary keys of the detail tables, which refer to the event id with the same column."""
-    details = [
-        name for name, spec in TABLES.items() if spec.primary_key == "event_id" and spec.foreign_keys.get("event_id")
-    ]
-    tagged = [tables[name].select("event_id", F.lit(i).alias("_source")) for i, name in enumerate(details)]
-    keys = reduce(lambda a, b: a.unionByName(b), tagged).filter(F.col("event_id").isNotNull())
-    copies = keys.groupBy("event_id", "_source").agg((F.count("*") - 1).alias("_extra"))
-    extra = "CASE WHEN _source = {0} THEN _extra END"
-    counts = copies.agg(*[F.expr(f"coalesce(sum({extra.format(i)}), 0L) AS v{i}") for i in range(len(details))])
-    return _rows(counts, [(name, "primary_key", "event_id", f"v{i}") for i, name in enumerate(details)])
-
-
 def constraint_report(tables: Tables) -> DataFrame:
     """One row per rule with the number of rows that break it.
 
@@ -78,5 +71,4 @@ def constraint_report(tables: Tables) -> DataFrame:
         for column in (spec.primary_key, *spec.unique)
         if not (column == "event_id" and spec.foreign_keys.get("event_id"))
     ]
-    parts.append(_own_event_keys(tables))
     return reduce(lambda a, b: a.unionByName(b), parts)

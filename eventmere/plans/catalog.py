@@ -16,16 +16,18 @@ from eventmere.functions import labels
 from eventmere.functions.exact import ratio_2dp
 from eventmere.operators import archive, dedupe, ingest, integrity, purge
 from eventmere.plans import facts, panels, reports
-from eventmere.schemas import WIDE
+from eventmere.schemas import RAW_EVENT, WIDE
 from eventmere.session import use_utc
 from eventmere.sources import batches, driver_tables, lake, paths, tables, text_lake
-from eventmere.streaming.archive import archive_stream
-from eventmere.streaming.capture import capture, watch_parquet
+from eventmere.streaming.archive import archive_once, archive_stream, purge_archived
+from eventmere.streaming.capture import capture, read_rejected, seed_users, watch_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 CUTOFF = datetime(2024, 1, 15, 12, 0, 0)
 FIRST_DAY, LAST_DAY = "2024-01-10", "2024-01-15"
+EMPTY_DAY = "1999-01-01"
+HOT_ORDER = "ORD-hot"
 
 
 def _live(spark: SparkSession, sf_dir: str) -> tables.Tables:
@@ -128,6 +130,17 @@ def archive_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _micros(archive.wide(_live(spark, sf_dir)))
 
 
+def archive_wide_many_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third task belongs to one order as well."""
+    live = _live(spark, sf_dir)
+    tasks = live.payment_tasks
+    first = tasks.filter("task_id % 3 = 0").withColumn("order_id", F.lit(HOT_ORDER))
+    orders = live.payment_details.withColumn(
+        "order_id", F.when(F.col("event_id").cast("bigint") % 1000 == 1, F.lit(HOT_ORDER)).otherwise(F.col("order_id"))
+    )
+    return _micros(archive.wide(live.with_tables(payment_tasks=tasks.unionByName(first), payment_details=orders)))
+
+
 def _archive_kind(kind: str) -> Query:
     return lambda spark, sf_dir: _micros(archive.of_kind(_live(spark, sf_dir), kind))
 
@@ -152,8 +165,8 @@ def _lake_report(report: Callable[[facts.Facts], DataFrame]) -> Query:
     return lambda spark, sf_dir: report(facts.from_records(_lake(spark, sf_dir)))
 
 
-def _panel(panel: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: panel(_lake(spark, sf_dir))
+def _panel(panel: Callable[[DataFrame], DataFrame], first: str | None = None, last: str | None = None) -> Query:
+    return lambda spark, sf_dir: panel(lake.in_range(_lake(spark, sf_dir), first, last))
 
 
 # -- ingest ----------------------------------------------------------------
@@ -266,13 +279,17 @@ def constraint_report_spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streaming -------------------------------------------------------------
 
 
-def _captured(spark: SparkSession, sf_dir: str) -> str:
-    """Stream the events table into a new store of committed batches."""
+def _capture(spark: SparkSession, sf_dir: str, root: str, condition: str = "true") -> None:
+    """Stream the events table into a store of committed batches."""
     use_utc(spark)
-    root = paths.fresh_folder(spark, "store")
     schema = driver_tables.read_events(spark, sf_dir).schema
-    stream = driver_tables.raw_events(watch_parquet(spark, f"{sf_dir}/events.parquet", schema))
+    stream = driver_tables.raw_events(watch_parquet(spark, f"{sf_dir}/events.parquet", schema)).filter(condition)
     capture(stream, root, paths.fresh_folder(spark, "capture-checkpoint")).awaitTermination()
+
+
+def _captured(spark: SparkSession, sf_dir: str) -> str:
+    root = paths.fresh_folder(spark, "store")
+    _capture(spark, sf_dir, root)
     return root
 
 
@@ -287,6 +304,89 @@ def stream_archive_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _partition_counts(lake.read(spark, target))
 
 
+def stream_ingest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured events with all their details."""
+    return _micros(archive.wide(batches.read_tables(spark, _captured(spark, sf_dir))).drop("task_status", "retry_count"))
+
+
+def stream_archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events captured, archived and read back, all columns."""
+    root, target = _captured(spark, sf_dir), paths.fresh_folder(spark, "lake")
+    archive_once(spark, root, target, paths.fresh_folder(spark, "archive-checkpoint"))
+    return _micros(lake.read(spark, target).select(*WIDE.fieldNames(), "kind", "dt"))
+
+
+def archive_idle_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total lines of three archive runs: before the first capture, after it, and once more."""
+    root, target = paths.fresh_folder(spark, "store"), paths.fresh_folder(spark, "lake")
+    checkpoint = paths.fresh_folder(spark, "archive-checkpoint")
+    archive_once(spark, root, target, checkpoint)
+    _capture(spark, sf_dir, root)
+    archive_once(spark, root, target, checkpoint)
+    archive_once(spark, root, target, checkpoint)
+    return lake.read_metrics(spark, target).filter("line = 'total'").select("row_count", "status")
+
+
+def _purged(spark: SparkSession, sf_dir: str) -> tables.Tables:
+    """Events with an even id are archived; odd ones come after that and before the purge."""
+    root, target = paths.fresh_folder(spark, "store"), paths.fresh_folder(spark, "lake")
+    _capture(spark, sf_dir, root, "CAST(event_id AS BIGINT) % 2 = 0")
+    archive_once(spark, root, target, paths.fresh_folder(spark, "archive-checkpoint"))
+    _capture(spark, sf_dir, root, "CAST(event_id AS BIGINT) % 2 = 1")
+    purge_archived(spark, root, target)
+    return batches.read_tables(spark, root)
+
+
+def store_purged_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _micros(_purged(spark, sf_dir).master_event_logs)
+
+
+def store_purged_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _micros(_purged(spark, sf_dir).payment_tasks.drop("task_id"))
+
+
+def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What capture left out of incoming events of which some break rules."""
+    inbox, root = paths.fresh_folder(spark, "inbox"), paths.fresh_folder(spark, "store")
+    _spoiled_raw(spark, sf_dir).write.parquet(inbox)
+    stream = watch_parquet(spark, inbox, RAW_EVENT)
+    capture(stream, root, paths.fresh_folder(spark, "capture-checkpoint"), _some_users(spark, sf_dir)).awaitTermination()
+    return _micros(read_rejected(spark, root).select("event_id", "user_id", "event_type", "created_at", "reject_reason"))
+
+
+def store_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the users are seeded; all come again under another name, twice."""
+    root, users = paths.fresh_folder(spark, "store"), _live(spark, sf_dir).users
+    again = users.withColumn("name", F.concat(F.lit("again_"), F.col("user_id").cast("string")))
+    seed_users(spark, root, users.filter("user_id % 2 = 0"), "first")
+    seed_users(spark, root, again, "second")
+    seed_users(spark, root, again, "third")
+    return _micros(batches.read_tables(spark, root).users)
+
+
+# -- text lake ---------------------------------------------------------------
+
+
+def _text_lake(spark: SparkSession, sf_dir: str) -> str:
+    use_utc(spark)
+    key = (spark.sparkContext.applicationId, f"text {sf_dir}")
+    if key not in _lakes:
+        root = paths.fresh_folder(spark, "text-lake")
+        lake.write_csv(archive.wide(_live(spark, sf_dir)), root)
+        _lakes[key] = root
+    return _lakes[key]
+
+
+def text_lake_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = text_lake.read(spark, _text_lake(spark, sf_dir))
+    rows = rows.withColumn("buffering_duration", F.col("buffering_duration").cast("int"))
+    return _micros(rows.select(*WIDE.fieldNames(), "kind", "dt"))
+
+
+def text_lake_range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _partition_counts(text_lake.read(spark, _text_lake(spark, sf_dir), FIRST_DAY, LAST_DAY))
+
+
 # -- scalar functions ------------------------------------------------------
 
 
@@ -335,6 +435,16 @@ def queries() -> dict[str, Query]:
             constraint_report_spoiled,
             stream_ingest_counts,
             stream_archive_counts,
+            stream_ingest_scan,
+            stream_archive_scan,
+            stream_rejected,
+            archive_idle_metrics,
+            archive_wide_many_tasks,
+            store_purged_master,
+            store_purged_tasks,
+            store_users,
+            text_lake_scan,
+            text_lake_range_counts,
             scalar_functions,
         )
     }
@@ -349,10 +459,15 @@ def queries() -> dict[str, Query]:
     ):
         named[report.__name__] = _report(report)
         named[f"lake_{report.__name__}"] = _lake_report(report)
-    named["dash_cart_dropout_by_creator"] = _panel(panels.cart_dropout_by_creator)
-    named["dash_buffering_by_first_referrer"] = _panel(panels.buffering_by_first_referrer)
-    named["dash_outbox_volumes"] = _panel(panels.outbox_volumes)
-    named["dash_top_creators_by_buffering"] = _panel(panels.top_creators_by_buffering)
+    for panel in (
+        panels.cart_dropout_by_creator,
+        panels.buffering_by_first_referrer,
+        panels.outbox_volumes,
+        panels.top_creators_by_buffering,
+    ):
+        named[f"dash_{panel.__name__}"] = _panel(panel)
+        named[f"dash_{panel.__name__}_range"] = _panel(panel, FIRST_DAY, LAST_DAY)
+        named[f"dash_{panel.__name__}_empty_range"] = _panel(panel, EMPTY_DAY, EMPTY_DAY)
     named["first_referrer_per_user"] = _panel(panels.first_referrer_per_user)
     named["ingest_master"] = _routed("master_event_logs")
     named["ingest_page_view"] = _routed("page_view_details")

@@ -71,14 +71,16 @@ def from_records(records: DataFrame) -> Facts:
     """Archived records hold all columns already: no join with a parent is needed.
 
     A payment has one record per task, so paid orders are made distinct, and the
-    outbox is the payment records as they are.
+    outbox is the payment records as they are. A record without the column its
+    detail must have is an event without a detail, and left out as in the tables.
     """
-    payments = of_kind(records, "payment")
+    payments = of_kind(records, "payment").filter(F.col("order_id").isNotNull())
+    detailed = lambda kind: of_kind(records, kind).filter(F.col("lecture_id").isNotNull())
     success = F.col("payment_status") == PAID
     return Facts(
-        carts=of_kind(records, "cart_add").select("user_id", "lecture_id"),
-        views=of_kind(records, "page_view").select("user_id", "referrer"),
-        stalls=of_kind(records, "video_buffering").select("user_id", "creator_id", "buffering_duration"),
+        carts=detailed("cart_add").select("user_id", "lecture_id"),
+        views=detailed("page_view").select("user_id", "referrer"),
+        stalls=detailed("video_buffering").select("user_id", "creator_id", "buffering_duration"),
         paid_orders=payments.filter(success).select("user_id", "order_id").distinct(),
         outbox=payments.select(
             F.when(success, F.lit(1)).otherwise(0).alias("success_rows"),

@@ -1,4 +1,7 @@
-"""The four dashboard panels, computed on archived records."""
+"""The four dashboard panels, computed on archived records.
+
+Records without a creator are left out, wherever they come from.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +14,7 @@ from eventmere.operators.fallback import grouped_sums_or_default
 from eventmere.plans.facts import of_kind
 from eventmere.schemas import NO_REFERRER_LABEL, PAID, PAID_METRIC_LABEL, WAITING, WAITING_METRIC_LABEL
 
+# Fixed value: the pattern events are matched with.
 STALL_PATTERN = "buffering|video"
 TOP_CREATORS = 5
 
@@ -21,7 +25,7 @@ def cart_dropout_by_creator(records: DataFrame) -> DataFrame:
     Rows are counted, not users. A missing payment status counts as paid here.
     """
     pair = F.col("event_type").isin("cart_add", "payment")
-    rows = records.filter(pair)
+    rows = records.filter(pair & F.col("creator_id").isNotNull())
     if "kind" in records.columns:
         rows = rows.filter(F.col("kind").isin("cart_add", "payment"))
     is_cart = F.col("event_type") == "cart_add"
@@ -37,13 +41,14 @@ def cart_dropout_by_creator(records: DataFrame) -> DataFrame:
 
 def first_referrer_per_user(records: DataFrame) -> DataFrame:
     """Referrer of each user's earliest page view that has one."""
-    views = of_kind(records, "page_view").filter(F.col("referrer").isNotNull() & F.col("user_id").isNotNull())
+    named = F.col("referrer").isNotNull() & F.col("user_id").isNotNull() & F.col("creator_id").isNotNull()
+    views = of_kind(records, "page_view").filter(named)
     return earliest_value(views, "user_id", "referrer", [F.col("created_at"), F.col("event_id")])
 
 
 def _stalls(records: DataFrame) -> DataFrame:
     matches = F.coalesce(F.col("event_type").rlike(f"(?i){STALL_PATTERN}"), F.lit(False))
-    rows = records.filter(matches)
+    rows = records.filter(matches & F.col("creator_id").isNotNull())
     # The folder kind is the lower-case event type, so the same pattern prunes folders.
     return rows.filter(F.col("kind").rlike(STALL_PATTERN)) if "kind" in records.columns else rows
 
@@ -60,7 +65,7 @@ def buffering_by_first_referrer(records: DataFrame) -> DataFrame:
 
 def outbox_volumes(records: DataFrame) -> DataFrame:
     """Successful payments and, among them, those with a waiting task."""
-    success = of_kind(records, "payment").filter(F.col("payment_status") == PAID)
+    success = of_kind(records, "payment").filter((F.col("payment_status") == PAID) & F.col("creator_id").isNotNull())
     totals = success.agg(
         F.count("*").alias("paid"), F.count_if(F.col("task_status") == WAITING).alias("waiting")
     )

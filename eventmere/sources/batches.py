@@ -5,6 +5,9 @@ Files of a batch go to ``<root>/<table>/batch_id=<id>``; one row in
 batches the manifest names, so a batch that failed half-way is never seen, and its
 retry replaces the files. A committed batch is not written again, not even after it
 was retired.
+
+The manifest row's file is the commit, for readers and for streams that watch the
+manifest alike. Success markers are not looked at; they may be switched off.
 """
 
 from __future__ import annotations
@@ -19,6 +22,9 @@ from eventmere.schemas import TABLES
 from eventmere.sources import paths
 from eventmere.sources.tables import Tables, from_reader
 
+#: Tables whose rows go with a retired batch. Users stay.
+EVENT_TABLES = tuple(name for name in TABLES if name != "users")
+
 MANIFEST = T.StructType(
     [T.StructField("committed_at", T.TimestampType()), T.StructField("batch_id", T.StringType())]
 )
@@ -31,7 +37,7 @@ def batch_folder(root: str, table: str, batch_id: str) -> str:
 def is_committed(spark: SparkSession, root: str, batch_id: str) -> bool:
     """Whether the batch was ever committed, retired ones included."""
     return any(
-        paths.exists(spark, f"{batch_folder(root, state, batch_id)}/_SUCCESS") for state in ("manifest", "retired")
+        paths.matches(spark, f"{batch_folder(root, state, batch_id)}/part-*") for state in ("manifest", "retired")
     )
 
 
@@ -45,12 +51,21 @@ def commit(spark: SparkSession, root: str, batch_id: str, write_files: Callable[
     return True
 
 
-def committed_ids(spark: SparkSession, root: str) -> list[str]:
-    """Ids of visible batches, from folder names: one per run, whatever its size."""
-    folders = paths.finished_folders(spark, f"{root}/manifest")
+def committed_ids(spark: SparkSession, root: str, state: str = "manifest") -> list[str]:
+    """Ids of visible (or of ``retired``) batches, from folder names: one per run, whatever its size."""
+    folders = paths.filled_folders(spark, f"{root}/{state}")
     return [name.removeprefix("batch_id=") for name in folders if name.startswith("batch_id=")]
 
 
+def open_ids(spark: SparkSession, root: str, asked: list[str]) -> list[str]:
+    """The asked-for ids that are visible; retired ones are left out, unknown ones are an error."""
+    ids = set(committed_ids(spark, root))
+    unknown = set(asked) - ids - set(committed_ids(spark, root, "retired"))
+    if unknown:
+        raise RuntimeError(f"batches asked for before they were committed: {sorted(unknown)[:5]}")
+    return sorted(ids & set(asked))
+
+
 def visible(
     spark: SparkSession, root: str, table: str, schema: T.StructType, only: list[str] | None = None
 ) -> DataFrame:
@@ -62,9 +77,10 @@ def visible(
     full = schema if "batch_id" in schema.fieldNames() else T.StructType(
         [*schema.fields, T.StructField("batch_id", T.StringType())]
     )
-    ids = committed_ids(spark, root)
-    if only is not None:
-        ids = sorted(set(ids) & set(only))
+    ids = committed_ids(spark, root) if only is None else open_ids(spark, root, only)
+    # A batch need not have every table.
+    held = set(paths.child_folders(spark, f"{root}/{table}"))
+    ids = [batch_id for batch_id in ids if f"batch_id={batch_id}" in held]
     if not ids:
         return spark.createDataFrame([], full)
     folders = [batch_folder(root, table, batch_id) for batch_id in ids]
@@ -103,7 +119,7 @@ def retire(spark: SparkSession, root: str, batch_ids: list[str]) -> None:
         row = spark.range(1, numPartitions=1).select(F.current_timestamp().alias("committed_at"))
         row.write.mode("overwrite").parquet(batch_folder(root, "retired", batch_id))
         paths.delete_folder(spark, batch_folder(root, "manifest", batch_id))
-    retired = set(paths.finished_folders(spark, f"{root}/retired"))
-    for name in TABLES:
+    retired = set(paths.filled_folders(spark, f"{root}/retired"))
+    for name in EVENT_TABLES:
         for folder in retired.intersection(paths.child_folders(spark, f"{root}/{name}")):
             paths.delete_folder(spark, f"{root}/{name}/{folder}")

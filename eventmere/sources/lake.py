@@ -20,6 +20,7 @@ from eventmere.sources import batches, paths
 
 DATA = "data"
 SOURCES = "sources"
+METRICS = "metrics"
 
 
 def with_folders(records: DataFrame) -> DataFrame:
@@ -47,7 +48,8 @@ def write_batch(
 ) -> bool:
     """Archive records as one batch; False when the batch is already archived.
 
-    ``sources`` (batch_id) names the table batches the records came from.
+    ``sources`` (source_id, events) names the table batches the records came from, and
+    how many events each held.
 
     Rows are rebalanced by folder before writing: AQE splits a folder that holds a
     large share of the rows over several tasks and merges small ones, so file
@@ -59,7 +61,7 @@ def write_batch(
     def write_files() -> None:
         rows.write.mode("overwrite").partitionBy("kind", "dt").parquet(batches.batch_folder(root, DATA, batch_id))
         if sources is not None:
-            names = sources.select(F.col("batch_id").alias("source_id")).coalesce(1)
+            names = sources.select("source_id", F.col("events").cast("bigint").alias("events")).coalesce(1)
             names.write.mode("overwrite").parquet(batches.batch_folder(root, SOURCES, batch_id))
 
     return batches.commit(spark, root, batch_id, write_files)
@@ -68,7 +70,8 @@ def write_batch(
 def write_csv(records: DataFrame, folder: str) -> None:
     """Optional text copy: one folder per kind, each with that kind's columns only.
 
-    The record set is read once per kind; the folder must be new.
+    The record set is read once per kind. Days that are written again are replaced,
+    so a repeated run adds nothing.
     """
     tagged = with_folders(records)
     for kind in (*KIND_COLUMNS, None):
@@ -81,7 +84,8 @@ def write_csv(records: DataFrame, folder: str) -> None:
         rows = chosen.select(*record_columns(kind or ""), *folders)
         rows = rows.hint("rebalance", *[F.col(c) for c in folders])
         (
-            rows.write.mode("append")
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
             .option("header", True)
             .option("escape", '"')
             .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
@@ -104,10 +108,9 @@ def read(spark: SparkSession, root: str, once: bool = False) -> DataFrame:
 
 
 def archived_sources(spark: SparkSession, root: str) -> DataFrame:
-    """Ids of the table batches that committed archive batches hold."""
-    if not paths.exists(spark, f"{root}/{SOURCES}"):
-        return spark.createDataFrame([], "source_id string")
-    return batches.visible(spark, root, SOURCES, T.StructType([T.StructField("source_id", T.StringType())]))
+    """Table batches that committed archive batches hold: source_id, events, batch_id."""
+    schema = T.StructType([T.StructField("source_id", T.StringType()), T.StructField("events", T.LongType())])
+    return batches.visible(spark, root, SOURCES, schema)
 
 
 def read_kind(spark: SparkSession, root: str, kind: str) -> DataFrame:
@@ -148,6 +151,17 @@ def run_metrics(records: DataFrame) -> DataFrame:
 
 
 def write_metrics(spark: SparkSession, root: str, batch_id: str) -> None:
-    """Store a batch's metrics beside it, counted from the committed files."""
-    rows = read(spark, root).filter(F.col("batch_id") == batch_id)
-    run_metrics(rows).coalesce(1).write.mode("overwrite").parquet(batches.batch_folder(root, "metrics", batch_id))
+    """Store a batch's metrics beside it, counted from the committed files of this batch only."""
+    rows = batches.visible(spark, root, DATA, LAKE, [batch_id])
+    run_metrics(rows).coalesce(1).write.mode("overwrite").parquet(batches.batch_folder(root, METRICS, batch_id))
+
+
+def write_idle(spark: SparkSession, root: str, run_id: str) -> None:
+    """Store the metrics of a run that found nothing to archive."""
+    nothing = spark.createDataFrame([], LAKE)
+    run_metrics(nothing).coalesce(1).write.mode("overwrite").parquet(batches.batch_folder(root, METRICS, run_id))
+
+
+def read_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """Metrics of all runs, idle ones included."""
+    return spark.read.parquet(f"{root}/{METRICS}")

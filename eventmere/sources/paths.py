@@ -33,11 +33,19 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
 
 
-def finished_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders below a path whose write has ended."""
-    fs, hadoop_path = _file_system(spark, f"{path}/*/_SUCCESS")
+def filled_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path that hold a finished data file.
+
+    Spark moves a file here only when its write has ended, so no marker is needed.
+    """
+    fs, hadoop_path = _file_system(spark, f"{path}/*/part-*")
     found = fs.globStatus(hadoop_path)
-    return sorted(s.getPath().getParent().getName() for s in found or [])
+    return sorted({s.getPath().getParent().getName() for s in found or []})
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path)
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:

@@ -55,7 +55,9 @@ def from_records(records: DataFrame, users: DataFrame) -> Tables:
     event = earliest_row(records.drop("task_status", "retry_count"), "event_id")
 
     def detail(kind: str, *columns: str) -> DataFrame:
-        return event.filter(labels.kind_of(F.col("event_type")) == kind).select("event_id", *columns)
+        # The first column is one the detail must have; without it there was no detail.
+        rows = event.filter(labels.kind_of(F.col("event_type")) == kind)
+        return rows.filter(F.col(columns[0]).isNotNull()).select("event_id", *columns)
 
     payments = detail("payment", "order_id", "amount", F.col("payment_status").alias("status"), "error_code")
     tasks = (

@@ -11,9 +11,35 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmere.operators import ingest
+from eventmere.operators.dedupe import earliest_row
+from eventmere.schemas import RAW_EVENT, TABLES
 from eventmere.sources import batches, paths
 
 
+#: Events that were left out, with the reason; part of their batch's commit, and never purged.
+REJECTED = "rejected"
+
+
+def read_rejected(spark: SparkSession, root: str) -> DataFrame:
+    """All rejected events of committed batches, those of retired batches included."""
+    schema = T.StructType([*RAW_EVENT.fields, T.StructField("reject_reason", T.StringType())])
+    ids = [*batches.committed_ids(spark, root), *batches.committed_ids(spark, root, "retired")]
+    folders = [batches.batch_folder(root, REJECTED, i) for i in sorted(set(ids))]
+    folders = [f for f in folders if paths.exists(spark, f)]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def seed_users(spark: SparkSession, root: str, users: DataFrame, batch_id: str) -> bool:
+    """Commit the users the store does not have yet; False when the batch was there before.
+
+    The batch holds users only. It is kept when event batches are retired.
+    """
+    known = batches.read_tables(spark, root).users
+    new = earliest_row(users.select(*TABLES["users"].columns), "user_id")
+    absent = new.join(known.select("user_id"), "user_id", "left_anti").select(*TABLES["users"].columns)
+    return batches.commit_tables(spark, {"users": absent}, root, batch_id)
+
+
 def watch_parquet(
     spark: SparkSession,
     path: str,
@@ -90,17 +116,21 @@ def capture(
         spark = batch.sparkSession
         if batches.is_committed(spark, root, batch_id):
             return
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         stored = batches.read_tables(spark, root)
         # Nearly always everyone is known. Seeing that from the few distinct ids
         # saves two shuffles of the whole batch by user and by creator.
         checked = users is not None and not ingest.unknown_people(batch, users).isEmpty()
-        accepted = ingest.accept(batch, users if checked else None, stored)
+        known = users if checked else None
+        accepted = ingest.accept(batch, known, stored)
         # Six tables are written from it. Lost blocks are computed again, and give
         # the same rows: ties are broken by all columns.
         accepted.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            batches.commit_tables(spark, ingest.route(accepted), root, batch_id)
+            frames = ingest.route(accepted) | {REJECTED: ingest.rejected(batch, known, stored)}
+            batches.commit_tables(spark, frames, root, batch_id)
         finally:
             accepted.unpersist()
+            batch.unpersist()
 
     return each_batch(raw_stream, checkpoint, handle, trigger)

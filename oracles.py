@@ -6,8 +6,6 @@ Rates and means are rounded with whole numbers, halves up, as explained in
 
 from __future__ import annotations
 
-from eventmere.schemas import TABLES
-
 # The event-log tables as views over ``events``; ``n`` is the numeric event id.
 BASE = """
 WITH raw AS (
@@ -72,7 +70,9 @@ _PARTITIONS = """
 SELECT lower(event_type) AS kind, CAST(created_at AS DATE) AS dt, count(*) AS row_count
 FROM wide {where} GROUP BY 1, 2"""
 
-_EVENT_TABLES = [name for name in TABLES if name != "users"]
+_EVENT_TABLES = [
+    "master_event_logs", "page_view_details", "cart_add_details", "video_buffering_details", "payment_details", "payment_tasks",
+]
 
 
 def _counts(names: list[str]) -> str:
@@ -193,35 +193,39 @@ _SPOILED_NAMES = {
 }
 
 
-def _rule_counts(renamed: dict[str, str]) -> str:
-    """One count per declared rule."""
+# Every declared rule, written out: table, required columns, longest texts, keys, references.
+_RULES = [
+    ("users", "user_id email name role joined_at", {"email": 100, "name": 50, "role": 20}, "user_id", ["email"], []),
+    ("master_event_logs", "event_id user_id creator_id event_type created_at", {"event_type": 50}, "event_id", [],
+     [("user_id", "users", "user_id"), ("creator_id", "users", "user_id")]),
+    ("page_view_details", "event_id lecture_id referrer", {"referrer": 100}, "event_id", [], [("event_id", "master_event_logs", "event_id")]),
+    ("cart_add_details", "event_id lecture_id", {}, "event_id", [], [("event_id", "master_event_logs", "event_id")]),
+    ("video_buffering_details", "event_id lecture_id buffering_duration user_agent", {"user_agent": 255}, "event_id", [],
+     [("event_id", "master_event_logs", "event_id")]),
+    ("payment_details", "event_id order_id amount status", {"order_id": 100, "status": 20, "error_code": 50}, "event_id", ["order_id"],
+     [("event_id", "master_event_logs", "event_id")]),
+    ("payment_tasks", "task_id order_id status retry_count updated_at", {"order_id": 100, "status": 20}, "task_id", [],
+     [("order_id", "payment_details", "order_id")]),
+]
 
-    def at(table: str) -> str:
-        return renamed.get(table, table)
 
+def _rule_counts(renamed: dict[str, str]) -> str:
+    """One count per declared rule."""
     parts = []
-
-    def add(table: str, rule: str, column: str, query: str) -> None:
-        parts.append(
-            f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{column}' AS column_name, ({query}) AS violations"
-        )
-
-    for table, spec in TABLES.items():
-        for column in spec.required:
-            add(table, "not_null", column, f"SELECT count(*) FROM {at(table)} WHERE {column} IS NULL")
-        for column, limit in spec.max_length.items():
-            add(table, "max_length", column, f"SELECT count(*) FROM {at(table)} WHERE length({column}) > {limit}")
-        for column in (spec.primary_key, *spec.unique):
-            rule = "primary_key" if column == spec.primary_key else "unique"
-            add(table, rule, column, f"SELECT count({column}) - count(DISTINCT {column}) FROM {at(table)}")
-        for column, (other, key) in spec.foreign_keys.items():
-            add(
-                table,
-                "foreign_key",
-                column,
-                f"SELECT count(*) FROM {at(table)} x WHERE x.{column} IS NOT NULL "
-                f"AND NOT EXISTS (SELECT 1 FROM {at(other)} y WHERE y.{key} = x.{column})",
-            )
+    for table, required, lengths, key, unique, references in _RULES:
+        at = renamed.get(table, table)
+        own = [("not_null", c, f"SELECT count(*) FROM {at} WHERE {c} IS NULL") for c in required.split()]
+        own += [("max_length", c, f"SELECT count(*) FROM {at} WHERE length({c}) > {n}") for c, n in lengths.items()]
+        own += [
+            (rule, c, f"SELECT count({c}) - count(DISTINCT {c}) FROM {at}")
+            for rule, c in [("primary_key", key), *[("unique", c) for c in unique]]
+        ]
+        own += [
+            ("foreign_key", c, f"SELECT count(*) FROM {at} x WHERE x.{c} IS NOT NULL "
+             f"AND NOT EXISTS (SELECT 1 FROM {renamed.get(other, other)} y WHERE y.{referred} = x.{c})")
+            for c, other, referred in references
+        ]
+        parts += [f"SELECT '{table}' AS table_name, '{r}' AS rule, '{c}' AS column_name, ({q}) AS violations" for r, c, q in own]
     return " UNION ALL ".join(parts)
 
 
@@ -237,8 +241,8 @@ def oracle_sql() -> dict[str, str]:
     partitions = BASE + _PARTITIONS.format(where="")
     task_counts = "SELECT 'payment_tasks' AS table_name, count(*) AS row_count FROM payment_tasks t WHERE t.order_id IN (SELECT order_id FROM payment_details WHERE event_id IN (SELECT event_id FROM gone))"
     sql = {
-        "table_row_counts": BASE + _counts(list(TABLES)),
-        "lake_rebuilt_tables": BASE + _counts(list(TABLES)),
+        "table_row_counts": BASE + _counts(["users", *_EVENT_TABLES]),
+        "lake_rebuilt_tables": BASE + _counts(["users", *_EVENT_TABLES]),
         "stream_ingest_counts": BASE + _counts(_EVENT_TABLES),
         "archive_partition_counts": partitions,
         "stream_archive_counts": partitions,
@@ -351,6 +355,45 @@ FROM (SELECT *, sha256(length(CAST(user_id AS VARCHAR)) || ':' || user_id || len
         || CASE WHEN event_type = 'page_view' THEN length(referrer) || ':' || referrer ELSE '~' END) AS h
       FROM raw)""",
     }
+    day_range = "created_at >= TIMESTAMP '2024-01-10' AND created_at < TIMESTAMP '2024-01-16'"
+    for name in [n for n in sql if n.startswith("dash_")]:
+        for suffix, days in (("range", day_range), ("empty_range", "created_at < TIMESTAMP '1999-01-02'")):
+            within = BASE.replace("FROM events\n", f"FROM events WHERE {days.replace('created_at', 'ts')}\n")
+            sql[f"{name}_{suffix}"] = within + sql[name].removeprefix(BASE)
+    sql["dash_top_creators_by_buffering_empty_range"] = """SELECT CAST(0 AS BIGINT) AS creator_id,
+  CAST(0.0 AS DOUBLE) AS avg_buffering_duration, 'Creator 0' AS creator"""
+    sql |= {
+        "stream_ingest_scan": BASE + f"SELECT {_WIDE_OUT.replace(', task_status, retry_count', '')} FROM wide",
+        "stream_archive_scan": BASE
+        + f"""SELECT {_WIDE_OUT.replace(", task_status, retry_count", "")},
+  CASE WHEN event_type = 'payment' AND payment_status = 'SUCCESS' THEN 'PENDING' END AS task_status,
+  CASE WHEN event_type = 'payment' AND payment_status = 'SUCCESS' THEN CAST(0 AS INTEGER) END AS retry_count,
+  lower(event_type) AS kind, CAST(created_at AS DATE) AS dt FROM wide""",
+        "archive_idle_metrics": """SELECT count(*) AS row_count, 'SUCCESS' AS status FROM events
+UNION ALL SELECT 0, 'IDLE' UNION ALL SELECT 0, 'IDLE'""",
+        "archive_wide_many_tasks": BASE.split("wide AS (")[0]
+        + """more_tasks AS (
+  SELECT * FROM payment_tasks UNION ALL
+  SELECT task_id, 'ORD-hot', status, retry_count, updated_at FROM payment_tasks WHERE task_id % 3 = 0),
+hot_payments AS (
+  SELECT n, event_id, CASE WHEN n % 1000 = 1 THEN 'ORD-hot' ELSE order_id END AS order_id, amount, status, error_code
+  FROM payment_details),
+wide AS ("""
+        + BASE.split("wide AS (")[1].replace("payment_details p", "hot_payments p").replace("payment_tasks t", "more_tasks t")
+        + f"SELECT {_WIDE_OUT} FROM wide",
+        "store_purged_master": BASE + f"SELECT {_COMMON_OUT} FROM master_event_logs WHERE n % 2 = 1",
+        "store_purged_tasks": BASE
+        + """SELECT order_id, 'PENDING' AS status, CAST(0 AS INTEGER) AS retry_count, epoch_us(created_at) AS updated_us
+FROM raw WHERE event_type = 'payment' AND status = 'SUCCESS' AND n % 2 = 1""",
+        "stream_rejected": BASE
+        + _SPOILED_RAW
+        + """SELECT event_id, user_id, event_type, epoch_us(created_at) AS created_us, reject_reason FROM judged WHERE reject_reason IS NOT NULL
+UNION ALL SELECT event_id, user_id, event_type, epoch_us(created_at), 'repeated event_id' FROM per_event WHERE copy > 1
+UNION ALL SELECT event_id, user_id, event_type, epoch_us(created_at), 'repeated order_id' FROM per_order WHERE order_copy > 1""",
+        "store_users": sql["users_insert_if_absent"],
+        "text_lake_scan": sql["lake_scan_all"],
+        "text_lake_range_counts": sql["lake_range_counts"],
+    }
     for kind, columns in _KIND_OUT.items():
         sql[f"archive_{kind}"] = BASE + f"SELECT {columns} FROM wide WHERE lower(event_type) = '{kind}'"
     for report in (

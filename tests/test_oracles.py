@@ -3,16 +3,18 @@
 import pytest
 
 import __spark_entry__ as contract
+import oracles
+from eventmere.plans import catalog
 from tools.compare import differences
 
 FOLDER = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.queries()) == set(oracles.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_same_as_sql(spark, name):
     assert differences(spark, FOLDER, name) == ""
 
