@@ -263,6 +263,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     )
 
 
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without near duplicates of smaller id, with their own columns.
+
+    Only ids that go are joined. Repeated rows of one id and text are one document;
+    of those one row stays.
+    """
+    found = near_duplicates(docs, key, text)
+    gone = found.filter(~F.col("kept")).select(F.col(key).cast("long").alias("__gone")).distinct()
+    left = docs.join(gone, F.col(key).cast("long") == F.col("__gone"), "left_anti")
+    repeated = docs.filter(F.col(key).isNotNull()).groupBy(key, F.xxhash64(text).alias("__text")).agg(F.count("*").alias("c"))
+    repeated = repeated.filter("c > 1").select(F.col(key).alias("__again")).distinct()
+    if repeated.isEmpty():
+        return left
+    again = left.join(repeated, F.col(key) == F.col("__again"), "left_semi").dropDuplicates([key, text])
+    return left.join(repeated, F.col(key) == F.col("__again"), "left_anti").unionByName(again)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
