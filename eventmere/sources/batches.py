@@ -113,9 +113,14 @@ def retire(spark: SparkSession, root: str, batch_ids: list[str]) -> None:
     """Drop whole batches: remembered as retired, then out of the manifest, then deleted.
 
     Each step can be repeated, and files an interrupted run left are deleted by the
-    next. A query that already planned its scan of a dropped batch will fail.
+    next. A query that already planned its scan of a dropped batch will fail. Users of
+    a dropped batch are committed again as a batch of their own before it goes.
     """
+    with_users = set(paths.child_folders(spark, f"{root}/users"))
     for batch_id in batch_ids:
+        if f"batch_id={batch_id}" in with_users and batch_id in committed_ids(spark, root):
+            users = visible(spark, root, "users", TABLES["users"].schema, [batch_id]).select(*TABLES["users"].columns)
+            commit_tables(spark, {"users": users}, root, f"{batch_id}-users")
         row = spark.range(1, numPartitions=1).select(F.current_timestamp().alias("committed_at"))
         row.write.mode("overwrite").parquet(batch_folder(root, "retired", batch_id))
         paths.delete_folder(spark, batch_folder(root, "manifest", batch_id))

@@ -87,7 +87,8 @@ def purge_archived(spark: SparkSession, root: str, lake_root: str) -> list[str]:
     batch must hold as many events as its sources gave. Otherwise nothing is dropped.
     """
     live = batches.committed_ids(spark, root)
-    archived = lake.archived_sources(spark, lake_root).filter(F.col("source_id").isin(live))
+    # Batches without events, such as seeded users, stay.
+    archived = lake.archived_sources(spark, lake_root).filter(F.col("source_id").isin(live) & (F.col("events") > 0))
     # Ids of live batches only, so not more than there are.
     found = {row["source_id"]: (row["batch_id"], row["events"]) for row in archived.collect()}
     ids = sorted(found)
