@@ -58,13 +58,17 @@ def _new_lake(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lake_root(spark: SparkSession, sf_dir: str) -> str:
     """The archived events; written once per session, as reports share one lake."""
     use_utc(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _lakes:
         _lakes[key] = _new_lake(spark, sf_dir)
-    return lake.read(spark, _lakes[key])
+    return _lakes[key]
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lake.read(spark, _lake_root(spark, sf_dir))
 
 
 def _partition_counts(records: DataFrame) -> DataFrame:
@@ -86,7 +90,7 @@ def lake_scan_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _partition_counts(lake.in_range(_lake(spark, sf_dir), FIRST_DAY, LAST_DAY))
+    return _partition_counts(lake.read_range(spark, _lake_root(spark, sf_dir), FIRST_DAY, LAST_DAY))
 
 
 def lake_rebuilt_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +170,7 @@ def _lake_report(report: Callable[[facts.Facts], DataFrame]) -> Query:
 
 
 def _panel(panel: Callable[[DataFrame], DataFrame], first: str | None = None, last: str | None = None) -> Query:
-    return lambda spark, sf_dir: panel(lake.in_range(_lake(spark, sf_dir), first, last))
+    return lambda spark, sf_dir: panel(lake.read_range(spark, _lake_root(spark, sf_dir), first, last))
 
 
 # -- ingest ----------------------------------------------------------------

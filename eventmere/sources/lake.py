@@ -129,8 +129,17 @@ def in_range(records: DataFrame, start: str | date | None = None, end: str | dat
 
 
 def read_range(spark: SparkSession, root: str, start: str | date | None = None, end: str | date | None = None) -> DataFrame:
-    days.parse_range(start, end)
-    return in_range(read(spark, root), start, end)
+    """Records of a day range; folders of other days are not listed."""
+    limits = days.parse_range(start, end)
+    if limits is None:
+        return read(spark, root)
+    ids = batches.committed_ids(spark, root)
+    wanted = days.day_list(*limits)
+    pattern = f"{root}/{DATA}/batch_id={{{','.join(ids)}}}/kind=*/dt={{{','.join(map(str, wanted))}}}"
+    if not ids or not paths.matches(spark, pattern):
+        return spark.createDataFrame([], LAKE)
+    rows = spark.read.schema(LAKE).option("basePath", f"{root}/{DATA}").parquet(pattern)
+    return in_range(rows.select(*LAKE.fieldNames()), start, end)
 
 
 def run_metrics(records: DataFrame) -> DataFrame:

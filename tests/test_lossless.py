@@ -126,4 +126,14 @@ def test_metrics_open_one_batch(spark):
         lake.write_batch(spark, records.wide(batches.read_tables(spark, root)), target, name)
     opened = batches.visible(spark, target, lake.DATA, lake.LAKE, ["b"]).inputFiles()
     assert opened and all("batch_id=b" in f for f in opened)
-    assert at("2024-03-01") is not None
+
+
+def test_a_day_range_lists_only_its_days(spark):
+    root, target = paths.fresh_folder(spark, "store"), paths.fresh_folder(spark, "lake")
+    rows = [{"event_id": f"e{i}", "event_type": "cart_add", "lecture_id": 1, "created_at": at(f"2024-03-0{1 + i % 5}")} for i in range(20)]
+    for n in range(2):
+        batches.commit_tables(spark, ingest.route(raw(spark, *rows[n::2])), root, f"b{n}")
+        lake.write_batch(spark, records.wide(batches.read_tables(spark, root, [f"b{n}"])), target, f"a{n}")
+    found = lake.read_range(spark, target, "2024-03-02", "2024-03-02")
+    assert found.count() == 4 and all("dt=2024-03-02" in f for f in found.inputFiles())
+    assert lake.read_range(spark, target, "1999-01-01", "1999-01-02").count() == 0
