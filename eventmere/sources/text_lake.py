@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmere.functions import days, repair
-from eventmere.schemas import KIND_COLUMNS, TEXT_RECORD, record_columns
+from eventmere.schemas import TEXT_RECORD, record_columns
 from eventmere.sources import lake, paths
 
 
