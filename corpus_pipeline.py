@@ -3,6 +3,11 @@
 Every stage takes all documents its predecessor kept and returns a frame, which is
 written and read again before the next stage. All but the last return the columns
 they were given.
+
+Cases: null, empty and very short texts fail the base rule and go in the first stage; of
+repeated rows, and of rows with the same id that are near duplicates, one stays; rows
+without an id are linked with nothing; empty tables give an empty result; extra columns
+are carried along, but for names the last stage uses for its own.
 """
 
 from __future__ import annotations
