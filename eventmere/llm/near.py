@@ -10,10 +10,13 @@ sketches. So inverted lists of sketch values find all similar pairs:
 - Similar sketches share so many values that they must meet in one of their
   rarest ones. Only these prefixes of each sketch, ordered by how many documents
   hold a value, are listed. Values of a common passage are rarely among them.
-- A list is joined with one pivot, not with itself: each document is compared
-  with the pivot it meets most often, and similar documents become one component.
-  Only members of a list that are still in different components are then compared
-  with each other, as a pair inside one component can change nothing.
+- A list is joined with one pivot, not with itself: its member with the commonest
+  values, which is the origin of many edited copies. Each document is compared with
+  the pivot it meets most often, and similar documents become one component.
+- Only documents that share a list but are still in different components go on, as
+  a link inside one component can change nothing. They are listed anew by their
+  whole sets, whose prefixes are exact, compared with pivots again, and what is then
+  still apart is compared with each other where the places of a shared value allow it.
 - A pair is dropped if the union sketch says it cannot be similar, otherwise
   confirmed on the full sets.
 
@@ -46,6 +49,8 @@ SKETCH = 128
 #: Shared sketch values of two documents at the threshold, at the very least.
 LEAST_SHARED = 84
 PERCENT = 85
+#: A sketch that is the whole set, of any size.
+WHOLE = 1 << 40
 #: A pair whose union sketch shows less is not similar (six standard deviations).
 LEAST_ESTIMATE = LEAST_SHARED / SKETCH
 
@@ -69,11 +74,11 @@ def shingle_sets(words: Words) -> list[np.ndarray]:
     return found
 
 
-def prefix_length(size: np.ndarray) -> np.ndarray:
+def prefix_length(size: np.ndarray, sketch: int = SKETCH) -> np.ndarray:
     """Of the rarest sketch values of a set, how many must be listed to meet every similar sketch."""
     complete = size - -(-PERCENT * size // 100) + 1
-    sampled = np.minimum(size, SKETCH) - LEAST_SHARED + 1
-    return np.where(100 * size <= PERCENT * SKETCH, complete, sampled)
+    sampled = np.minimum(size, sketch) - LEAST_SHARED + 1
+    return np.where(100 * size <= PERCENT * sketch, complete, sampled)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -114,15 +119,19 @@ def _sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(sketch, "_id long, n long, k0 long, k1 long, sketch binary")
 
 
-def _lists(representatives: DataFrame, blocks: int) -> DataFrame:
-    """Listed values (``value``, ``id``, ``n``) that two or more documents hold."""
+def _lists(sets: DataFrame, blocks: int, sketch: int) -> DataFrame:
+    """Listed values that two or more documents hold, of sets or sketches ``s`` (``id``, ``n``).
+
+    ``common`` says how common a document's values are on average: the origin of
+    many edited copies has the highest. ``place`` counts the rarer values before.
+    """
 
     def invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sketches = [np.frombuffer(s, "<u8") for s in batch.column("sketch").to_pylist()]
+            sketches = [np.frombuffer(s, "<u8")[:sketch] for s in batch.column("s").to_pylist()]
             lengths = [len(s) for s in sketches]
             values = np.concatenate(sketches) if sketches else np.zeros(0, np.uint64)
-            ids = np.repeat(np.asarray(batch.column("_id")), lengths)
+            ids = np.repeat(np.asarray(batch.column("id")), lengths)
             sizes = np.repeat(np.asarray(batch.column("n")), lengths)
             # A value's bucket comes from its low bits: sketch values are small.
             bucket = (values % np.uint64(blocks)).astype(np.int32)
@@ -167,13 +176,16 @@ def _lists(representatives: DataFrame, blocks: int) -> DataFrame:
         counts = np.diff(np.append(heads, len(ids)))
         rank = np.arange(len(ids)) - np.repeat(heads, counts)
         size = n[order]
-        alone = np.minimum(size, SKETCH) - np.repeat(counts, counts)
-        listed = rank < prefix_length(size) - alone
-        return table.take(pa.array(order[listed])).select(["value", "id", "n"])
-
-    sent = representatives.mapInArrow(invert, "bucket int, v binary, i binary, n binary")
+        alone = np.minimum(size, sketch) - np.repeat(counts, counts)
+        common = np.repeat(np.add.reduceat(held[order], heads), counts) / np.minimum(size, sketch)
+        listed = rank < prefix_length(size, sketch) - alone
+        out = table.select(["value", "id", "n"]).take(pa.array(order[listed]))
+        out = out.append_column("common", pa.array(common[listed], pa.float64()))
+        return out.append_column("place", pa.array((rank + alone)[listed], pa.int64()))
+
+    sent = sets.select("id", "n", "s").mapInArrow(invert, "bucket int, v binary, i binary, n binary")
     twice = sent.groupBy("bucket").applyInArrow(held_twice, "block int, value long, held long, id long, n long")
-    return twice.groupBy("block").applyInArrow(rarest, "value long, id long, n long")
+    return twice.groupBy("block").applyInArrow(rarest, "value long, id long, n long, common double, place long")
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -185,10 +197,15 @@ def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
             for start, stop in slices(column):
                 sets = shingle_sets(read_words(column[start:stop], lower=True))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id")[start:stop], pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "s"]
+                    [
+                        batch.column("_id")[start:stop],
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([s.tobytes() for s in sets], pa.binary()),
+                    ],
+                    ["id", "n", "s"],
                 )
 
-    return docs.join(ids, docs["_id"] == ids["id"], "left_semi").mapInArrow(read, "id long, s binary")
+    return docs.join(ids, docs["_id"] == ids["id"], "left_semi").mapInArrow(read, "id long, n long, s binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -210,6 +227,29 @@ def _compatible(n: str, m: str, percent: int):
     return (100 * F.col(n) >= percent * F.col(m)) & (100 * F.col(m) >= percent * F.col(n))
 
 
+def _with_pivots(lists: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """Each document and, of the pivots of its lists outside its component, the one it meets most often."""
+    lists = lists.join(placed, "id")
+    pivot = F.max(F.struct("common", -F.col("id"), "id", "n", "c")).alias("p")
+    pivots = lists.groupBy("value").agg(pivot, F.count("*").alias("size")).filter("size > 1")
+    met = lists.join(pivots, "value").filter("c <> p.c").filter(_compatible("n", "p.n", percent))
+    met = met.groupBy(F.col("id").alias("a"), F.col("p.id").alias("b")).agg(F.count("*").alias("times"))
+    return met.groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b"))
+
+
+def _towards_pivots(links: DataFrame) -> DataFrame:
+    """A provisional component ``c`` of each ``id``: the pivot of its pivot, or its pivot."""
+    up = links.select(F.col("a").alias("b"), F.col("b").alias("top"))
+    return links.join(up, "b", "left").select(F.col("a").alias("id"), F.coalesce("top", "b").alias("c"))
+
+
+def _apart(lists: DataFrame, placed: DataFrame) -> DataFrame:
+    """The lists whose members are not all in one component."""
+    lists = lists.join(placed, "id")
+    mixed = lists.groupBy("value").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("value")
+    return lists.join(mixed, "value", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``key``, ``n_shingles``, ``class_id``, ``component_id`` and ``kept`` of every document.
 
@@ -228,29 +268,36 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     members = shared.stored(members, "classes")
 
     firsts = classes.filter("class_id is not null").select(F.col("class_id").alias("_id"), "k0", "k1")
-    representatives = rows.filter("n > 0").join(firsts, ["_id", "k0", "k1"], "left_semi").select("_id", "n", "sketch")
-    lists = shared.stored(_lists(representatives, blocks).distinct(), "lists")
-
+    representatives = rows.filter("n > 0").join(firsts, ["_id", "k0", "k1"], "left_semi")
+    representatives = representatives.select(F.col("_id").alias("id"), "n", F.col("sketch").alias("s"))
+    lists = shared.stored(_lists(representatives, blocks, SKETCH).distinct(), "lists")
     sets = shared.stored(_sets_of(docs, lists.select("id").distinct()), "sets")
 
-    # Each document and the pivot it meets in most lists.
-    pivots = lists.groupBy("value").agg(F.min(F.struct("id", "n")).alias("p"), F.count("*").alias("c")).filter("c > 1")
-    met = lists.join(pivots, "value").filter("id <> p.id").filter(_compatible("n", "p.n", percent))
-    met = met.groupBy(F.col("id").alias("a"), F.col("p.id").alias("b")).agg(F.count("*").alias("c"))
-    best = met.groupBy("a").agg(F.max_by("b", F.struct("c", -F.col("b"))).alias("b"))
-    links = shared.stored(_confirmed(best, sets, percent), "confirmed")
+    # First every document and the pivot it meets most often.
+    alone = lists.select("id", F.col("id").alias("c")).distinct()
+    pairs = _with_pivots(lists, alone, percent)
+    links = shared.stored(_confirmed(pairs, sets, percent), "confirmed")
+    placed = alone.drop("c").join(_towards_pivots(links), "id", "left").select("id", F.coalesce("c", "id").alias("c"))
+
+    # Documents in a list with others that are still apart: whole sets, shorter lists.
+    apart = _apart(lists, placed).select("id").distinct()
+    whole = sets.join(apart, "id", "left_semi")
+    lists = shared.stored(_lists(whole, blocks, WHOLE).distinct(), "lists")
+    more = shared.stored(_confirmed(_with_pivots(lists, placed, percent), sets, percent), "confirmed")
+    links = links.unionByName(more)
     found = components(links)
 
-    # Members of one list that are not in one component yet.
-    placed = lists.join(found, lists["id"] == found["node"], "left")
-    placed = shared.stored(placed.select("value", "id", "n", F.coalesce("component", "id").alias("c")), "placed")
-    mixed = placed.groupBy("value").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("value")
-    left = placed.join(mixed, "value", "left_semi")
-    right = left.select("value", F.col("id").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"))
-    pairs = left.join(right, "value").filter("id > b and c <> d").filter(_compatible("n", "m", percent))
+    # What is left is compared with each other.
+    placed = placed.drop("c").join(found, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("c"))
+    left = _apart(lists, placed)
+    right = left.select("value", F.col("id").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"), F.col("place").alias("at"))
+    # Of the first value two sets share, neither may have more before it than a similar pair leaves over.
+    needed = F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / (100 + percent))
+    near_enough = (F.col("place") <= F.col("n") - needed) & (F.col("at") <= F.col("m") - needed)
+    pairs = left.join(right, "value").filter("id > b and c <> d").filter(near_enough)
     pairs = shared.stored(pairs.select(F.col("id").alias("a"), "b").distinct(), "pairs")
-    more = shared.stored(_confirmed(pairs.join(best, ["a", "b"], "left_anti"), sets, percent), "confirmed")
-    found = components(links.unionByName(more))
+    last = shared.stored(_confirmed(pairs, sets, percent), "confirmed")
+    found = components(links.unionByName(last))
 
     joined = members.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
     component = F.coalesce("component", "class_id")
