@@ -33,12 +33,14 @@ from eventmere.llm.texts import Words, mix, read_words, slices, text_column, wor
 
 TERMS = 1 << 17
 ROWS = 128
-RANK = 64
+RANK = 96
 OVERSAMPLED = 16
 #: Words of a window's step; a window is two steps.
 STEP = 32
 PASSAGES = 20_000
-LEAST_COSINE = 0.45
+#: Cosine of a window and a passage in the space of the decomposition, and the same
+#: with the length of the whole window, which also counts words no passage has.
+LEAST_COSINE, LEAST_WHOLE_COSINE = 0.6, 0.12
 #: Shares of an item's words, in order, that make a leak, alone or with its answer.
 LEAK_SHARE, ANSWERED_SHARE = 70, 50
 ANSWER_WORDS = 5
@@ -89,30 +91,20 @@ def _passages(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
                 yield row, start - i, _terms(hashes[start : min(start + 2 * STEP, j)]), hashes[i:j]
 
 
-def term_weights(docs: DataFrame, items: DataFrame) -> np.ndarray:
-    """Inverse document frequency of each hashed benchmark term, 0 for all others."""
-
-    def present(batch: pa.RecordBatch) -> np.ndarray:
-        flags = np.zeros(TERMS)
-        flags[_terms(word_hashes(read_words(text_column(batch, "text"), lower=True)))] = 1
-        return flags.reshape(ROWS, -1)
-
-    known = _flags(shared.summed(items.select("text"), present, TERMS // ROWS)) > 0
+def term_weights(docs: DataFrame) -> np.ndarray:
+    """Inverse document frequency of each hashed term over all documents' ``text``."""
 
     def frequency(batch: pa.RecordBatch) -> np.ndarray:
         counts, column = np.zeros(TERMS), text_column(batch, "text")
         for start, stop in slices(column):
             words = read_words(column[start:stop], lower=True)
-            terms = _terms(word_hashes(words))
-            chosen = known[terms]
-            held = np.unique(words.text_of[chosen] * TERMS + terms[chosen])
+            held = np.unique(words.text_of * TERMS + _terms(word_hashes(words)))
             counts += np.bincount(held % TERMS, minlength=TERMS)
         return np.vstack((counts.reshape(ROWS, -1), np.full(TERMS // ROWS, len(column))))
 
     found = shared.summed(docs.select("text"), frequency, TERMS // ROWS)
     total = found[ROWS, 0] if len(found) else 0.0
-    counts = _flags(found[:ROWS])
-    return np.where(known, np.log((total + 1) / (counts + 1)) + 1e-3, 0.0)
+    return np.log((total + 1) / (_flags(found[:ROWS]) + 1)) + 1e-3
 
 
 def decompose(items: DataFrame, weights: np.ndarray) -> np.ndarray:
@@ -220,7 +212,7 @@ def read_passages(rows: pa.Table, table: np.ndarray) -> Passages:
     return Passages(np.array(vectors, np.float32).reshape(-1, RANK), np.array(item_of, np.int64), np.array(start_of, np.int64), ids, items)
 
 
-def search(column: pa.Array, passages: Passages, table: np.ndarray, active: np.ndarray) -> list[list[dict]]:
+def search(column: pa.Array, passages: Passages, table: np.ndarray, active: np.ndarray, squares: np.ndarray) -> list[list[dict]]:
     """The leaks in each text."""
     words = read_words(column, lower=True)
     hashes = word_hashes(words)
@@ -235,18 +227,25 @@ def search(column: pa.Array, passages: Passages, table: np.ndarray, active: np.n
         heads = np.flatnonzero(np.append(True, step_of[used][1:] != step_of[used][:-1]))
         sums[step_of[used][heads]] = np.add.reduceat(table[terms[used]], heads, axis=0)
     windows = sums.copy()
+    length = np.bincount(step_of, squares[terms], len(text_of))
+    norms = length.copy()
     same = text_of[1:] == text_of[:-1]
     windows[:-1][same] += sums[1:][same]
-    windows /= np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-9)
+    norms[:-1][same] += length[1:][same]
+    inner = np.linalg.norm(windows, axis=1)
+    share = inner / np.maximum(np.sqrt(norms), 1e-9)
+    windows /= np.maximum(inner, 1e-9)[:, None]
     near = windows @ passages.vectors.T
     first_word = np.searchsorted(step_of, np.arange(len(text_of)))
-    for window, passage in zip(*np.nonzero(near >= LEAST_COSINE)):
+    for window, passage in zip(*np.nonzero(near >= np.maximum(LEAST_COSINE, LEAST_WHOLE_COSINE / np.maximum(share, 1e-9))[:, None])):
         row, text = int(passages.item_of[passage]), int(text_of[window])
         item = passages.items[row]
         begin, end = words.first[text], words.first[text + 1]
         # Where the item would stand, with a step more on both sides.
         about = first_word[window] - passages.start_of[passage]
         region = hashes[max(begin, about - STEP) : min(end, about + max(3 * STEP, len(item) + STEP))]
+        if 100 * np.count_nonzero(np.isin(item, region)) < ANSWERED_SHARE * len(item):
+            continue
         common = common_length(item, region)
         tail = item[-ANSWER_WORDS:]
         answered = any(np.array_equal(region[i : i + len(tail)], tail) for i in np.flatnonzero(region == tail[0]))
@@ -264,7 +263,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, into: str = "leaks", text:
     """Add an array of the benchmark items that each document holds."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    weights = term_weights(docs.select(F.col(text).alias("text")), items)
+    weights = term_weights(docs.select(F.col(text).alias("text")))
     table = decompose(items, weights)
     blocks = max(1, -(-items.count() // PASSAGES))
     kept = [f for f in docs.schema.fields if f.name != into]
@@ -274,22 +273,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, into: str = "leaks", text:
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else items
         passages = read_passages(part.orderBy("item_id", "text").toArrow(), table)
         lists.append((passages.vectors, passages.item_of, passages.start_of, passages.ids, passages.items))
-    shipped = spark.sparkContext.broadcast(np.flatnonzero(table.any(1))), spark.sparkContext.broadcast(table[table.any(1)])
+    shipped = spark.sparkContext.broadcast((np.flatnonzero(table.any(1)), table[table.any(1)], weights**2))
     blocks_sent = [spark.sparkContext.broadcast(x) for x in lists]
+    whole, flag = pa.int64(), pa.bool_()
     leak_type = pa.list_(
-        pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("common_words", pa.int64()), ("item_words", pa.int64()), ("answered", pa.bool_())])
+        pa.struct(
+            [("item_id", whole), ("cosine", pa.float64()), ("common_words", whole), ("item_words", whole), ("answered", flag)]
+        )
     )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros((TERMS, RANK), np.float32)
-        own[shipped[0].value] = shipped[1].value
+        at, vectors, squares = shipped.value
+        own[at] = vectors
         active = own.any(1)
         for batch in batches:
             column = text_column(batch, text)
             for start, stop in slices(column, SLICE):
                 found: list[list[dict]] = [[] for _ in range(stop - start)]
                 for sent in blocks_sent:
-                    for one, more in zip(found, search(column[start:stop], Passages(*sent.value), own, active)):
+                    for one, more in zip(found, search(column[start:stop], Passages(*sent.value), own, active, squares)):
                         one.extend(more)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(n)[start:stop] for n in out_names] + [pa.array(found, leak_type)], [*out_names, into]
