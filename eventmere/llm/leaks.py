@@ -4,9 +4,15 @@ Benchmark passages become TF-IDF vectors over hashed terms; their inverse docume
 frequencies come from the whole corpus. A randomised singular value decomposition
 of the passage matrix, made of sums over tasks, gives every benchmark term a
 short vector. Documents are cut into overlapping windows; a window's vector is the
-sum of its terms' vectors, and windows near a passage by cosine are candidates.
-Each candidate is then compared word by word: by the longest common subsequence
-with the item, and by the item's last words, its answer.
+sum of its terms' vectors, and its cosine with a passage is the score of a leak.
+
+The cosine does not choose the candidates, as a space of fixed rank keeps less of a
+passage the more passages there are. Candidates come from an exact bound: a leak holds
+at least half of the item's words, so of any larger part of them it holds all but the
+other half. The words that cost least to look up make this part. No place that the next
+comparison accepts is left out, whatever the size of the benchmark. Each candidate is
+compared word by word: by the longest common subsequence with the item, and by the
+item's last words, its answer.
 
 Documents need no shuffle: all they need is broadcast. Term vectors are bounded
 by ``TERMS`` hashed terms, passages by ``PASSAGES`` at a time; a larger benchmark
@@ -38,13 +44,12 @@ OVERSAMPLED = 16
 #: Words of a window's step; a window is two steps.
 STEP = 32
 PASSAGES = 20_000
-#: Cosine of a window and a passage in the space of the decomposition, and the same
-#: with the length of the whole window, which also counts words no passage has.
-LEAST_COSINE, LEAST_WHOLE_COSINE = 0.6, 0.12
 #: Shares of an item's words, in order, that make a leak, alone or with its answer.
 LEAK_SHARE, ANSWERED_SHARE = 70, 50
 ANSWER_WORDS = 5
 SLICE = 400_000
+#: Candidates whose places are counted at a time.
+CANDIDATES = 20_000
 
 LEAKS = T.ArrayType(
     T.StructType(
@@ -190,16 +195,24 @@ def common_length(item: np.ndarray, words: np.ndarray) -> int:
 
 @dataclass
 class Passages:
-    """A block of benchmark passages: unit vectors, and the item of each."""
+    """A block of benchmark passages: unit vectors, and the item of each; indexed words of the items."""
 
     vectors: np.ndarray
     item_of: np.ndarray
     start_of: np.ndarray
     ids: list[int]
     items: list[np.ndarray]
+    #: Indexed words in ascending order, where each one's entries begin, and the entries: item and its places with the word.
+    words: np.ndarray
+    heads: np.ndarray
+    entry_item: np.ndarray
+    entry_places: np.ndarray
+    #: Of each item, how many indexed places a leak fills at least, and how many steps a leak's region has.
+    needed: np.ndarray
+    steps: np.ndarray
 
 
-def read_passages(rows: pa.Table, table: np.ndarray) -> Passages:
+def read_passages(rows: pa.Table, table: np.ndarray, weights: np.ndarray) -> Passages:
     vectors, item_of, start_of = [], [], []
     ids = rows.column("item_id").to_pylist()
     items = [np.zeros(0, np.uint64)] * len(ids)
@@ -209,53 +222,134 @@ def read_passages(rows: pa.Table, table: np.ndarray) -> Passages:
         item_of.append(row)
         start_of.append(start)
         items[row] = hashes
-    return Passages(np.array(vectors, np.float32).reshape(-1, RANK), np.array(item_of, np.int64), np.array(start_of, np.int64), ids, items)
-
-
-def search(column: pa.Array, passages: Passages, table: np.ndarray, active: np.ndarray, squares: np.ndarray) -> list[list[dict]]:
-    """The leaks in each text."""
+    return Passages(
+        np.array(vectors, np.float32).reshape(-1, RANK), np.array(item_of, np.int64), np.array(start_of, np.int64), ids, items,
+        *index_words(items, weights),
+    )
+
+
+def _region_words(length: np.ndarray | int):
+    """Words of the region where an item that begins in a step is looked for, from that step's first word on."""
+    return np.maximum(3 * STEP, length + STEP)
+
+
+def index_words(items: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Words, heads, entries' items and places, needed places and steps of ``Passages``."""
+    length = np.array([len(x) for x in items], np.int64)
+    words = np.concatenate(items) if len(items) else np.zeros(0, np.uint64)
+    item = np.repeat(np.arange(len(items)), length)
+    kinds, kind = np.unique(words, return_inverse=True)
+    # Places of a word in an item, and items of a word.
+    pairs, pair, places = np.unique(kind * max(len(items), 1) + item, return_inverse=True, return_counts=True)
+    held = np.bincount(pairs // max(len(items), 1), minlength=len(kinds))
+    # What looking up a word costs: how often it comes, times its entries.
+    cost = np.exp(-weights[_terms(kinds)]) * held
+    order = np.lexsort((pair, cost[kind], item))
+    first = np.cumsum(length) - length
+    rank = np.arange(len(words)) - np.repeat(first, length)
+    # A leak misses half of the item's places at most.
+    missed = length - -(-ANSWERED_SHARE * length // 100)
+    needed = np.maximum(1, np.minimum(length // 4, length - missed))
+    indexed = pair[order[rank < np.repeat(missed + needed, length)]]
+    chosen, count = np.unique(indexed, return_counts=True)
+    of_word = pairs[chosen] // max(len(items), 1)
+    used, heads = np.unique(of_word, return_index=True)
+    steps = 1 + -(-_region_words(length) // STEP)
+    return kinds[used], np.append(heads, len(chosen)), pairs[chosen] % max(len(items), 1), count, needed, steps
+
+
+def candidates(hashes: np.ndarray, step_of: np.ndarray, text_of: np.ndarray, passages: Passages, indexed: np.ndarray) -> list[tuple[int, int]]:
+    """Steps and items such that enough indexed places of the item are filled from this step on."""
+    hit = np.flatnonzero(indexed[_terms(hashes)])
+    at = np.searchsorted(passages.words, hashes[hit])
+    at = np.minimum(at, len(passages.words) - 1)
+    same = passages.words[at] == hashes[hit]
+    found = np.unique(step_of[hit[same]] * len(passages.words) + at[same])
+    step, word = found // len(passages.words), found % len(passages.words)
+    entries = passages.heads[word + 1] - passages.heads[word]
+    reached = np.cumsum(entries)
+    entry = np.arange(reached[-1] if len(reached) else 0) + np.repeat(passages.heads[word] - (reached - entries), entries)
+    item, places = passages.entry_item[entry], passages.entry_places[entry]
+    # Steps are numbered with gaps, so that no region reaches into the next text or item.
+    gap = int(passages.steps.max(initial=0))
+    spread = np.arange(len(text_of)) + text_of * gap
+    stride = (spread[-1] if len(spread) else 0) + gap + 1
+    stands = np.sort(word * stride + spread[step])
+    step = np.repeat(step, entries)
+    key = item * stride + spread[step]
+    order = np.argsort(key, kind="stable")
+    key, step, item = key[order], step[order], item[order]
+    filled = np.append(0, np.cumsum(places[order]))
+    heads = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, int)
+    ends = np.searchsorted(key, key[heads] + passages.steps[item[heads]])
+    enough = heads[filled[ends] - filled[heads] >= passages.needed[item[heads]]]
+    step, item = step[enough], item[enough]
+    # A word that stands in several steps was counted in each. Now every place counts once.
+    by_item = np.argsort(passages.entry_item, kind="stable")
+    own_words = np.repeat(np.arange(len(passages.words)), np.diff(passages.heads))[by_item]
+    edges = np.searchsorted(passages.entry_item[by_item], np.arange(len(passages.items) + 1))
+    kept = []
+    for i in range(0, len(step), CANDIDATES):
+        some, of = step[i : i + CANDIDATES], item[i : i + CANDIDATES]
+        entries = edges[of + 1] - edges[of]
+        reached = np.cumsum(entries)
+        entry = np.arange(reached[-1]) + np.repeat(edges[of] - (reached - entries), entries)
+        least = own_words[entry] * stride + np.repeat(spread[some], entries)
+        next_one = np.append(stands, np.iinfo(np.int64).max)[np.searchsorted(stands, least)]
+        there = next_one < least + np.repeat(passages.steps[of], entries)
+        filled = np.bincount(np.repeat(np.arange(len(some)), entries), passages.entry_places[by_item][entry] * there, len(some))
+        good = filled >= passages.needed[of]
+        kept += zip(some[good].tolist(), of[good].tolist())
+    return kept
+
+
+def search(column: pa.Array, passages: Passages, table: np.ndarray, indexed: np.ndarray) -> list[list[dict]]:
+    """The leaks in each text; ``indexed`` marks the terms of indexed words."""
     words = read_words(column, lower=True)
     hashes = word_hashes(words)
     found: list[dict[int, dict]] = [{} for _ in range(len(column))]
     step_of, text_of = _windows(words)
-    if not len(step_of) or not len(passages.vectors):
+    if not len(step_of) or not len(passages.words):
         return [[] for _ in found]
-    terms = _terms(hashes)
-    used = np.flatnonzero(active[terms])
-    sums = np.zeros((len(text_of), RANK), np.float32)
-    if len(used):
-        heads = np.flatnonzero(np.append(True, step_of[used][1:] != step_of[used][:-1]))
-        sums[step_of[used][heads]] = np.add.reduceat(table[terms[used]], heads, axis=0)
-    windows = sums.copy()
-    length = np.bincount(step_of, squares[terms], len(text_of))
-    norms = length.copy()
-    same = text_of[1:] == text_of[:-1]
-    windows[:-1][same] += sums[1:][same]
-    norms[:-1][same] += length[1:][same]
-    inner = np.linalg.norm(windows, axis=1)
-    share = inner / np.maximum(np.sqrt(norms), 1e-9)
-    windows /= np.maximum(inner, 1e-9)[:, None]
-    near = windows @ passages.vectors.T
-    first_word = np.searchsorted(step_of, np.arange(len(text_of)))
-    for window, passage in zip(*np.nonzero(near >= np.maximum(LEAST_COSINE, LEAST_WHOLE_COSINE / np.maximum(share, 1e-9))[:, None])):
-        row, text = int(passages.item_of[passage]), int(text_of[window])
-        item = passages.items[row]
-        begin, end = words.first[text], words.first[text + 1]
-        # Where the item would stand, with a step more on both sides.
-        about = first_word[window] - passages.start_of[passage]
-        region = hashes[max(begin, about - STEP) : min(end, about + max(3 * STEP, len(item) + STEP))]
-        if 100 * np.count_nonzero(np.isin(item, region)) < ANSWERED_SHARE * len(item):
+    first_step = np.searchsorted(text_of, np.arange(len(column) + 1))
+    begins = np.searchsorted(passages.item_of, np.arange(len(passages.items) + 1))
+    seen: set[tuple[int, int]] = set()
+
+    def cosine(text: int, place: int, row: int) -> float:
+        """The best cosine of the item's passages and the windows where they would stand."""
+        best = 0.0
+        for passage in range(begins[row], begins[row + 1]):
+            start = words.first[text] + place * STEP + passages.start_of[passage]
+            vector = table[_terms(hashes[start : min(start + 2 * STEP, words.first[text + 1])])].sum(0)
+            best = max(best, float(vector @ passages.vectors[passage]) / float(max(np.linalg.norm(vector), 1e-9)))
+        return best
+
+    for step, row in candidates(hashes, step_of, text_of, passages, indexed):
+        text, item = int(text_of[step]), passages.items[row]
+        begin, end, place = int(words.first[text]), int(words.first[text + 1]), step - int(first_step[text])
+        length, steps = int(_region_words(len(item))), int(passages.steps[row])
+        # All regions with this step, at first in one.
+        low, high = max(0, place - steps + 2), min(place + 1, int(first_step[text + 1] - first_step[text]) - 1)
+        whole = hashes[max(begin, begin + (low - 1) * STEP) : min(end, begin + high * STEP + length)]
+        if 100 * np.count_nonzero(np.isin(item, whole)) < ANSWERED_SHARE * len(item):
             continue
-        common = common_length(item, region)
-        tail = item[-ANSWER_WORDS:]
-        answered = any(np.array_equal(region[i : i + len(tail)], tail) for i in np.flatnonzero(region == tail[0]))
-        if 100 * common >= LEAK_SHARE * len(item) or answered and 100 * common >= ANSWERED_SHARE * len(item):
-            best = found[text].get(row)
-            cosine = float(near[window, passage])
-            if best is None or (common, cosine) > (best["common_words"], best["cosine"]):
-                found[text][row] = {
-                    "item_id": passages.ids[row], "cosine": cosine, "common_words": common, "item_words": len(item), "answered": answered
-                }
+        for at in range(low, high + 1):
+            if (row, step - place + at) in seen:
+                continue
+            seen.add((row, step - place + at))
+            # Where an item that begins in this step would stand, with a step more on both sides.
+            region = hashes[max(begin, begin + (at - 1) * STEP) : min(end, begin + at * STEP + length)]
+            if 100 * np.count_nonzero(np.isin(item, region)) < ANSWERED_SHARE * len(item):
+                continue
+            common = common_length(item, region)
+            tail = item[-ANSWER_WORDS:]
+            answered = any(np.array_equal(region[i : i + len(tail)], tail) for i in np.flatnonzero(region == tail[0]))
+            if 100 * common >= LEAK_SHARE * len(item) or answered and 100 * common >= ANSWERED_SHARE * len(item):
+                best, near = found[text].get(row), cosine(text, at, row)
+                if best is None or (common, near) > (best["common_words"], best["cosine"]):
+                    found[text][row] = {
+                        "item_id": passages.ids[row], "cosine": near, "common_words": common, "item_words": len(item), "answered": answered
+                    }
     return [sorted(f.values(), key=lambda x: (x["item_id"] is None, x["item_id"])) for f in found]
 
 
@@ -271,9 +365,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, into: str = "leaks", text:
     lists = []
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else items
-        passages = read_passages(part.orderBy("item_id", "text").toArrow(), table)
-        lists.append((passages.vectors, passages.item_of, passages.start_of, passages.ids, passages.items))
-    shipped = spark.sparkContext.broadcast((np.flatnonzero(table.any(1)), table[table.any(1)], weights**2))
+        passages = read_passages(part.orderBy("item_id", "text").toArrow(), table, weights)
+        lists.append(tuple(vars(passages).values()))
+    shipped = spark.sparkContext.broadcast((np.flatnonzero(table.any(1)), table[table.any(1)]))
     blocks_sent = [spark.sparkContext.broadcast(x) for x in lists]
     whole, flag = pa.int64(), pa.bool_()
     leak_type = pa.list_(
@@ -284,15 +378,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, into: str = "leaks", text:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros((TERMS, RANK), np.float32)
-        at, vectors, squares = shipped.value
+        at, vectors = shipped.value
         own[at] = vectors
-        active = own.any(1)
+        blocks = []
+        for sent in blocks_sent:
+            passages, indexed = Passages(*sent.value), np.zeros(TERMS, bool)
+            indexed[_terms(passages.words)] = True
+            blocks.append((passages, indexed))
         for batch in batches:
             column = text_column(batch, text)
             for start, stop in slices(column, SLICE):
                 found: list[list[dict]] = [[] for _ in range(stop - start)]
-                for sent in blocks_sent:
-                    for one, more in zip(found, search(column[start:stop], Passages(*sent.value), own, active, squares)):
+                for passages, indexed in blocks:
+                    for one, more in zip(found, search(column[start:stop], passages, own, indexed)):
                         one.extend(more)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(n)[start:stop] for n in out_names] + [pa.array(found, leak_type)], [*out_names, into]

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from cases import LOWER, frame, prose, texts
 from eventmere.llm import leaks
@@ -47,6 +48,46 @@ def test_recall_of_exact_and_edited_items(spark):
     assert kept.columns == frame(spark).columns and kept.count() >= len(docs) - 80
 
 
+def test_short_and_edited_items_of_a_benchmark_of_many_times_the_rank():
+    rng = np.random.default_rng(11)
+    mixed = lambda n: np.where(rng.random(n) < 0.4, np.minimum(rng.zipf(1.2, n), 20_000), rng.integers(0, 20_000, n))
+    words = lambda n: ["w%d" % w for w in mixed(n)]
+    items = [words(int(rng.integers(15, 60))) for _ in range(10 * leaks.RANK)]
+    docs, want = [], []
+    for n in range(20):
+        item = items[n * 13]
+        held = [w if n % 2 or rng.random() > 0.25 else "other" for w in item]
+        docs.append(" ".join(words(int(rng.integers(20, 100))) + held + words(40)))
+        want.append(100 * lcs(item, held) >= leaks.LEAK_SHARE * len(item))
+    rows = pa.table({"item_id": list(range(len(items))), "text": [" ".join(x) for x in items]})
+    table = np.ones((leaks.TERMS, leaks.RANK), np.float32)
+    passages = leaks.read_passages(rows, table, np.ones(leaks.TERMS))
+    found = leaks.search(pa.array(docs), passages, table, np.ones(leaks.TERMS, bool))
+    assert sum(want) > 12
+    assert all(n * 13 in {x["item_id"] for x in found[n]} for n in range(20) if want[n])
+
+
+def test_candidates_lose_no_place_that_is_accepted():
+    rng = np.random.default_rng(12)
+    words = lambda n, kinds=40: ["w%d" % w for w in rng.integers(0, kinds, n)]
+    numbers = lambda ws: np.array([int(w[1:]) for w in ws], np.uint64)
+    items = [words(n) for n in (1, 2, 3, 4, 5, 8, 15, 33, 64, 65, 100, 150)]
+    texts_ = [" ".join(words(60, 400) + [w for w in items[i % 12] if rng.random() > 0.3] + words(i, 400)) for i in range(24)]
+    rows = pa.table({"item_id": list(range(12)), "text": [" ".join(x) for x in items]})
+    table = np.ones((leaks.TERMS, leaks.RANK), np.float32)
+    passages = leaks.read_passages(rows, table, np.ones(leaks.TERMS))
+    indexed = np.ones(leaks.TERMS, bool)
+    found = leaks.search(pa.array(texts_), passages, table, indexed)
+    for text, leaked in zip(texts_, found):
+        held, got = text.split(), {x["item_id"]: x["common_words"] for x in leaked}
+        for n, item in enumerate(items):
+            regions = [held[max(0, s - 32) : s + max(96, len(item) + 32)] for s in range(0, len(held), 32)]
+            common = [leaks.common_length(numbers(item), numbers(r)) for r in regions]
+            answered = [" ".join(item[-5:]) in [" ".join(r[i : i + len(item[-5:])]) for i in range(len(r))] for r in regions]
+            good = [c for c, a in zip(common, answered) if 10 * c >= 7 * len(item) or a and 2 * c >= len(item)]
+            assert got.get(n) == max(good, default=None), (n, text)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, " ".join(prose(9, 20)))], "item_id long, text string")
