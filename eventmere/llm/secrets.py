@@ -39,9 +39,14 @@ LONGEST_WORD = 24
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_HINTS = ("pass", "secret", "token", "apikey", "api_key", "api key", "pwd", "credential", "private key")
+#: Names of a credential. A text without one of them has no context.
+NAMES = (
+    *("password", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "credentials", "credential"),
+    *(f"api{x}key" for x in ("", "_", " ", "-")),
+    *(f"private{x}key" for x in (" ", "_", "-")),
+)
 _CONTEXT = re.compile(
-    r"""(?:password|passwd|passphrase|passcode|pwd|secret|token|credentials?|api[_ -]?key|private[ _-]key)["'`]?"""
+    rf"""(?:{"|".join(re.escape(x) for x in NAMES)})["'`]?"""
     r"""(?:\x20*(?::=|=>|[:=])\x20*|\x20+(?:is|was)\x20+)["'`]?([^\s"'`,;<>(){}]{6,})""",
     re.I | re.A,
 )
@@ -131,7 +136,7 @@ def find_in(text: str, ranks: dict[str, int], least: float = LEAST_COST) -> list
     """Spans (kind, start, end, base) of a text in code points."""
     found = []
     low = text.lower()
-    hinted = any(h in low for h in _HINTS)
+    hinted = any(h in low for h in NAMES)
     if hinted:
         found += [(0, m.start(), m.end(), True) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
     if "AKIA" in text:
@@ -143,8 +148,7 @@ def find_in(text: str, ranks: dict[str, int], least: float = LEAST_COST) -> list
             end = start + len(value)
             if any(s < end and start < e for _, s, e, _ in found) or len(value) < 6:
                 continue
-            kinds = sum((any(c.isdigit() for c in value), any(c.isalpha() for c in value), any(not c.isalnum() for c in value)))
-            if kinds > 1 and guess_cost(value, ranks) >= least:
+            if guess_cost(value, ranks) >= least:
                 found.append((3, start, end, False))
     return sorted(found, key=lambda s: (s[1], s[0]))
 

@@ -48,3 +48,19 @@ def test_credential_values():
     assert kinds("my password is x9$Kq!2mZp7.") == [("credential", "x9$Kq!2mZp7")]
     assert kinds("the password is monkey1990 here") == []
     assert kinds("a token of thanks, the secret is out there") == []
+
+
+def test_cost_alone_decides():
+    kinds = lambda text: [text[s:e] for k, s, e, _ in secrets.find_in(text, RANKS) if k == 3]
+    assert kinds("pwd=QzVkXwJpYhTrMnBd") == ["QzVkXwJpYhTrMnBd"]
+    assert kinds("the passphrase is qzvkxwjpyhtrmnbd") == ["qzvkxwjpyhtrmnbd"]
+    assert kinds("the token is 739174628503") == ["739174628503"]
+    assert kinds("the password is passwordmonkey and the token is 111111111111") == []
+
+
+def test_each_name_alone_in_a_text_is_found():
+    forms = [f"api{x}key" for x in ("", "_", " ", "-")] + [f"private{x}key" for x in (" ", "_", "-")]
+    for name in ["password", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "credential", "credentials", *forms]:
+        for spelled in (name, name.upper()):
+            text = f"{spelled}: x9$Kq!2mZp7"
+            assert [text[s:e] for _, s, e, _ in secrets.find_in(text, RANKS)] == ["x9$Kq!2mZp7"], spelled
