@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventmere.llm import leaks, near, personal, rules, segments, shared
 
+#: Least similarity, in percent, of what counts as near duplicates here; op8 has its own.
+NEAR_PERCENT = 80
 #: Some stages train or search, which SQL cannot express.
 ORACLE_SQL = None
 
@@ -27,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest id, of each group of near duplicates."""
-    return near.keep_one(docs)
+    return near.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,9 +21,9 @@ sketches. So inverted lists of sketch values find all similar pairs:
   confirmed on the full sets.
 
 The shared values of two sketches are a random sample of their sets: for a pair at
-the threshold fewer than ``LEAST_SHARED`` of the 128 smallest values are common
-with a probability below 1e-7; documents of up to 108 shingles are compared by
-complete sets, which is exact.
+the threshold fewer than ``least_shared`` of the 128 smallest values are common
+with a probability below 1e-7; at 85 percent, documents of up to 108 shingles are
+compared by complete sets, which is exact.
 
 Cases: texts without words and null texts have an empty set and are linked with
 nothing; a text of one to four words is one shingle; rows with the same id are
@@ -33,7 +33,9 @@ result; other columns are not looked at.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +48,24 @@ from eventmere.llm.texts import Words, read_words, run_hashes, sequence_hashes,
 
 SHINGLE = 5
 SKETCH = 128
-#: Shared sketch values of two documents at the threshold, at the very least.
-LEAST_SHARED = 84
 PERCENT = 85
+#: Chance that two documents at the threshold share fewer sketch values than are asked for.
+LEAST_CHANCE = 1e-7
 #: A sketch that is the whole set, of any size.
 WHOLE = 1 << 40
-#: A pair whose union sketch shows less is not similar (six standard deviations).
-LEAST_ESTIMATE = LEAST_SHARED / SKETCH
+
+
+@cache
+def least_shared(percent: int) -> int:
+    """Shared sketch values of two documents at the threshold, at the very least; a union sketch with fewer is not similar."""
+    share, below = percent / 100, 0.0
+    for k in range(SKETCH + 1):
+        below += math.comb(SKETCH, k) * share**k * (1 - share) ** (SKETCH - k)
+        if below >= LEAST_CHANCE:
+            break
+    if k < 2:
+        raise ValueError(f"sketches of {SKETCH} values are too short for a similarity of {percent} percent")
+    return k - 1
 
 
 def shingle_sets(words: Words) -> list[np.ndarray]:
@@ -74,11 +87,11 @@ def shingle_sets(words: Words) -> list[np.ndarray]:
     return found
 
 
-def prefix_length(size: np.ndarray, sketch: int = SKETCH) -> np.ndarray:
+def prefix_length(size: np.ndarray, sketch: int = SKETCH, percent: int = PERCENT) -> np.ndarray:
     """Of the rarest sketch values of a set, how many must be listed to meet every similar sketch."""
-    complete = size - -(-PERCENT * size // 100) + 1
-    sampled = np.minimum(size, sketch) - LEAST_SHARED + 1
-    return np.where(100 * size <= PERCENT * sketch, complete, sampled)
+    complete = size - -(-percent * size // 100) + 1
+    sampled = np.minimum(size, sketch) - least_shared(percent) + 1
+    return np.where(100 * size <= percent * sketch, complete, sampled)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -89,7 +102,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     new = np.append(True, head[1:] != head[:-1])
     lowest = head[new][:SKETCH]
     both = np.count_nonzero(~new[: np.searchsorted(head, lowest[-1], side="right")])
-    if both < LEAST_ESTIMATE * len(lowest):
+    if both * SKETCH < least_shared(percent) * len(lowest):
         return False
     merged = np.sort(np.concatenate((a, b)))
     common = np.count_nonzero(merged[1:] == merged[:-1])
@@ -119,7 +132,7 @@ def _sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(sketch, "_id long, n long, k0 long, k1 long, sketch binary")
 
 
-def _lists(sets: DataFrame, blocks: int, sketch: int) -> DataFrame:
+def _lists(sets: DataFrame, blocks: int, sketch: int, percent: int) -> DataFrame:
     """Listed values that two or more documents hold, of sets or sketches ``s`` (``id``, ``n``).
 
     ``common`` says how common a document's values are on average: the origin of
@@ -178,7 +191,7 @@ def _lists(sets: DataFrame, blocks: int, sketch: int) -> DataFrame:
         size = n[order]
         alone = np.minimum(size, sketch) - np.repeat(counts, counts)
         common = np.repeat(np.add.reduceat(held[order], heads), counts) / np.minimum(size, sketch)
-        listed = rank < prefix_length(size, sketch) - alone
+        listed = rank < prefix_length(size, sketch, percent) - alone
         out = table.select(["value", "id", "n"]).take(pa.array(order[listed]))
         out = out.append_column("common", pa.array(common[listed], pa.float64()))
         return out.append_column("place", pa.array((rank + alone)[listed], pa.int64()))
@@ -253,10 +266,9 @@ def _apart(lists: DataFrame, placed: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``key``, ``n_shingles``, ``class_id``, ``component_id`` and ``kept`` of every document.
 
-    ``percent`` is the least similarity; sketches are laid out for 85 or more.
+    ``percent`` is the least similarity.
     """
-    if percent < PERCENT:
-        raise ValueError(f"sketches of {SKETCH} values serve similarities from {PERCENT} percent")
+    least_shared(percent)  # Raises if sketches are too short.
     docs = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
     blocks = max(shared.shuffle_partitions(docs.sparkSession), shared.block_count(docs, "_text"))
     rows = shared.stored(_sketches(docs), "sketches")
@@ -270,7 +282,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     firsts = classes.filter("class_id is not null").select(F.col("class_id").alias("_id"), "k0", "k1")
     representatives = rows.filter("n > 0").join(firsts, ["_id", "k0", "k1"], "left_semi")
     representatives = representatives.select(F.col("_id").alias("id"), "n", F.col("sketch").alias("s"))
-    lists = shared.stored(_lists(representatives, blocks, SKETCH).distinct(), "lists")
+    lists = shared.stored(_lists(representatives, blocks, SKETCH, percent).distinct(), "lists")
     sets = shared.stored(_sets_of(docs, lists.select("id").distinct()), "sets")
 
     # First every document and the pivot it meets most often.
@@ -282,7 +294,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     # Documents in a list with others that are still apart: whole sets, shorter lists.
     apart = _apart(lists, placed).select("id").distinct()
     whole = sets.join(apart, "id", "left_semi")
-    lists = shared.stored(_lists(whole, blocks, WHOLE).distinct(), "lists")
+    lists = shared.stored(_lists(whole, blocks, WHOLE, percent).distinct(), "lists")
     more = shared.stored(_confirmed(_with_pivots(lists, placed, percent), sets, percent), "confirmed")
     links = links.unionByName(more)
     found = components(links)
@@ -310,13 +322,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     )
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents without near duplicates of smaller id, with their own columns.
 
     Only ids that go are joined. Repeated rows of one id and text are one document;
     of those one row stays.
     """
-    found = near_duplicates(docs, key, text)
+    found = near_duplicates(docs, key, text, percent)
     gone = found.filter(~F.col("kept")).select(F.col(key).cast("long").alias("__gone")).distinct()
     left = docs.join(gone, F.col(key).cast("long") == F.col("__gone"), "left_anti")
     repeated = docs.filter(F.col(key).isNotNull()).groupBy(key, F.xxhash64(text).alias("__text")).agg(F.count("*").alias("c"))

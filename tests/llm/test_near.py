@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+import corpus_pipeline
 from cases import LOWER, frame, prose, texts, words
 from eventmere.llm import near
 from eventmere.llm.components import components
@@ -68,6 +69,28 @@ def test_union_sketch_never_rejects_a_similar_pair():
             assert near.similar(a, b) == exact
 
 
+def test_pipeline_links_pairs_from_80_percent(spark):
+    rows = []
+    for group, size in enumerate((44, 204, 1004)):
+        origin = prose(700 + group, size)
+        for parts in (8, 9, 10):  # a part of the shingles differs in each of the two
+            copy = ["g%d%s" % (parts, w) for w in origin]
+            fresh = ["new%d" % i for i in range((size - 4) // parts)]
+            rows += [(len(rows), " ".join(copy)), (len(rows) + 1, " ".join(copy[: size - len(fresh)] + fresh))]
+    near_by = []
+    for i in range(0, len(rows), 2):
+        a, b = shingles(rows[i][1]), shingles(rows[i + 1][1])
+        near_by.append(100 * len(a & b) / len(a | b))
+    assert any(80 <= x < 85 for x in near_by) and any(x < 80 for x in near_by)
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, frame(spark, rows), "").collect()}
+    assert kept == {i for i in range(0, len(rows), 2)} | {2 * n + 1 for n, x in enumerate(near_by) if x < 80}
+
+
+def test_least_shared_follows_the_percent():
+    assert near.least_shared(85) == 84 and near.least_shared(80) == 76
+    assert near.prefix_length(np.array([500]), percent=80) == 53 and near.prefix_length(np.array([100]), percent=80) == 21
+
+
 def test_keep_one_keeps_columns_and_one_of_each(spark):
     kept = near.keep_one(frame(spark))
     assert kept.columns == frame(spark).columns
