@@ -48,7 +48,7 @@ LOOSE = {
 }
 #: A text without this has no match.
 NEEDS = {"email": "@", "phone": "+", "ip": "."}
-LOOSE_NEEDS = {"email": "at", "ip": ":", "phone": "-"}
+LOOSE_NEEDS = {"email": "at", "ip": ":"}
 
 ROUNDS = 3
 #: Different seeds that must follow a context, and how sure it must be.
@@ -131,7 +131,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         rows = rows.withColumn(f"__s_{kind}", _spans(text, f"__m_{kind}", PATTERNS[kind], n))
     for n, kind in enumerate(KINDS):
         if kind in LOOSE:
-            rows = rows.withColumn(f"__n_{kind}", _matches(text, LOOSE[kind], LOOSE_NEEDS[kind]))
+            rows = rows.withColumn(f"__n_{kind}", _matches(text, LOOSE[kind], LOOSE_NEEDS.get(kind)))
             rows = rows.withColumn(f"__l_{kind}", _spans(text, f"__n_{kind}", LOOSE[kind], n))
     base = [F.filter(f"__s_{kind}", _valid(kind)) for kind in KINDS]
     cards = F.filter("__s_card", lambda s: F.char_length(_digits(s["value"])).between(13, 19) & ~_luhn(s["value"]))

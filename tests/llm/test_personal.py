@@ -60,6 +60,13 @@ def test_contexts_learned_from_seeds_find_new_spans(spark):
     assert {r["doc_id"]: r["s"] for r in found if r["s"]} == {50: "phone:19:31", 52: "phone:15:29"}
 
 
+def test_phones_without_a_hyphen_in_the_text(spark):
+    rows = [(i, f"filler {i} reach me on +1 (98{i}) 555-248{i} today") for i in range(9)]
+    rows += [(50, "filler reach me on 555.123.4567 now"), (51, "reach me on (555) 123.4567")]
+    found = personal.find_personal(frame(spark, rows)).select("doc_id", personal.listed(F.col("__added")).alias("s")).collect()
+    assert {r["doc_id"]: r["s"] for r in found if r["s"]} == {50: "phone:19:31", 51: "phone:12:26"}
+
+
 def test_masking(spark):
     rows = [(1, "é a@b.c x +1 (988) 555-2485"), (2, None), (3, "plain")]
     got = {r["doc_id"]: r for r in personal.mask_personal(frame(spark, rows), size="n_chars").collect()}
