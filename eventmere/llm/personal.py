@@ -5,7 +5,7 @@ lexical context; the same scan also collects candidates: identifiers of a looser
 shape that no base pattern covers, with their contexts. Contexts and instances
 make a graph. A few rounds score it: a context is as sure as the instances that
 follow it, an instance that is no seed as sure as its contexts together. Candidates
-in a context that is sure enough, and that several different seeds vouch for,
+in a context that is sure enough, and that several different sure instances vouch for,
 become spans as well. Base spans always stay.
 
 Everything is a DataFrame expression or a join on the main path: positions come
@@ -51,7 +51,7 @@ NEEDS = {"email": "@", "phone": "+", "ip": "."}
 LOOSE_NEEDS = {"email": "at", "ip": ":"}
 
 ROUNDS = 3
-#: Different seeds that must follow a context, and how sure it must be.
+#: Different sure instances, seeds or not, that must follow a context, and how sure these and it must be.
 LEAST_SEEDS = 5
 LEAST_SURE = 0.8
 
@@ -151,7 +151,7 @@ def sure_contexts(found: DataFrame) -> DataFrame:
     for _ in range(ROUNDS):
         held = edges.join(instances, ["kind", "value"])
         contexts = held.groupBy("kind", "context").agg(
-            (F.sum("sure") / (F.count("*") + 1)).alias("weight"), F.sum("seed").alias("seeds")
+            (F.sum("sure") / (F.count("*") + 1)).alias("weight"), F.sum((F.col("sure") >= LEAST_SURE).cast("int")).alias("seeds")
         )
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("weight"), F.lit(1e-9)))))
         instances = (

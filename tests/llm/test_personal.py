@@ -67,6 +67,14 @@ def test_phones_without_a_hyphen_in_the_text(spark):
     assert {r["doc_id"]: r["s"] for r in found if r["s"]} == {50: "phone:19:31", 51: "phone:12:26"}
 
 
+def test_sure_instances_support_a_context_without_seeds(spark):
+    rows = [(i, f"filler reach me on +1 (9{i}) 555-2485 today") for i in range(10, 90)]
+    rows += [(100 + i, f"reach me on 555-123-456{i} now") for i in range(9)]
+    rows += [(200 + i, f"my new line 555-123-456{i} now") for i in range(9)] + [(300, "my new line 555-999-0000 now")]
+    found = personal.find_personal(frame(spark, rows)).select("doc_id", personal.listed(F.col("__added")).alias("s")).collect()
+    assert {r["doc_id"]: r["s"] for r in found}[300] == "phone:12:24"
+
+
 def test_masking(spark):
     rows = [(1, "é a@b.c x +1 (988) 555-2485"), (2, None), (3, "plain")]
     got = {r["doc_id"]: r for r in personal.mask_personal(frame(spark, rows), size="n_chars").collect()}
