@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmere.llm import leaks, near, personal, quality, rules, secrets, segments, substring, suffix_tree, warc
+from eventmere.llm import leaks, merkle, near, personal, quality, rules, secrets, segments, substring, suffix_tree, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_near_dedup": near.query,
         "op9_benchmark_leaks": leaks.query,
         "op10_quality_rules": rules.query,
+        "op11_merkle_manifest": merkle.query,
     }
 
 
@@ -31,4 +32,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_substring_dedup": substring.ORACLE_SQL,
         "op2_warc_index": warc.ORACLE_SQL,
         "op8_minhash_near_dedup": near.ORACLE_SQL,
+        "op11_merkle_manifest": merkle.ORACLE_SQL,
     }
