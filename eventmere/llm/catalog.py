@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmere.llm import leaks, merkle, near, personal, quality, rules, secrets, segments, substring, suffix_tree, warc
+from eventmere.llm import (
+    alignment, leaks, merkle, near, personal, quality, rules, secrets, segments, substring, suffix_tree, token_store, warc,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +25,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_benchmark_leaks": leaks.query,
         "op10_quality_rules": rules.query,
         "op11_merkle_manifest": merkle.query,
+        "op12_token_store": token_store.query,
+        "op13_token_alignment": alignment.query,
     }
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,3 +80,8 @@ def summed(rows: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size:
     for r in found:
         out[r["row"]] = np.frombuffer(r["v"])
     return out
+
+
+def file_system(folder: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's file system of a folder, and the folder's path on it."""
+    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")

@@ -24,5 +24,5 @@ def test_stages_keep_columns_and_take_effect(spark, tmp_path):
 
 def test_all_are_registered():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries() and set(catalog.oracle_sql()) <= set(names)
