@@ -6,27 +6,32 @@ kept if it is precise enough there; what it covers is taken out and the next
 rule is grown. The list becomes one ordered ``CASE WHEN`` over the statistics,
 so applying it to a corpus needs no shuffle and no Python beyond the counting.
 
-The list is fitted on at most ``FIT_ROWS`` labelled rows, those with the
-smallest hash of their id. Documents are judged by the fixed base rule as well.
+The list is fitted on about ``FIT_ROWS`` labelled documents, those whose id's hash is
+below a bound that follows from the number of labels, by one task. Documents are
+judged by the fixed base rule as well.
 
 Cases: null and empty texts have no words and fail the base rule; labels that
-are null or belong to no document are not used; without labels, or with one
+are null or belong to no document are not used; of several labels of one document
+the lowest counts, once for each row of the document; without labels, or with one
 class only, there are no learned rules; repeated rows are judged alike; an empty
 table gives an empty result; other columns are carried along.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmere.llm import shared
 from eventmere.llm.statistics import NAMES, with_statistics
 
-#: Most labelled rows the list is fitted on.
+#: Labelled documents the list is fitted on, about.
 FIT_ROWS = 30_000
 MAX_RULES = 8
 MAX_CONDITIONS = 4
@@ -145,21 +150,43 @@ def fit(rows: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
     return rules
 
 
-def learn(measured: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> list[Rule]:
-    """Rules from at most ``FIT_ROWS`` labelled rows of ``measured`` (``key`` and the statistics)."""
-    known = labels.filter(F.col(label).isin(0, 1)).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
-    rows = measured.select(F.col(key).alias("_key"), STATS).join(known, "_key")
+def labelled(labels: DataFrame, key: str = "doc_id", label: str = "quality") -> DataFrame:
+    """About ``FIT_ROWS`` labelled ids, by a bound on their hash, each once with its lowest label."""
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
+    known = known.groupBy(F.col(key).alias("_key")).agg(F.min(F.col(label).cast("int")).alias("_label"))
+    share = FIT_ROWS / max(known.count(), 1)
+    return known if share >= 1 else known.filter(F.shiftrightunsigned(F.xxhash64("_key"), 1) < int(share * 2**63))
+
+
+def learn(measured: DataFrame, sample: DataFrame, key: str = "doc_id") -> list[Rule]:
+    """Rules from the documents of ``measured`` (``key`` and the statistics) that ``labelled`` gave.
+
+    One task fits the list to this bounded sample; only the rules reach the driver.
+    """
     columns = [feature_column(f, STATS).alias(f) for f in RATIOS]
-    sample = (
-        rows.select("_key", "_label", *columns)
-        .orderBy(F.xxhash64("_key"), "_key", "_label", *RATIOS)
-        .limit(FIT_ROWS)
-        .toPandas()
-    )
-    bad = (sample["_label"] == 0).to_numpy()
-    if not len(sample) or bad.all() or not bad.any():
-        return []
-    return fit({f: sample[f].to_numpy() for f in RATIOS}, bad)
+    # The sample is FIT_ROWS ids and labels, some 16 bytes each.
+    rows = measured.select(F.col(key).alias("_key"), STATS).join(F.broadcast(sample), "_key")
+    rows = rows.select(F.xxhash64("_key").alias("_lot"), "_label", *columns)
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b.to_pandas() for b in batches]
+        found: list[Rule] = []
+        if parts:
+            table = pd.concat(parts).sort_values(["_lot", "_label", *RATIOS], ignore_index=True)
+            bad = (table["_label"] == 0).to_numpy()
+            if bad.any() and not bad.all():
+                found = fit({f: table[f].to_numpy() for f in RATIOS}, bad)
+        lines = [(n, c.feature, c.above, c.threshold) for n, rule in enumerate(found) for c in rule]
+        types = (pa.int32(), pa.string(), pa.bool_(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in lines], t) for i, t in enumerate(types)], ["n", "feature", "above", "threshold"])
+
+    lines = rows.repartition(1).mapInArrow(train, "n int, feature string, above boolean, threshold double").collect()
+    rules: list[Rule] = []
+    for line in lines:
+        if line["n"] == len(rules):
+            rules.append(())
+        rules[line["n"]] += (Condition(line["feature"], line["above"], line["threshold"]),)
+    return rules
 
 
 def keep_column(rules: list[Rule], stats: str = STATS) -> Column:
@@ -175,13 +202,16 @@ def keep_column(rules: list[Rule], stats: str = STATS) -> Column:
 
 def judge(measured: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """Statistics, ``base_failed`` and ``kept`` for every row of measured documents."""
-    rules = learn(measured, labels, key)
+    rules = learn(measured, labelled(labels, key), key)
     return measured.withColumns({"base_failed": base_failed(STATS), "kept": keep_column(rules)})
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents the list keeps, with their own columns."""
-    rules = learn(with_statistics(docs.select(key, text), STATS, text, keep_text=False), labels, key)
+    sample = shared.stored(labelled(labels, key), "labelled")
+    # FIT_ROWS ids, some 12 bytes each, whatever the corpus.
+    chosen = docs.select(key, text).join(F.broadcast(sample.select(F.col("_key").alias(key))), key, "left_semi")
+    rules = learn(with_statistics(chosen, STATS, text, keep_text=False), sample, key)
     return with_statistics(docs, STATS, text).filter(keep_column(rules)).select(*docs.columns)
 
 

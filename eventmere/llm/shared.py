@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,11 +55,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Lanes in which the matrices of all tasks are added first.
+LANES = 16
+
+
 def summed(rows: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
     """The sum over all tasks of a matrix each task makes of its batches.
 
-    A task sends its matrix by rows; rows of one number meet in one group, which
-    holds one vector of fixed length per task.
+    A task sends its matrix by rows. Rows of one number meet in two steps: in lanes, by
+    task, and then over the lanes, so that no group holds a vector of every task.
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,15 +72,16 @@ def summed(rows: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size:
             found = part(batch)
             total = found if total is None else total + found
         if total is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(total)), pa.int32()), pa.array([r.tobytes() for r in total], pa.binary())], ["row", "v"]
-            )
+            lane = pa.array([TaskContext.get().partitionId() % LANES] * len(total), pa.int32())
+            values = pa.array([r.tobytes() for r in total], pa.binary())
+            yield pa.RecordBatch.from_arrays([lane, pa.array(range(len(total)), pa.int32()), values], ["lane", "row", "v"])
 
     def add(table: pa.Table) -> pa.Table:
-        vectors = [np.frombuffer(v) for v in table.column("v").to_pylist()]
-        return pa.table({"row": table.column("row")[:1], "v": pa.array([np.sum(vectors, axis=0).tobytes()], pa.binary())})
+        total = sum(np.frombuffer(v) for v in table.column("v").to_pylist())
+        return pa.table({"row": table.column("row")[:1], "v": pa.array([total.tobytes()], pa.binary())})
 
-    found = rows.mapInArrow(partial, "row int, v binary").groupBy("row").applyInArrow(add, "row int, v binary").collect()
+    in_lanes = rows.mapInArrow(partial, "lane int, row int, v binary").groupBy("lane", "row").applyInArrow(add, "row int, v binary")
+    found = in_lanes.groupBy("row").applyInArrow(add, "row int, v binary").collect()
     out = np.zeros((max((r["row"] for r in found), default=-1) + 1, size))
     for r in found:
         out[r["row"]] = np.frombuffer(r["v"])

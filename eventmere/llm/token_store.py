@@ -55,8 +55,9 @@ SHARD_IDS = 8_000_000
 SAMPLE_PIECES = 2000
 PIECE_BYTES = 4096
 DICTIONARY_BYTES = 64 << 10
-#: Words whose ids a task remembers.
-KNOWN_WORDS = 300_000
+#: Words whose ids a task remembers, about, and words encoded as one text.
+KNOWN_WORDS = 500_000
+RUN_WORDS = 2000
 LEVEL = 3
 #: Shards whose totals are added up in one window.
 RUN = 1000
@@ -106,17 +107,29 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.type).tobytes() for e in found]
 
+    def _words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Words with their ids. Many are encoded as one text, and its ids dealt out by their places."""
+        size = int(self.type[2:])
+        for start in range(0, len(words), RUN_WORDS):
+            run = words[start : start + RUN_WORDS]
+            texts = [w.decode() for w in run]
+            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            places = np.array([p[0] for p in found.offsets], np.int64)
+            begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
+            edges = (np.searchsorted(places, begins) * size).tolist()
+            data = np.array(found.ids, self.type).tobytes()
+            yield from zip(run, [data[i:j] for i, j in zip(edges, edges[1:])])
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_words:
             return self._plain([t.decode() for t in texts])
         # bytes.split() cuts at exactly these six bytes.
         words = [t.split() for t in texts]
-        known = self.known
-        new = list({w for own in words for w in own if w not in known})
-        if len(known) + len(new) > KNOWN_WORDS:
-            known.clear()
-            new = list({w for own in words for w in own})
-        known.update(zip(new, self._plain([w.decode() for w in new])))
+        own, known = set().union(*words), self.known
+        if len(known) + len(own) > KNOWN_WORDS:
+            # What this slice needs is what the next ones will need most.
+            self.known = known = {w: known[w] for w in own if w in known}
+        known.update(self._words(list(own - known.keys())))
         return [b"".join(map(known.__getitem__, own)) for own in words]
 
 

@@ -105,7 +105,7 @@ def test_paths_divide_evenly_and_keep_equal_ends_together():
         assert (i[0], j[0], i[-1], j[-1]) == (0, 0, len(a), len(b))
         assert (sizes[:-1] >= piece - 1).all() and (sizes <= piece + 1).all()
         for x, y in zip(i[1:-1], j[1:-1]):
-            assert max([*a[:x], *b[:y]]) < min([*a[x:], *b[y:]])
+            assert max([*a[:x], *b[:y]]) < min([*a[x:], *b[y:]], default=last + 1)
 
 
 def test_query_on_small_tables(spark):

@@ -48,11 +48,15 @@ def test_recall_of_exact_and_edited_items(spark):
     assert kept.columns == frame(spark).columns and kept.count() >= len(docs) - 80
 
 
-def test_short_and_edited_items_of_a_benchmark_of_many_times_the_rank():
+#: A space without words keeps nothing of a passage, so the exact bound chooses the candidates.
+NO_SPACE = (np.zeros(0, np.uint64), np.zeros((0, 1), np.float32))
+
+
+def test_exact_bound_finds_short_and_edited_items():
     rng = np.random.default_rng(11)
     mixed = lambda n: np.where(rng.random(n) < 0.4, np.minimum(rng.zipf(1.2, n), 20_000), rng.integers(0, 20_000, n))
     words = lambda n: ["w%d" % w for w in mixed(n)]
-    items = [words(int(rng.integers(15, 60))) for _ in range(10 * leaks.RANK)]
+    items = [words(int(rng.integers(15, 60))) for _ in range(960)]
     docs, want = [], []
     for n in range(20):
         item = items[n * 13]
@@ -60,9 +64,8 @@ def test_short_and_edited_items_of_a_benchmark_of_many_times_the_rank():
         docs.append(" ".join(words(int(rng.integers(20, 100))) + held + words(40)))
         want.append(100 * lcs(item, held) >= leaks.LEAK_SHARE * len(item))
     rows = pa.table({"item_id": list(range(len(items))), "text": [" ".join(x) for x in items]})
-    table = np.ones((leaks.TERMS, leaks.RANK), np.float32)
-    passages = leaks.read_passages(rows, table, np.ones(leaks.TERMS))
-    found = leaks.search(pa.array(docs), passages, table, np.ones(leaks.TERMS, bool))
+    block = leaks.read_block(rows, *NO_SPACE, np.ones(leaks.TERMS))
+    found = leaks.search(pa.array(docs), block, np.ones(leaks.TERMS))
     assert sum(want) > 12
     assert all(n * 13 in {x["item_id"] for x in found[n]} for n in range(20) if want[n])
 
@@ -74,10 +77,8 @@ def test_candidates_lose_no_place_that_is_accepted():
     items = [words(n) for n in (1, 2, 3, 4, 5, 8, 15, 33, 64, 65, 100, 150)]
     texts_ = [" ".join(words(60, 400) + [w for w in items[i % 12] if rng.random() > 0.3] + words(i, 400)) for i in range(24)]
     rows = pa.table({"item_id": list(range(12)), "text": [" ".join(x) for x in items]})
-    table = np.ones((leaks.TERMS, leaks.RANK), np.float32)
-    passages = leaks.read_passages(rows, table, np.ones(leaks.TERMS))
-    indexed = np.ones(leaks.TERMS, bool)
-    found = leaks.search(pa.array(texts_), passages, table, indexed)
+    block = leaks.read_block(rows, *NO_SPACE, np.ones(leaks.TERMS))
+    found = leaks.search(pa.array(texts_), block, np.ones(leaks.TERMS))
     for text, leaked in zip(texts_, found):
         held, got = text.split(), {x["item_id"]: x["common_words"] for x in leaked}
         for n, item in enumerate(items):
@@ -88,6 +89,47 @@ def test_candidates_lose_no_place_that_is_accepted():
             assert got.get(n) == max(good, default=None), (n, text)
 
 
+def test_cosine_recall_on_a_benchmark_of_many_times_the_rank(spark, monkeypatch):
+    rng = np.random.default_rng(21)
+    mixed = lambda n: np.where(rng.random(n) < 0.4, np.minimum(rng.zipf(1.2, n), 20_000), rng.integers(0, 20_000, n))
+    words = lambda n: ["w%d" % w for w in mixed(n)]
+    items = [words(int(rng.integers(15, 60))) for _ in range(6000)]
+    docs, want = [], {}
+    for n in range(150):
+        item = items[n * 37]
+        held = [w if n % 3 == 0 or rng.random() > 0.25 else "other%d" % rng.integers(1000) for w in item] if n % 3 < 2 else []
+        docs.append((n, " ".join(words(int(rng.integers(20, 100))) + held + words(40))))
+        if held and 100 * lcs(item, held) >= leaks.LEAK_SHARE * len(item):
+            want[n] = n * 37
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    monkeypatch.setattr(leaks, "index_words", lambda items, weights, real=leaks.index_words: real([x[:0] for x in items], weights))
+    found = {r["doc_id"]: {x["item_id"] for x in r["leaks"]} for r in leaks.find_leaks(frame(spark, docs), benchmark).collect()}
+    hits = [want[n] in found[n] for n in want]
+    assert len(found) == 150 and len(hits) > 80 and sum(hits) >= 0.9 * len(hits)
+    assert sum(want[n] in found[n] for n in want if n % 3 == 0) >= 0.98 * sum(n % 3 == 0 for n in want)
+    assert not any(found[n] for n in range(2, 150, 3))
+
+
+def test_several_rounds_find_what_one_finds(spark, monkeypatch):
+    items = [(i, " ".join(prose(500 + i, 12 + i))) for i in range(40)]
+    docs = list(texts()) + [(2000 + i, " ".join(prose(3000 + i, 50)) + " " + items[i][1] + " " + items[(7 * i) % 40][1]) for i in range(40)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    told = lambda: sorted(((r["doc_id"], r["text"], [x["item_id"] for x in r["leaks"]]) for r in leaks.find_leaks(frame(spark, docs), benchmark).collect()), key=str)
+    once = told()
+    monkeypatch.setattr(leaks, "PASSAGES", 8)
+    monkeypatch.setattr(leaks, "ROUND_BLOCKS", 2)
+    assert told() == once and len(once) == len(docs)
+    assert all({i, (7 * i) % 40} <= set(x[2]) for i in range(40) for x in once if x[0] == 2000 + i)
+
+
+def test_a_very_long_item_is_found(spark):
+    item = prose(77, 4000)
+    docs = [(1, " ".join(prose(5, 500) + item + prose(6, 300))), (2, " ".join(item[:1500])), (3, " ".join(prose(8, 5000)))]
+    benchmark = spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")
+    found = {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in leaks.find_leaks(frame(spark, docs), benchmark).collect()}
+    assert found == {1: [9], 2: [], 3: []}
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, " ".join(prose(9, 20)))], "item_id long, text string")
