@@ -16,10 +16,10 @@ from eventmere.functions import labels
 from eventmere.functions.exact import ratio_2dp
 from eventmere.operators import archive, dedupe, ingest, integrity, purge
 from eventmere.plans import facts, panels, reports
-from eventmere.schemas import RAW_EVENT, WIDE
+from eventmere.schemas import KIND_COLUMNS, RAW_EVENT, WIDE, record_columns
 from eventmere.session import use_utc
 from eventmere.sources import batches, driver_tables, lake, paths, tables, text_lake
-from eventmere.streaming.archive import archive_once, archive_stream, purge_archived
+from eventmere.streaming.archive import archive_once, archive_stream, purge_archived, purge_until
 from eventmere.streaming.capture import capture, read_rejected, seed_users, watch_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,30 @@ def lake_range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _partition_counts(lake.read_range(spark, _lake_root(spark, sf_dir), FIRST_DAY, LAST_DAY))
 
 
+def _compacted_lake(spark: SparkSession, sf_dir: str) -> str:
+    """The archived events in batches of four days each and one of all weeks, merged but for the last."""
+    use_utc(spark)
+    key = (spark.sparkContext.applicationId, f"compacted {sf_dir}")
+    if key not in _lakes:
+        root = paths.fresh_folder(spark, "lake")
+        records = _lake(spark, sf_dir).select(*WIDE.fieldNames())
+        late = F.col("event_id").cast("bigint") % 10 == 0
+        for part in range(8):
+            lake.write_batch(spark, records.filter(~late & (F.expr("day(created_at) div 4") == part)), root, f"part-{part}")
+        lake.compact(spark, root)
+        lake.write_batch(spark, records.filter(late), root, "late")
+        _lakes[key] = root
+    return _lakes[key]
+
+
+def lake_compacted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _micros(lake.read(spark, _compacted_lake(spark, sf_dir)).select(*WIDE.fieldNames(), "kind", "dt"))
+
+
+def lake_compacted_range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _partition_counts(lake.read_range(spark, _compacted_lake(spark, sf_dir), FIRST_DAY, LAST_DAY))
+
+
 def lake_rebuilt_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     rebuilt = tables.from_records(_lake(spark, sf_dir).select(*WIDE.fieldNames()), _live(spark, sf_dir).users)
     return tables.row_counts(rebuilt)
@@ -349,6 +373,36 @@ def store_purged_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _micros(_purged(spark, sf_dir).payment_tasks.drop("task_id"))
 
 
+def _purged_until(spark: SparkSession, sf_dir: str) -> str:
+    """Events with an even id are archived; odd ones come after that. Then the cutoff purge."""
+    key = (spark.sparkContext.applicationId, f"purged until {sf_dir}")
+    if key not in _lakes:
+        root, target = paths.fresh_folder(spark, "store"), paths.fresh_folder(spark, "lake")
+        _capture(spark, sf_dir, root, "CAST(event_id AS BIGINT) % 2 = 0")
+        archive_once(spark, root, target, paths.fresh_folder(spark, "archive-checkpoint"))
+        _capture(spark, sf_dir, root, "CAST(event_id AS BIGINT) % 2 = 1")
+        purge_until(spark, root, target, CUTOFF)
+        _lakes[key] = root
+    return _lakes[key]
+
+
+def store_cutoff_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each table after archived events up to the cutoff were removed."""
+    stored = batches.read_tables(spark, _purged_until(spark, sf_dir))
+    return tables.row_counts(stored).filter("table_name != 'users'")
+
+
+def store_cutoff_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _micros(batches.read_tables(spark, _purged_until(spark, sf_dir)).payment_tasks.drop("task_id"))
+
+
+def store_merged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left after the cutoff, with all details, from batches merged into one."""
+    root = _purged_until(spark, sf_dir)
+    batches.merge_tables(spark, root)
+    return _micros(archive.wide(batches.read_tables(spark, root)).drop("task_status", "retry_count"))
+
+
 def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What capture left out of incoming events of which some break rules."""
     inbox, root = paths.fresh_folder(spark, "inbox"), paths.fresh_folder(spark, "store")
@@ -391,6 +445,21 @@ def text_lake_range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _partition_counts(text_lake.read(spark, _text_lake(spark, sf_dir), FIRST_DAY, LAST_DAY))
 
 
+def text_lake_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of each kind in three forms: as declared, turned round with a column more, and without the last column."""
+    use_utc(spark)
+    root = paths.fresh_folder(spark, "text-lake")
+    tagged = lake.with_folders(archive.wide(_live(spark, sf_dir)))
+    form = F.col("event_id").cast("bigint") % 3
+    for kind in KIND_COLUMNS:
+        names = record_columns(kind)
+        extra = F.lit("a, b").alias("note")
+        for n, columns in enumerate((names, [*reversed(names[1:]), extra, names[0]], names[:-1])):
+            rows = tagged.filter((F.col("kind") == kind) & (form == n)).select(*columns, "dt")
+            lake.write_csv_files(rows, f"{root}/kind={kind}", ["dt"], mode="append")
+    return _micros(text_lake.read(spark, root).select("event_id", "user_id", "created_at", "lecture_id", "user_agent", "order_id", "retry_count", "kind", "dt"))
+
+
 # -- scalar functions ------------------------------------------------------
 
 
@@ -447,8 +516,14 @@ def queries() -> dict[str, Query]:
             store_purged_master,
             store_purged_tasks,
             store_users,
+            store_cutoff_counts,
+            store_cutoff_tasks,
+            store_merged_scan,
+            lake_compacted_scan,
+            lake_compacted_range_counts,
             text_lake_scan,
             text_lake_range_counts,
+            text_lake_mixed_headers,
             scalar_functions,
         )
     }

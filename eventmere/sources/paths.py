@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -60,6 +62,33 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def first_lines(spark: SparkSession, files: list[str], at_once: int = 16) -> list[str]:
+    """The first line of each file, read by Spark's own file systems; one short read per file."""
+
+    def first(path: str) -> str:
+        fs, hadoop_path = _file_system(spark, path)
+        source = fs.open(hadoop_path)
+        try:
+            reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(source, "UTF-8"))
+            return (reader.readLine() or "").removeprefix("\ufeff")
+        finally:
+            source.close()
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(first, files))
+
+
+def literal(path: str) -> str:
+    """A path whose characters do not act as a glob."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that fit a glob, in order."""
+    fs, hadoop_path = _file_system(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(hadoop_path) or [])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 

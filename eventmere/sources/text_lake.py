@@ -2,12 +2,15 @@
 
 Folders named ``kind=<kind>`` and ``dt=<day>`` are read as well.
 
-Kinds have different columns, and a text scan fills columns by position, so each
-kind is read with its own columns and the results are joined by name.
+Kinds have different columns, and so may files of one kind: columns come and go, or
+change places, over the years. A text scan fills columns by position, so files are
+grouped by their header line, each group is read with its own columns, and the groups
+are joined by name. Columns nobody knows are left out, columns a file lacks are NULL.
 """
 
 from __future__ import annotations
 
+import csv
 from datetime import date
 from functools import reduce
 
@@ -31,9 +34,11 @@ def read_text(
 ) -> DataFrame:
     """All columns as text, plus ``kind`` and ``dt`` taken from the folder names.
 
-    Days without files give no rows. Folders of unlisted kinds are read with the
-    common columns; ``headers`` names the columns of kinds whose files differ. A
-    file whose header does not match is an error, never shifted columns.
+    Days without files give no rows. The header of each file says which columns it
+    holds, in which order; names are compared without spaces around them and without
+    regard to case. ``headers`` names the columns of kinds whose headers are all the
+    same, which spares reading them; a file that differs is then an error, never
+    shifted columns.
 
     With ``line_breaks`` a field may span lines and a file is one task; without it
     large files are split.
@@ -44,34 +49,61 @@ def read_text(
         wanted = f"{{{','.join(f'{day},dt={day}' for day in days.day_list(*limits))}}}"
     frames = []
     for folder in paths.child_folders(spark, base):
-        kind = folder.removeprefix("kind=")
-        names = (headers or {}).get(kind, record_columns(kind))
-        schema = T.StructType([TEXT_RECORD[name] for name in names])
-        frames.append(_read_kind(spark, f"{base}/{folder}", wanted, schema, line_breaks))
+        kind, pattern = folder.removeprefix("kind="), f"{base}/{folder}/{wanted}/*.csv"
+        if kind in (headers or {}):
+            if paths.matches(spark, pattern):
+                frames.append(_read_files(spark, [pattern], headers[kind], line_breaks, checked=True))
+            continue
+        for header, files in header_groups(spark, pattern).items():
+            whole = list(header) == record_columns(kind) and len(files) == len(paths.matching(spark, pattern))
+            frames.append(_read_files(spark, [pattern] if whole else [paths.literal(f) for f in files], list(header), line_breaks))
     if not frames:
         return spark.createDataFrame([], T.StructType([*TEXT_RECORD.fields, *_FOLDERS.fields]))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return _complete(rows)
 
 
+def header_groups(spark: SparkSession, pattern: str) -> dict[tuple[str, ...], list[str]]:
+    """Files that fit a glob, by the column names of their header line; empty files are in no group.
+
+    The driver reads one line per file, as it lists the files anyhow.
+    """
+    files = paths.matching(spark, pattern)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, paths.first_lines(spark, files)):
+        names = next(csv.reader([line]), [])
+        if names:
+            groups.setdefault(_column_names(names), []).append(file)
+    return groups
+
+
+def _column_names(names: list[str]) -> tuple[str, ...]:
+    """Known names as they are declared; of a repeated name the first counts, the others are unknown."""
+    declared = {name.lower(): name for name in TEXT_RECORD.fieldNames()}
+    found: list[str] = []
+    for n, name in enumerate(names):
+        own = declared.get(name.strip().lower())
+        found.append(own if own and own not in found else f"unknown_{n}")
+    return tuple(found)
+
+
 _FOLDERS = T.StructType([T.StructField("kind", T.StringType()), T.StructField("dt", T.DateType())])
 
 
-def _read_kind(spark: SparkSession, folder: str, wanted: str, schema: T.StructType, line_breaks: bool) -> DataFrame:
+def _read_files(spark: SparkSession, files: list[str], names: list[str], line_breaks: bool, checked: bool = False) -> DataFrame:
+    """Files whose columns are ``names``; with ``checked`` another header is an error."""
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    known = [name for name in names if name in TEXT_RECORD.fieldNames()]
     reader = (
         spark.read.schema(schema)
         .option("header", True)
-        .option("enforceSchema", False)
+        .option("enforceSchema", not checked)
         .option("escape", '"')
         .option("multiLine", line_breaks)
     )
-    path = f"{folder}/{wanted}/*.csv"
-    if not paths.matches(spark, path):
-        rows = spark.createDataFrame([], schema)
-        return rows.withColumns({"kind": F.lit(None).cast("string"), "dt": F.lit(None).cast("date")})
     place = F.col("_metadata.file_path")
-    return reader.csv(path).select(
-        *schema.fieldNames(),
+    return reader.csv(files).select(
+        *known,
         F.regexp_extract(place, r"/(?:kind=)?([^/]+)/[^/]+/[^/]+$", 1).alias("kind"),
         F.regexp_extract(place, r"/(?:dt=)?([^/]+)/[^/]+$", 1).try_cast("date").alias("dt"),
     )

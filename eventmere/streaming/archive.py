@@ -8,6 +8,7 @@ archiving a batch needs no other.
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventmere.operators import archive
 from eventmere.schemas import LAKE, TABLES
-from eventmere.sources import batches, lake, paths
+from eventmere.sources import batches, lake, layout, paths
 from eventmere.streaming.capture import each_batch
 
 BATCHES_PER_STEP = 200
@@ -85,6 +86,7 @@ def purge_archived(spark: SparkSession, root: str, lake_root: str) -> list[str]:
     With nothing archived nothing is dropped. Rows are counted, not rewritten: each
     batch must still have the events that were archived from it, and each archive
     batch must hold as many events as its sources gave. Otherwise nothing is dropped.
+    Events that :func:`purge_until` removed before count as had.
     """
     live = batches.committed_ids(spark, root)
     # Batches without events, such as seeded users, stay.
@@ -96,6 +98,8 @@ def purge_archived(spark: SparkSession, root: str, lake_root: str) -> list[str]:
         batches.retire(spark, root, [])
         return []
     now = {row["source_id"]: row["events"] for row in _event_counts(spark, root, ids).collect()}
+    for row in _removed_counts(spark, root, ids).collect():
+        now[row["batch_id"]] += row["events"]
     wrong = [i for i in ids if now[i] != found[i][1]]
     lakes = sorted({batch for batch, _ in found.values()})
     given = lake.archived_sources(spark, lake_root).filter(F.col("batch_id").isin(lakes)).groupBy("batch_id").agg(F.sum("events").alias("events"))
@@ -105,3 +109,40 @@ def purge_archived(spark: SparkSession, root: str, lake_root: str) -> list[str]:
         raise RuntimeError(f"archived and live events differ: batches {wrong[:5]}, archive batches {[r['batch_id'] for r in short][:5]}")
     batches.retire(spark, root, ids)
     return ids
+
+
+def _removed_counts(spark: SparkSession, root: str, ids: list[str]) -> DataFrame:
+    """Events removed from each of some batches by key, merged away or not."""
+    now = layout.read_layout(spark, root)
+    touched = {i: list(now.removed[i]) for i in ids if i in now.removed}
+    if not touched:
+        return spark.createDataFrame([], "batch_id string, events bigint")
+    keys = batches.removed_keys(spark, root, touched).select("batch_id", "event_id").distinct()
+    return keys.groupBy("batch_id").agg(F.count("*").alias("events"))
+
+
+def purge_until(spark: SparkSession, root: str, lake_root: str, cutoff: datetime) -> str | None:
+    """Remove the archived events up to a time from the store, with their details and tasks.
+
+    Only events whose id the lake holds go: an event that was committed after the
+    archive run stays, although it may be older than the cutoff. No file is changed:
+    the removed keys are stored, by batch, and readers leave their rows out at once;
+    :func:`batches.merge_tables` writes batches without them. A run that failed is
+    simply run again. Returns the purge's id, None if there was nothing to remove.
+    """
+    now = layout.read_layout(spark, root)
+    held = lake.archived_sources(spark, lake_root).filter(F.col("source_id").isin(list(now.ids)))
+    # Ids of live batches and of the archive batches that hold them.
+    pairs = [(r["source_id"], r["batch_id"]) for r in held.select("source_id", "batch_id").collect()]
+    if not pairs:
+        return None
+    sources, lakes = (sorted({p[k] for p in pairs}) for k in (0, 1))
+    master = batches.visible(spark, root, "master_event_logs", TABLES["master_event_logs"].schema, sources, now)
+    events = archive.up_to(master, cutoff).select("batch_id", "event_id")
+    archived = archive.up_to(batches.visible(spark, lake_root, lake.DATA, LAKE, lakes), cutoff).select("event_id")
+    gone = events.join(archived, "event_id", "left_semi")
+    payments = batches.visible(spark, root, "payment_details", TABLES["payment_details"].schema, sources, now)
+    keys = gone.join(payments.select("batch_id", "event_id", "order_id"), ["batch_id", "event_id"], "left")
+    if gone.isEmpty():
+        return None
+    return batches.remove_rows(spark, root, keys)

@@ -62,6 +62,9 @@ wide AS (
 
 CUTOFF = "TIMESTAMP '2024-01-15 12:00:00'"
 
+# What a purge up to the cutoff leaves when only even ids are archived.
+_LATE_EVENTS = f"FROM events WHERE event_id % 2 = 1 OR ts > {CUTOFF}\n"
+
 _WIDE_OUT = """event_id, user_id, creator_id, event_type, epoch_us(created_at) AS created_us, lecture_id, referrer,
   buffering_duration, user_agent, order_id, amount, payment_status, error_code, task_status, retry_count"""
 _COMMON_OUT = "event_id, user_id, creator_id, event_type, epoch_us(created_at) AS created_us"
@@ -391,8 +394,22 @@ FROM raw WHERE event_type = 'payment' AND status = 'SUCCESS' AND n % 2 = 1""",
 UNION ALL SELECT event_id, user_id, event_type, epoch_us(created_at), 'repeated event_id' FROM per_event WHERE copy > 1
 UNION ALL SELECT event_id, user_id, event_type, epoch_us(created_at), 'repeated order_id' FROM per_order WHERE order_copy > 1""",
         "store_users": sql["users_insert_if_absent"],
+        "store_cutoff_counts": BASE.replace("FROM events\n", _LATE_EVENTS) + _counts(_EVENT_TABLES),
+        "store_cutoff_tasks": BASE
+        + f"""SELECT order_id, 'PENDING' AS status, CAST(0 AS INTEGER) AS retry_count, epoch_us(created_at) AS updated_us
+FROM raw WHERE event_type = 'payment' AND status = 'SUCCESS' AND (n % 2 = 1 OR created_at > {CUTOFF})""",
+        "store_merged_scan": BASE.replace("FROM events\n", _LATE_EVENTS)
+        + f"SELECT {_WIDE_OUT.replace(', task_status, retry_count', '')} FROM wide",
+        "lake_compacted_scan": sql["lake_scan_all"],
+        "lake_compacted_range_counts": sql["lake_range_counts"],
         "text_lake_scan": sql["lake_scan_all"],
         "text_lake_range_counts": sql["lake_range_counts"],
+        "text_lake_mixed_headers": BASE
+        + """SELECT event_id, user_id, epoch_us(created_at) AS created_us,
+  CASE WHEN event_type <> 'cart_add' OR n % 3 <> 2 THEN lecture_id END AS lecture_id,
+  CASE WHEN n % 3 <> 2 THEN user_agent END AS user_agent, order_id,
+  CASE WHEN n % 3 <> 2 THEN retry_count END AS retry_count, lower(event_type) AS kind, CAST(created_at AS DATE) AS dt
+FROM wide WHERE lower(event_type) IN ('page_view', 'cart_add', 'video_buffering', 'payment')""",
     }
     for kind, columns in _KIND_OUT.items():
         sql[f"archive_{kind}"] = BASE + f"SELECT {columns} FROM wide WHERE lower(event_type) = '{kind}'"

@@ -81,7 +81,28 @@ def test_other_header_is_an_error_not_shifted_columns(spark, tmp_path):
     columns = ["user_id", "event_id", "creator_id", "event_type", "created_at", "lecture_id"]
     put(base, "cart_add", "2024-03-01", [[1, "c1", 2, "cart_add", "2024-03-01 10:00:00", 3]], columns)
     with pytest.raises(Exception, match="(?i)header"):
-        text_lake.read_text(spark, base).collect()
+        text_lake.read_text(spark, base, headers={"cart_add": record_columns("cart_add")}).collect()
+
+
+def test_files_of_one_kind_with_other_headers_are_read_by_name(spark, tmp_path):
+    base, day = str(tmp_path), "2024-03-01"
+    common = record_columns("")
+    put(base, "cart_add", day, [["c1", 1, 2, "cart_add", f"{day} 10:00:00", 3]], name="a.csv")
+    put(base, "cart_add", day, [[4, f"{day} 10:00:00", "cart_add", 2, "line\nbreak", 1, "c2"]],
+        ["lecture_id", "created_at", " Event_Type", "creator_id", "note", "USER_ID", "event_id"], name="b [1]{x}.csv")
+    put(base, "cart_add", day, [["c3", 1, 2, "cart_add", f"{day} 10:00:00"]], common, name="c.csv")
+    put(base, "cart_add", day, [["c4", 1, 2, "cart_add", f"{day} 10:00:00", 5, "other"]], [*common, "lecture_id", "event_id"], name="d.csv")
+    put(base, "cart_add", "2024-03-02", [["c5", 1, 2, "cart_add", "2024-03-02 10:00:00", 6]], name="e.csv")
+    open(f"{base}/cart_add/{day}/empty.csv", "w").close()
+    with open(f"{base}/cart_add/{day}/bom.csv", "w", encoding="utf-8-sig") as f:
+        f.write(",".join(common) + "\n" + f"c6,1,2,cart_add,{day} 10:00:00\n")
+    got = values(text_lake.read(spark, base), "event_id", "user_id", "lecture_id", "dt")
+    assert [(r[0], r[1], r[2], r[3].day) for r in got] == [
+        ("c1", 1, 3, 1), ("c2", 1, 4, 1), ("c3", 1, None, 1), ("c4", 1, 5, 1), ("c5", 1, 6, 2), ("c6", 1, None, 1),
+    ]
+    assert [r[0] for r in values(text_lake.read(spark, base, "2024-03-02", "2024-03-02"), "event_id")] == ["c5"]
+    groups = text_lake.header_groups(spark, f"{base}/cart_add/*/*.csv")
+    assert sorted(len(files) for files in groups.values()) == [1, 1, 2, 2]
 
 
 def test_panels_on_text(spark, base):
