@@ -1,15 +1,18 @@
 """Personal data found by fixed patterns, and by contexts learned from them.
 
-Seeds are what the four base patterns find. The two words before a seed are a
-lexical context; the same scan also collects candidates: identifiers of a looser
-shape that no base pattern covers, with their contexts. Contexts and instances
-make a graph. A few rounds score it: a context is as sure as the instances that
-follow it, an instance that is no seed as sure as its contexts together. Candidates
-in a context that is sure enough, and that several different sure instances vouch for,
-become spans as well. Base spans always stay.
+Seeds are what the four base patterns find. The two words before a seed, and the two
+after it, are lexical contexts; in a list, where fewer stand between two matches, the
+words before the first one are the context of all. The same scan also collects
+candidates: identifiers of a looser shape that no base pattern covers, with their
+contexts. Contexts and instances make a graph. A few rounds score it: a context is as
+sure as the instances it holds, an instance that is no seed as sure as its contexts
+together. Candidates with a context that is sure enough, and that several different
+sure instances vouch for, become spans as well. Base spans always stay.
 
 Everything is a DataFrame expression or a join on the main path: positions come
-from splitting a text at a pattern's matches, so no Python sees a text. The graph
+from splitting a text at a pattern's matches, so no Python sees a text. Positions are
+added up in chunks of ``CHUNK`` matches, and candidates meet base spans by cells of the
+text, so that a text with very many matches takes time in proportion. The graph
 holds matches only, is summed before each shuffle, and no context's members are
 ever gathered in one place.
 
@@ -55,8 +58,14 @@ ROUNDS = 3
 LEAST_SEEDS = 5
 LEAST_SURE = 0.8
 
-_CONTEXT = r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$"
-SPAN = "struct<kind:int,start:int,end:int,value:string,context:string>"
+#: Two words at the end, and at the beginning, of what stands around a match; of longer words the nearer part counts.
+_BEFORE = r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$"
+_AFTER = r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)"
+CONTEXT_CHARS = 80
+SPAN = "struct<kind:int,start:int,end:int,value:string,context:string,after:string>"
+#: Matches whose positions are added up together, and characters of a cell.
+CHUNK = 512
+CELL = 256
 
 
 def _matches(text: str, pattern: str, need: str | None) -> Column:
@@ -65,31 +74,65 @@ def _matches(text: str, pattern: str, need: str | None) -> Column:
     return F.coalesce(F.when(F.contains(F.col(text), F.lit(need)), found).otherwise(none) if need else found, none)
 
 
-def _spans(text: str, matches: str, pattern: str, kind: int) -> Column:
-    """Positions of the matches, from the lengths of what lies between them."""
-    between = F.slice(F.split(F.col(text), pattern, -1), F.lit(1), F.size(matches))
+def _words(text: Column, pattern: str) -> Column:
+    """Two words as a context: in lower case, with single spaces; empty if there are not two."""
+    return F.lower(F.regexp_replace(F.regexp_extract(text, pattern, 1), r"[\x20\x09-\x0D]+", " "))
 
-    def step(done: Column, item: Column) -> Column:
-        start = done["at"] + item["gap"]
-        end = start + item["size"]
-        span = F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), item["value"].alias("value"), item["context"].alias("context")
-        )
-        return F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
 
-    items = F.zip_with(
-        between,
+def _spans(text: str, matches: str, pattern: str, kind: int) -> Column:
+    """Positions and contexts of the matches, from what lies between them."""
+    pieces = F.split(F.col(text), pattern, -1)
+    left = F.zip_with(
+        F.slice(pieces, F.lit(1), F.size(matches)),
         F.col(matches),
         lambda gap, value: F.struct(
             F.char_length(gap).alias("gap"),
             F.char_length(value).alias("size"),
             value.alias("value"),
-            F.lower(F.regexp_replace(F.regexp_extract(F.right(gap, F.lit(80)), _CONTEXT, 1), r"[\x20\x09-\x0D]+", " ")).alias("context"),
+            _words(F.right(gap, F.lit(CONTEXT_CHARS)), _BEFORE).alias("context"),
         ),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
-    located = F.aggregate(items, start, step, lambda done: done["spans"])
-    return F.when(F.size(matches) > 0, located).otherwise(F.array().cast(f"array<{SPAN}>"))
+    items = F.zip_with(
+        left,
+        F.slice(pieces, F.lit(2), F.size(matches)),
+        lambda x, gap: F.struct(x["gap"], x["size"], x["value"], x["context"], _words(F.left(gap, F.lit(CONTEXT_CHARS)), _AFTER).alias("after")),
+    )
+
+    def step(done: Column, item: Column) -> Column:
+        start = done["at"] + item["gap"]
+        end = start + item["size"]
+        # In a list the words before its first match count.
+        context = F.when(item["context"] != "", item["context"]).otherwise(done["context"])
+        span = F.struct(
+            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), item["value"].alias("value"),
+            context.alias("context"), item["after"].alias("after"),
+        )
+        return F.struct(end.alias("at"), context.alias("context"), F.concat(done["spans"], F.array(span)).alias("spans"))
+
+    none = F.array().cast(f"array<{SPAN}>")
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("context"), none.alias("spans"))
+    # An array that grows by one is copied each time, so chunks are added up first, and then moved.
+    numbers = F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / CHUNK).cast("int"))
+    whole = F.struct(items.alias("items"))
+    chunks = F.get(
+        F.transform(F.array(whole), lambda w: F.transform(
+            numbers, lambda c: F.aggregate(F.slice(w["items"], c * CHUNK + 1, F.lit(CHUNK)), start, step)
+        )), F.lit(0),
+    )
+
+    def join(done: Column, chunk: Column) -> Column:
+        moved = F.transform(chunk["spans"], lambda s: F.struct(
+            s["kind"].alias("kind"), (s["start"] + done["at"]).alias("start"), (s["end"] + done["at"]).alias("end"), s["value"].alias("value"),
+            F.when(s["context"] != "", s["context"]).otherwise(done["context"]).alias("context"), s["after"].alias("after"),
+        ))
+        context = F.when(chunk["context"] != "", chunk["context"]).otherwise(done["context"])
+        return F.struct(
+            (done["at"] + chunk["at"]).alias("at"), context.alias("context"), F.concat(done["parts"], F.array(moved)).alias("parts")
+        )
+
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("context"), F.array().cast(f"array<array<{SPAN}>>").alias("parts"))
+    located = F.aggregate(chunks, first, join, lambda done: F.flatten(done["parts"]))
+    return F.when(F.size(matches) > 0, located).otherwise(none)
 
 
 def _digits(value: Column) -> Column:
@@ -119,12 +162,8 @@ def _valid(kind: str) -> Callable[[Column], Column]:
     return checks.get(kind, lambda s: F.lit(True))
 
 
-def _overlap(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
-
-
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``__base`` and ``__loose``, the base spans and the candidates of every text."""
+    """Add ``__base`` and ``__loose``, the base spans and what else looks like one in every text."""
     rows = docs
     for n, kind in enumerate(KINDS):
         rows = rows.withColumn(f"__m_{kind}", _matches(text, PATTERNS[kind], NEEDS.get(kind)))
@@ -136,16 +175,37 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     base = [F.filter(f"__s_{kind}", _valid(kind)) for kind in KINDS]
     cards = F.filter("__s_card", lambda s: F.char_length(_digits(s["value"])).between(13, 19) & ~_luhn(s["value"]))
     rows = rows.withColumn("__base", F.concat(*base)).withColumn("__loose", F.concat(*[f"__l_{k}" for k in LOOSE], cards))
-    free = F.filter("__loose", lambda c: ~F.exists("__base", lambda b: _overlap(b, c)) & (F.char_length(c["context"]) > 0))
-    return rows.withColumn("__loose", free).select(*docs.columns, "__base", "__loose")
+    return rows.select(*docs.columns, "__base", "__loose")
 
 
-def sure_contexts(found: DataFrame) -> DataFrame:
-    """Contexts (``kind``, ``context``) whose candidates count as personal data."""
-    of = lambda column, seed: found.select(F.explode(column).alias("s")).select(
-        "s.kind", "s.context", F.lower("s.value").alias("value"), F.lit(seed).alias("seed")
+def candidates(rows: DataFrame) -> DataFrame:
+    """``__row`` and span ``s`` of the loose spans that have a context and overlap no base span.
+
+    Both meet in the cells of a text they reach into, not span by span.
+    """
+    open_rows = rows.filter(F.size("__loose") > 0)
+    in_cells = lambda column: open_rows.select("__row", F.explode(column).alias("s")).withColumn(
+        "cell", F.explode(F.sequence(F.floor(F.col("s.start") / CELL), F.floor((F.col("s.end") - 1) / CELL)))
     )
-    edges = of("__base", 1.0).unionByName(of("__loose", 0.0)).filter("context <> ''")
+    loose, base = in_cells("__loose"), in_cells("__base").select(F.col("__row").alias("r"), F.col("cell").alias("c"), F.col("s").alias("b"))
+    meet = (F.col("__row") == F.col("r")) & (F.col("cell") == F.col("c"))
+    covered = loose.join(base, meet & (F.col("s.start") < F.col("b.end")) & (F.col("b.start") < F.col("s.end")), "left_semi")
+    covered = covered.select("__row", F.col("s.kind").alias("kind"), F.col("s.start").alias("start")).distinct()
+    spans = open_rows.select("__row", F.explode("__loose").alias("s")).filter((F.col("s.context") != "") | (F.col("s.after") != ""))
+    same = (spans["__row"] == covered["__row"]) & (F.col("s.kind") == covered["kind"]) & (F.col("s.start") == covered["start"])
+    return spans.join(covered, same, "left_anti")
+
+
+def contexts_of(span: Column) -> Column:
+    """What stands before and after a span, marked by side."""
+    sides = F.array(F.concat(F.lit("<"), span["context"]), F.concat(F.lit(">"), span["after"]))
+    return F.filter(sides, lambda c: F.char_length(c) > 1)
+
+
+def sure_contexts(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Contexts (``kind``, ``context``) whose candidates count as personal data."""
+    seeds = rows.select(F.explode("__base").alias("s"), F.lit(1.0).alias("seed")).unionByName(chosen.select("s", F.lit(0.0).alias("seed")))
+    edges = seeds.select("s.kind", F.explode(contexts_of(F.col("s"))).alias("context"), F.lower("s.value").alias("value"), "seed")
     edges = shared.stored(edges.groupBy("kind", "context", "value").agg(F.max("seed").alias("seed")), "edges")
     instances = edges.groupBy("kind", "value").agg(F.max("seed").alias("sure"))
     for _ in range(ROUNDS):
@@ -168,14 +228,14 @@ def find_personal(docs: DataFrame, text: str = "text", keep_text: bool = True) -
     rows = rows if keep_text else rows.drop(text)
     rows = shared.stored(rows.withColumn("__row", F.monotonically_increasing_id()), "spans")
     own = [c for c in rows.columns if c not in ("__loose", "__row")]
+    chosen = shared.stored(candidates(rows), "candidates")
+    contexts = sure_contexts(rows, chosen)
+    each = chosen.withColumn("context", F.explode(contexts_of(F.col("s"))))
+    picked = each.join(contexts, (F.col("s.kind") == contexts["kind"]) & (each["context"] == contexts["context"]), "left_semi")
+    picked = picked.select("__row", "s").distinct().groupBy("__row").agg(F.collect_list("s").alias("__added"))
     # Most texts have no candidate and need no join.
     plain = rows.filter(F.size("__loose") == 0).select(*own, F.array().cast(f"array<{SPAN}>").alias("__added"))
-    open_rows = rows.filter(F.size("__loose") > 0)
-    picked = open_rows.select("__row", F.explode("__loose").alias("s"))
-    contexts = sure_contexts(rows.select("__base", "__loose"))
-    picked = picked.join(contexts, (F.col("s.kind") == contexts["kind"]) & (F.col("s.context") == contexts["context"]), "left_semi")
-    picked = picked.groupBy("__row").agg(F.collect_list("s").alias("__added"))
-    joined = open_rows.join(picked, "__row", "left")
+    joined = rows.filter(F.size("__loose") > 0).join(picked, "__row", "left")
     return plain.unionByName(joined.select(*own, F.coalesce("__added", F.array().cast(f"array<{SPAN}>")).alias("__added")))
 
 

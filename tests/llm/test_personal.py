@@ -1,4 +1,5 @@
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -75,6 +76,37 @@ def test_sure_instances_support_a_context_without_seeds(spark):
     assert {r["doc_id"]: r["s"] for r in found}[300] == "phone:12:24"
 
 
+def test_numbers_in_a_list_share_the_context_of_the_first(spark):
+    rows = [(i, f"filler {i} reach me on +1 (98{i}) 555-248{i} today") for i in range(9)]
+    rows += [(50, "reach me on 555-123-4567 or 555-765-4321, 555-765-4322"), (51, "odd words 555-123-4567 or 555-765-4321")]
+    found = personal.find_personal(frame(spark, rows)).select("doc_id", personal.listed(F.col("__added")).alias("s")).collect()
+    assert {r["doc_id"]: r["s"] for r in found if r["s"]} == {50: "phone:12:24,phone:28:40,phone:42:54"}
+
+
+def test_words_after_a_span_are_a_context_too(spark):
+    rows = [(i, f"{'abcdefghi'[i]} x{i} +1 (98{i}) 555-248{i} rings my desk") for i in range(9)]
+    rows += [(50, "555-123-4567 rings  my bell"), (51, "555-123-4567 is something else")]
+    found = personal.find_personal(frame(spark, rows)).select("doc_id", personal.listed(F.col("__added")).alias("s")).collect()
+    assert {r["doc_id"]: r["s"] for r in found if r["s"]} == {50: "phone:0:12"}
+
+
+def test_candidates_inside_base_spans_are_left_out(spark, monkeypatch):
+    monkeypatch.setattr(personal, "CELL", 3)
+    rows = [(i, f"filler {i} reach me on +1 (98{i}) 555-248{i} today") for i in range(9)]
+    rows += [(50, "reach me on 555-123-4567.x@example.org now"), (51, "reach me on 555-123-4567 a@b.c")]
+    found = personal.find_personal(frame(spark, rows)).select("doc_id", personal.listed(F.col("__added")).alias("s")).collect()
+    assert {r["doc_id"]: r["s"] for r in found if r["s"]} == {51: "phone:12:24"}
+
+
+def test_very_many_matches_in_one_text(spark):
+    many = " ".join(f"call u{i}@example.org or 555-123-{i % 10_000:04d};" for i in range(60_000))
+    start = time.time()
+    found = personal.find_personal(frame(spark, [(1, many), (2, "x")])).select("doc_id", F.size("__base").alias("n"), personal.listed(F.col("__base")).alias("s"))
+    rows = {r["doc_id"]: r for r in found.collect()}
+    assert time.time() - start < 60
+    assert rows[1]["n"] == 60_000 and rows[1]["s"] == base(many)
+
+
 def test_masking(spark):
     rows = [(1, "é a@b.c x +1 (988) 555-2485"), (2, None), (3, "plain")]
     got = {r["doc_id"]: r for r in personal.mask_personal(frame(spark, rows), size="n_chars").collect()}
