@@ -1,20 +1,20 @@
 """Language-model scores from a probabilistic suffix tree.
 
-The symbols are those of a token's bytes, a mark after each word and one at the
-end of a text, so every text has a probability, known words or not. A context of
-up to ``DEPTH`` symbols becomes a state if it is frequent enough and the symbols
-after it differ from those after its longest shorter state, by a likelihood
-ratio test. Distributions are smoothed with that shorter state's. Each symbol is
-scored in its longest state. A word's probability by symbols in turn smooths its
-share of all words seen, so that frequent words need not be spelled.
-
-Counting is one shuffle of context counts that every task has summed before;
-contexts with the same two newest symbols meet in one bucket, which drops rare
-ones. What reaches the driver and is broadcast holds at most
-``DEPTH / LEAST_SHARE`` contexts of 64 numbers, whatever the corpus.
-
-The base score needs exact counts of all words: blocks of documents ask buckets
-of words (see ``exchange``), and each gets counts for its own words only.
+The symbols are the bytes of a token, a mark after each word and one at the end of a
+text, so every text has a probability, known words or not. A context of up to ``DEPTH``
+symbols is a state if it was seen ``LEAST_COUNT`` times and the symbols after it differ
+from those after its longest shorter state, by a likelihood ratio test. Distributions
+are smoothed with that shorter state's. Each symbol is scored in its longest state. A
+word's probability by symbols in turn smooths its share of all words seen, so that
+frequent words need not be spelled.
+
+The tree is a table, never held in one place. Blocks of documents send their distinct
+contexts with the symbol that follows to buckets by hash (see ``exchange``); what the
+buckets add up is joined level by level, from the empty context on, each row with the
+chance its symbol has after the context that is one symbol shorter. The buckets then
+answer every block with the chances it asked for. So states and depth in use grow with
+the corpus, and a task holds one block or one bucket. Word counts are asked for in the
+same way. The driver gets totals only.
 
 Cases: null and empty texts have the end as their only token; without documents
 to learn from, all words are unknown; repeated rows count as often as they
@@ -23,27 +23,29 @@ stand; an empty table gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from eventmere.llm import exchange, shared
-from eventmere.llm.texts import LOWER, SPACE, Words, buffer_of, read_words, run_hashes, slices, text_column, word_hashes
-
-DEPTH = 4
-BITS = 6
-SYMBOLS = 1 << BITS
-SPACE_MARK, END_MARK, OTHER = 0, 1, SYMBOLS - 1
-#: A context must make up this share of all symbols to become a state.
-LEAST_SHARE = 2e-5
+from eventmere.llm.texts import SPACE, Words, read_words, run_hashes, slices, text_column, word_hashes
+
+DEPTH = 5
+BITS = 9
+#: Marks after a word and at the end of a text; byte b is symbol b + 2.
+SPACE_MARK, END_MARK = 0, 1
+SYMBOLS = 258
+#: How often a context must be seen to become a state.
+LEAST_COUNT = 100
 #: Log-likelihood (natural) a state must gain over its shorter state.
 LEAST_GAIN = 50.0
 #: Weight of the shorter state's distribution, in symbols.
 PRIOR = 16.0
+#: An odd number, whose products spread contexts over buckets.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -51,185 +53,73 @@ def held_out(key: str = "doc_id") -> Column:
     return F.pmod(checksum, F.lit(7)) == 2
 
 
-@dataclass
-class Alphabet:
-    """A symbol for each byte; rare bytes share one and are told apart by their own share."""
-
-    symbol: np.ndarray
-    within: np.ndarray
-
-    @staticmethod
-    def of(counts: np.ndarray) -> Alphabet:
-        order = np.argsort(-counts, kind="stable")
-        symbol = np.full(256, OTHER, np.uint32)
-        symbol[order[: SYMBOLS - 3]] = np.arange(2, SYMBOLS - 1)
-        rare = symbol == OTHER
-        within = np.zeros(256)
-        within[rare] = np.log10((counts[rare] + 1) / (counts[rare].sum() + rare.sum()))
-        return Alphabet(symbol, within)
-
-
-def symbols_of(words: Words, alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of all texts, where each text begins in them (and the last ends), and bytes in words."""
+def symbols_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of all texts, and where each text begins in them (and the last ends)."""
     lengths = words.ends - words.starts
-    owner = words.text_of
     inside = np.flatnonzero(~SPACE[words.data])
-    out = np.full(len(inside) + len(lengths) + len(words.first) - 1, SPACE_MARK, np.uint32)
-    out[np.arange(len(inside)) + np.repeat(np.arange(len(lengths)) + owner, lengths)] = alphabet.symbol[words.data[inside]]
+    out = np.full(len(inside) + len(lengths) + len(words.first) - 1, SPACE_MARK, np.uint64)
+    out[np.arange(len(inside)) + np.repeat(np.arange(len(lengths)) + words.text_of, lengths)] = words.data[inside].astype(np.uint64) + 2
     reached = np.append(0, np.cumsum(lengths))[words.first]
     begins = reached + words.first + np.arange(len(words.first))
     out[begins[1:] - 1] = END_MARK
-    return out, begins, inside
+    return out, begins
 
 
-def contexts_of(symbols: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """The ``DEPTH`` symbols before each, newest in the low bits; space marks before a text."""
-    found = np.zeros(len(symbols), np.uint32)
+def grams_of(symbols: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Each symbol, in the low bits, with the ``DEPTH`` before it, newest first; space marks before a text."""
+    found = np.zeros(len(symbols), np.uint64)
     for back in range(1, DEPTH + 1):
-        found[back:] |= symbols[:-back] << np.uint32(BITS * (back - 1))
+        found[back:] |= symbols[:-back] << np.uint64(BITS * (back - 1))
     for place in range(DEPTH):
         at = begins[:-1] + place
         at = at[at < len(symbols)]
-        found[at] &= np.uint32((1 << (BITS * place)) - 1)
-    return found
-
-
-def _count(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    if counts is None:
-        found = np.unique(keys, return_counts=True)
-        return found[0], found[1].astype(np.int64)
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
-    heads = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, int)
-    return ordered[heads], np.add.reduceat(counts[order], heads) if len(heads) else counts
-
-
-@dataclass
-class Tree:
-    """States by context, with the log10 distribution of each; state 0 is the empty context."""
-
-    levels: np.ndarray
-    contexts: np.ndarray
-    table: np.ndarray
-
-    def index(self) -> np.ndarray:
-        """The longest state of every full context."""
-        found = np.zeros(1 << (BITS * DEPTH), np.int32)
-        for level in range(1, DEPTH + 1):
-            chosen = np.flatnonzero(self.levels == level)
-            found.reshape(-1, 1 << (BITS * level))[:, self.contexts[chosen]] = chosen
-        return found
-
-
-def grow(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
-    """The tree from counts (context, symbol, count) of each context length, 0 first."""
-    root = np.bincount(levels[0][1], levels[0][2], SYMBOLS)
-    chances = [((root + 1) / (root.sum() + SYMBOLS))[None, :]]
-    found_levels, found_contexts = [0], [0]
-    index = np.zeros(1 << (BITS * DEPTH), np.int32)
-    for level in range(1, len(levels)):
-        context, symbol, count = levels[level]
-        own, row = np.unique(context, return_inverse=True)
-        matrix = np.zeros((len(own), SYMBOLS))
-        np.add.at(matrix, (row, symbol), count)
-        parent = np.concatenate(chances)[index[own]]
-        total = matrix.sum(1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = np.where(matrix > 0, matrix * np.log(matrix / total / parent), 0.0).sum(1)
-        kept = np.flatnonzero(gain >= LEAST_GAIN)
-        first = len(found_levels)
-        chances.append((matrix[kept] + PRIOR * parent[kept]) / (total[kept] + PRIOR))
-        found_levels += [level] * len(kept)
-        found_contexts += own[kept].tolist()
-        index.reshape(-1, 1 << (BITS * level))[:, own[kept]] = np.arange(first, first + len(kept))
-    table = np.log10(np.concatenate(chances)).astype(np.float32)
-    return Tree(np.array(found_levels), np.array(found_contexts), table)
-
-
-def byte_counts(docs: DataFrame) -> np.ndarray:
-    """How often each byte stands in words, lower-cased."""
-
-    def count(batch: pa.RecordBatch) -> np.ndarray:
-        data = LOWER[buffer_of(text_column(batch, "_text"))[0]]
-        return np.bincount(data[~SPACE[data]], minlength=256)[None, :].astype(float)
-
-    found = shared.summed(docs.select("_text"), count, 256)
-    return found[0] if len(found) else np.zeros(256)
-
-
-def learn(docs: DataFrame, alphabet: Alphabet, least: int) -> Tree:
-    """The tree of some documents' ``_text``; contexts seen less than ``least`` times are dropped."""
-    buckets = shared.shuffle_partitions(docs.sparkSession)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        for batch in batches:
-            column = text_column(batch, "_text")
-            for start, stop in slices(column):
-                symbols, begins, _ = symbols_of(read_words(column[start:stop], lower=True), alphabet)
-                own = _count(contexts_of(symbols, begins) << np.uint32(BITS) | symbols)
-                keys, counts = _count(np.concatenate((keys, own[0])), np.concatenate((counts, own[1])))
-        bucket = ((keys >> np.uint32(BITS)) & np.uint32(SYMBOLS**2 - 1)) % np.uint32(buckets)
-        for b in np.unique(bucket):
-            chosen = bucket == b
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([int(b)], pa.int32()),
-                    pa.array([keys[chosen].astype("<u4").tobytes()], pa.binary()),
-                    pa.array([counts[chosen].astype("<i8").tobytes()], pa.binary()),
-                ],
-                ["bucket", "k", "c"],
-            )
-
-    def add(table: pa.Table) -> pa.Table:
-        read = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
-        keys, counts = _count(read("k", "<u4"), read("c", "<i8"))
-        rows = []
-        for level in range(DEPTH, -1, -1):
-            keys, counts = _count(keys & np.uint32((1 << (BITS * (level + 1))) - 1), counts)
-            # Shorter contexts are split over buckets: they are summed by the driver, 64 by 64 at most.
-            if level >= 2:
-                own, row = np.unique(keys >> np.uint32(BITS), return_inverse=True)
-                kept = np.bincount(row, counts, len(own))[row] >= least if len(own) else np.zeros(0, bool)
-            else:
-                kept = np.ones(len(keys), bool)
-            rows.append((level, keys[kept].astype("<u4").tobytes(), counts[kept].astype("<i8").tobytes()))
-            if level == 1:
-                break
-        kinds = (("level", pa.int32()), ("k", pa.binary()), ("c", pa.binary()))
-        return pa.table({name: pa.array([r[i] for r in rows], kind) for i, (name, kind) in enumerate(kinds)})
-
-    sent = docs.select("_text").mapInArrow(send, "bucket int, k binary, c binary")
-    found = sent.groupBy("bucket").applyInArrow(add, "level int, k binary, c binary").collect()
-    levels = []
+        found[at] &= np.uint64((1 << (BITS * place)) - 1)
+    return found << np.uint64(BITS) | symbols
+
+
+def chances(grams: DataFrame) -> DataFrame:
+    """``gram``, ``bucket`` and ``chance`` (log10) of the distinct grams with their counts ``n``.
+
+    Grams that were not learned from have a count of 0; their chance comes from
+    shorter contexts.
+    """
+    at = lambda level: F.col("gram").bitwiseAND(F.lit((1 << (BITS * (level + 1))) - 1))
+    known = grams.groupBy(at(0).alias("gram")).agg(F.sum("n").alias("n"))
+    total = known.agg(F.sum("n")).first()[0] or 0
+    known = known.select("gram", F.log((F.col("n") + 1) / (total + SYMBOLS)).alias("chance"))
     for level in range(1, DEPTH + 1):
-        parts = [r for r in found if r["level"] == level]
-        keys = np.concatenate([np.frombuffer(r["k"], "<u4") for r in parts] or [np.zeros(0, np.uint32)])
-        counts = np.concatenate([np.frombuffer(r["c"], "<i8") for r in parts] or [np.zeros(0, np.int64)])
-        keys, counts = _count(keys, counts)
-        levels.append((keys >> np.uint32(BITS), keys & np.uint32(SYMBOLS - 1), counts))
-    _, symbol, count = levels[0]
-    return grow([(np.zeros_like(symbol), symbol, count), *levels])
-
-
-def spelled(words: Words, alphabet: Alphabet, tree: Tree, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The log10 probability of each word and of each text's end, symbol by symbol."""
-    symbols, begins, inside = symbols_of(words, alphabet)
-    each = tree.table[index[contexts_of(symbols, begins)], symbols]
+        rows = grams if level == DEPTH else grams.groupBy(at(level).alias("gram")).agg(F.sum("n").alias("n"))
+        before = known.select(F.col("gram").alias("shorter"), F.col("chance").alias("_before"))
+        rows = rows.join(before, at(level - 1) == F.col("shorter"))
+        # A context has at most SYMBOLS rows.
+        own = Window.partitionBy(F.shiftright("gram", BITS))
+        seen, count = F.sum("n").over(own), F.col("n").cast("double")
+        gain = F.sum(F.when(count > 0, count * (F.log(count) - F.col("_before"))).otherwise(0.0)).over(own)
+        rows = rows.withColumns({"_seen": seen, "_gain": gain})
+        kept = (F.col("_seen") >= LEAST_COUNT) & (F.col("_gain") - F.col("_seen") * F.log("_seen") >= LEAST_GAIN)
+        blended = F.log((count + PRIOR * F.exp("_before")) / (F.col("_seen") + PRIOR))
+        chance = F.when(kept, blended).otherwise(F.col("_before"))
+        known = rows.select("gram", *(["bucket"] if level == DEPTH else []), chance.alias("chance"))
+        if level < DEPTH:
+            known = shared.stored(known, "suffix-states")
+    return known.withColumn("chance", F.col("chance") / float(np.log(10)))
+
+
+def spelled(words: Words, each: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The log10 probability of each word and of each text's end, from those of the symbols."""
     reached = np.append(0.0, np.cumsum(each, dtype=np.float64))
     lengths = words.ends - words.starts
-    letters = np.append(0, np.cumsum(lengths))
-    first = letters[:-1] + np.arange(len(lengths)) + words.text_of
-    rare = np.append(0.0, np.cumsum(alphabet.within[words.data[inside]]))
-    chances = reached[first + lengths + 1] - reached[first] + rare[letters[1:]] - rare[letters[:-1]]
-    return chances, each[begins[1:] - 1].astype(np.float64)
+    first = np.append(0, np.cumsum(lengths))[:-1] + np.arange(len(lengths)) + words.text_of
+    return reached[first + lengths + 1] - reached[first], each[begins[1:] - 1].astype(np.float64)
 
 
 def blended(seen: np.ndarray, chance: np.ndarray, tokens: int, kinds: int) -> np.ndarray:
     """log10 of a token's share, smoothed with its spelling by the share of new tokens (Witten and Bell)."""
     if not tokens:
         return chance
-    return np.log10((seen + kinds * 10.0**chance) / (tokens + kinds) + 1e-300)
+    with np.errstate(divide="ignore"):
+        share = np.logaddexp(np.log(seen), np.log(kinds) + chance * np.log(10))
+    return share / np.log(10) - np.log10(tokens + kinds)
 
 
 def _word_keys(column: pa.Array):
@@ -240,18 +130,68 @@ def _word_keys(column: pa.Array):
         yield start, stop, words, hashes, run_hashes(hashes, 1, 1)
 
 
+def _block_grams(column: pa.Array, held: np.ndarray):
+    """Each slice's grams, and the block's distinct ones, spread, with their counts where they may be learned from."""
+    parts, keys, counts = [], [], []
+    for start, stop in slices(column):
+        symbols, begins = symbols_of(read_words(column[start:stop], lower=True))
+        grams = grams_of(symbols, begins)
+        learned = np.repeat(~held[start:stop], np.diff(begins))
+        spread = grams * SPREAD
+        parts.append((spread, begins))
+        own, _, sums = exchange.grouped(spread, np.zeros_like(spread), learned.astype(np.int64))
+        keys.append(own)
+        counts.append(sums)
+    join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
+    keys = join(keys, np.uint64)
+    return parts, exchange.grouped(keys, np.zeros_like(keys), join(counts, np.int64))
+
+
+def gram_chances(tagged: DataFrame, blocks: int) -> DataFrame:
+    """For every block the log10 chances of its distinct grams, packed by bucket in the order it sends them."""
+
+    def ask(keys: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        found = _block_grams(text_column(table, "_text"), np.asarray(table.column("_held")))[1]
+        return exchange.send(keys[0].as_py(), *found, blocks)
+
+    back = np.uint64(pow(int(SPREAD), -1, 1 << 64))
+
+    def add(rows: pa.Table) -> pa.Table:
+        _, total, leading = exchange.totals(rows)
+        spread = np.concatenate([exchange.unpack(k, len(c) // 4)[0] for k, c in zip(*(rows.column(n).to_pylist() for n in ("keys", "counts")))])
+        # What stands first among equal keys holds the total of all.
+        order = np.argsort(spread, kind="stable")
+        firsts = order[np.r_[True, spread[order][1:] != spread[order][:-1]]] if len(order) else order
+        assert len(firsts) == np.count_nonzero(leading)
+        bucket = pa.array(np.full(len(firsts), rows.column("bucket")[0].as_py()), pa.int32())
+        return pa.table({"bucket": bucket, "gram": pa.array((spread[firsts] * back).astype(np.int64)), "n": pa.array(total[firsts], pa.int64())})
+
+    sent = shared.stored(tagged.groupBy("block").applyInArrow(ask, exchange.SENT_DDL), "gram-keys")
+    grams = shared.stored(sent.groupBy("bucket").applyInArrow(add, "bucket int, gram long, n long"), "gram-counts")
+    known = shared.stored(chances(grams), "gram-chances")
+
+    def reply(rows: pa.Table, table: pa.Table) -> pa.Table:
+        spread = np.asarray(table.column("gram")).astype(np.uint64) * SPREAD
+        order = np.argsort(spread)
+        spread, chance = spread[order], np.asarray(table.column("chance"))[order]
+        packed = []
+        for blob, counts in zip(rows.column("keys").to_pylist(), rows.column("counts").to_pylist()):
+            keys = exchange.unpack(blob, len(counts) // 4)[0]
+            packed.append(chance[np.searchsorted(spread, keys)].astype("<f4").tobytes())
+        return pa.table({"bucket": rows.column("bucket"), "block": rows.column("block"), "chances": pa.array(packed, pa.binary())})
+
+    found = sent.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(reply, "bucket int, block int, chances binary")
+    return shared.stored(found, "gram-answers")
+
+
 def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", held: Column | None = None) -> DataFrame:
     """Base and tree scores of every document; ``held`` marks those not learned from."""
     held = held_out(key) if held is None else held
     docs = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), held.alias("_held"))
-    spark, key_type = docs.sparkSession, docs.schema["_key"].dataType.simpleString()
+    key_type = docs.schema["_key"].dataType.simpleString()
     blocks = shared.block_count(docs, "_text")
     tagged = docs.withColumn("block", shared.block_of(blocks, "_key", "_text"))
-    training = docs.filter(~F.col("_held"))
-    counts = byte_counts(training)
-    alphabet = Alphabet.of(counts)
-    tree = learn(training, alphabet, max(2, int(np.ceil(LEAST_SHARE * counts.sum()))))
-    shipped = spark.sparkContext.broadcast((alphabet.symbol, alphabet.within, tree.levels, tree.contexts, tree.table))
+    spelling = gram_chances(tagged, blocks)
 
     def distinct(parts, held: np.ndarray):
         """The block's words, counted where they may be learned from."""
@@ -285,24 +225,26 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
     replies = sent.groupBy("bucket").applyInArrow(reply, f"{exchange.ANSWER_DDL}, tokens long, kinds long")
     replies = shared.stored(replies, "word-counts")
     sums = replies.agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).first()
-    ends = training.count()
+    ends = docs.filter(~F.col("_held")).count()
     total = int(sums["tokens"] or 0) + ends
     kinds = int(sums["kinds"] or 0) + (ends > 0)
     unit = np.log10(total + kinds + 1)
 
     def score(keys: tuple[pa.Scalar, ...], table: pa.Table, found: pa.Table) -> pa.Table:
         column, held = text_column(table, "_text"), np.asarray(table.column("_held"))
-        own_alphabet, own = Alphabet(*shipped.value[:2]), Tree(*shipped.value[2:])
-        index = own.index()
         parts = list(_word_keys(column))
-        known = exchange.Totals(found, *distinct(parts, held)[:2])
+        is_word = found.column("chances").is_null()
+        known = exchange.Totals(found.filter(is_word), *distinct(parts, held)[:2])
+        grams, (distinct_grams, _, _) = _block_grams(column, held)
+        answers = found.filter(pc.invert(is_word)).sort_by("bucket").column("chances").to_pylist()
+        chance_of = np.concatenate([np.frombuffer(x, "<f4") for x in answers]) if answers else np.zeros(0, np.float32)
         n_known, base, scores = [], [], []
-        for start, stop, words, first, second in parts:
+        for (start, stop, words, first, second), (spread, begins) in zip(parts, grams):
             seen = known.of(first, second)
             owner, n = words.text_of, stop - start
             n_known.append(np.bincount(owner[seen > 0], minlength=n) + (ends > 0))
             base.append(np.bincount(owner, np.log10(seen + 1) - unit, n) + np.log10(ends + 1) - unit)
-            chances, end_chances = spelled(words, own_alphabet, own, index)
+            chances, end_chances = spelled(words, chance_of[np.searchsorted(distinct_grams, spread)], begins)
             ended = blended(np.full(n, ends), end_chances, total, kinds)
             scores.append(np.bincount(owner, blended(seen, chances, total, kinds), n) + ended)
         return pa.table(
@@ -316,7 +258,9 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
             }
         )
 
-    asked = replies.select("bucket", "block", "counts")
+    none = F.lit(None).cast("binary")
+    asked = replies.select("bucket", "block", "counts", none.alias("chances"))
+    asked = asked.unionByName(spelling.select("bucket", "block", none.alias("counts"), "chances"))
     out_ddl = f"_key {key_type}, _held boolean, n_tokens long, n_known long, base_score double, score double"
     scored = tagged.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(score, out_ddl)
     return scored.select(

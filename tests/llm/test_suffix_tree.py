@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from cases import LOWER, frame, prose, texts, words
-from eventmere.llm import suffix_tree
+from eventmere.llm import shared, suffix_tree
 from eventmere.llm.texts import read_words
 
 
@@ -30,40 +30,90 @@ def test_base_scores_against_brute_force(spark):
     assert all(r["score"] < 0 for r in got)
 
 
-def small_tree(texts_):
-    column = pa.array(texts_)
-    read = read_words(column, lower=True)
-    alphabet = suffix_tree.Alphabet.of(np.bincount(read.data[read.data != 32], minlength=256).astype(float))
-    symbols, begins, _ = suffix_tree.symbols_of(read, alphabet)
-    contexts = suffix_tree.contexts_of(symbols, begins)
-    levels = []
-    for level in range(suffix_tree.DEPTH + 1):
-        keys = np.unique(contexts & np.uint32((1 << (6 * level)) - 1) << np.uint32(0)) if level else None
-        own = Counter(zip((contexts & np.uint32((1 << (6 * level)) - 1)).tolist(), symbols.tolist()))
-        assert keys is None or set(keys.tolist()) == {c for c, _ in own}
-        c, s, n = zip(*[(c, s, n) for (c, s), n in own.items()])
-        levels.append((np.array(c, np.uint32), np.array(s, np.uint32), np.array(n)))
-    return alphabet, suffix_tree.grow(levels)
+def symbols(text):
+    out = []
+    for word in words((text or "").translate(LOWER)):
+        out += [*(b + 2 for b in word.encode()), 0]
+    return [*out, 1]
 
 
-def test_tree_is_a_distribution_and_beats_single_symbols():
+def brute_chance(trained, least, gain, depth, prior=16.0):
+    """A function of a context (oldest first) and a symbol, by the definition, from plain counts."""
+    counts = [Counter() for _ in range(depth + 1)]
+    for text in trained:
+        line = [0] * depth + symbols(text)
+        for at in range(depth, len(line)):
+            for level in range(depth + 1):
+                counts[level][tuple(line[at - level : at]), line[at]] += 1
+    after = [{} for _ in counts]
+    for level, own in enumerate(counts):
+        for (context, symbol), n in own.items():
+            after[level].setdefault(context, {})[symbol] = n
+    total = sum(counts[0].values())
+
+    def chance(context, symbol):
+        if not context:
+            return (counts[0][(), symbol] + 1) / (total + 258)
+        below = chance(context[1:], symbol)
+        own = after[len(context)].get(context, {})
+        seen = sum(own.values())
+        if seen < least or sum(n * math.log(n / seen / chance(context[1:], s)) for s, n in own.items()) < gain:
+            return below
+        return (own.get(symbol, 0) + prior * below) / (seen + prior)
+
+    return chance
+
+
+def test_scores_against_a_plain_tree(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "LEAST_COUNT", 20)
+    monkeypatch.setattr(suffix_tree, "LEAST_GAIN", 10.0)
+    monkeypatch.setattr(shared, "block_count", lambda *a: 5)
+    rows = [(i, " ".join(prose(i % 4, 25) + prose(100 + i, 5))) for i in range(30)] + [(50, None), (51, "Zz \u65e5\u672c x"), (None, "no id")]
+    held = lambda k: zlib.crc32(("" if k is None else str(k)).encode()) % 7 == 2
+    trained = [t for k, t in rows if not held(k)]
+    chance = brute_chance(trained, 20, 10.0, suffix_tree.DEPTH)
+    seen = Counter(w for t in trained for w in words((t or "").translate(LOWER)))
+    tokens, kinds = sum(seen.values()) + len(trained), len(seen) + 1
+    want = {}
+    for key, text in rows:
+        line, at, score = [0] * suffix_tree.DEPTH + symbols(text), suffix_tree.DEPTH, 0.0
+        for word in [*words((text or "").translate(LOWER)), None]:
+            size = 1 if word is None else len(word.encode()) + 1
+            spelling = sum(math.log(chance(tuple(line[i - suffix_tree.DEPTH : i]), line[i])) for i in range(at, at + size))
+            n = len(trained) if word is None else seen[word]
+            score += math.log10((n + kinds * math.exp(spelling)) / (tokens + kinds))
+            at += size
+        want[key] = score
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.score_documents(frame(spark, rows)).collect()}
+    assert set(got) == set(want)
+    for key, score in want.items():
+        assert math.isclose(got[key], score, rel_tol=1e-4), key
+
+
+def test_states_help_and_are_distributions(spark):
     rows = [" ".join(prose(i % 3, 60)) for i in range(60)]
-    alphabet, tree = small_tree(rows)
-    assert np.allclose((10.0 ** tree.table.astype(float)).sum(1), 1, atol=1e-4)
-    assert len(tree.table) > 5
-    words_ = read_words(pa.array(rows[:3] + [""]), lower=True)
-    flat = suffix_tree.Tree(tree.levels[:1], tree.contexts[:1], tree.table[:1])
-    full = suffix_tree.spelled(words_, alphabet, tree, tree.index())
-    single = suffix_tree.spelled(words_, alphabet, flat, flat.index())
-    assert full[0].sum() > single[0].sum() and len(full[1]) == 4
+    read = read_words(pa.array(rows), lower=True)
+    grams = Counter(suffix_tree.grams_of(*suffix_tree.symbols_of(read)).tolist())
+    asked = {c << 9 | s for c in {g >> 9 for g in list(grams)[:5]} for s in range(258)} - set(grams)
+    table = spark.createDataFrame([(g, n, 0) for g, n in grams.items()] + [(g, 0, 0) for g in asked], "gram long, n long, bucket int")
+    found = {r["gram"]: r["chance"] for r in suffix_tree.chances(table).collect()}
+    for context in {g >> 9 for g in list(grams)[:5]}:
+        assert math.isclose(sum(10.0 ** found[context << 9 | s] for s in range(258)), 1, abs_tol=1e-6)
+    flat = Counter(g & 511 for g in grams.elements())
+    total = sum(flat.values())
+    assert sum(n * found[g] for g, n in grams.items()) > sum(n * math.log10((n + 1) / (total + 258)) for n in flat.values())
+
+
+def test_very_unlikely_words_keep_their_score():
+    far = suffix_tree.blended(np.array([0, 0, 5]), np.array([-400.0, -900.0, -900.0]), 100, 10)
+    assert np.allclose(far, [-400 + 1 - math.log10(110), -900 + 1 - math.log10(110), math.log10(5 / 110)])
 
 
 def test_contexts_stop_at_the_start_of_a_text():
-    alphabet, _ = small_tree(["ab cd", "e"])
-    one = suffix_tree.symbols_of(read_words(pa.array(["e"])), alphabet)
-    two = suffix_tree.symbols_of(read_words(pa.array(["ab cd", "e", ""])), alphabet)
-    tail = suffix_tree.contexts_of(two[0], two[1])[two[1][1] : two[1][2]]
-    assert tail.tolist() == suffix_tree.contexts_of(one[0], one[1]).tolist()
+    one = suffix_tree.symbols_of(read_words(pa.array(["e"])))
+    two = suffix_tree.symbols_of(read_words(pa.array(["ab cd", "e", ""])))
+    tail = suffix_tree.grams_of(*two)[two[1][1] : two[1][2]]
+    assert tail.tolist() == suffix_tree.grams_of(*one).tolist()
 
 
 def test_empty_table(spark):
