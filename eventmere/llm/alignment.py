@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,8 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmere.llm import exchange, shared
+from eventmere.llm.encoding import KNOWN, WHITE, Encoder, drop_most, file_bytes, library, no_collection, vocabulary_file
 from eventmere.llm.texts import slices, text_column
-from eventmere.llm.token_store import vocabulary_file
 
 #: Token ends of A and B that one piece of a merge holds.
 PIECE = 1 << 16
@@ -62,22 +63,24 @@ def _byte_letters() -> dict[str, int]:
 class ByteTokens:
     """Byte-level tokens of a JSON file; strings of special tokens in a text are plain text."""
 
-    def __init__(self, blob: bytes):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
-        from tokenizers import Tokenizer
+    #: White space after which, or before which, a piece of text may not be cut.
+    unsafe = frozenset()
 
-        self.tokenizer = Tokenizer.from_str(blob.decode())
-        self.tokenizer.encode_special_tokens = True
-        letters, found = _byte_letters(), self.tokenizer.get_vocab(with_added_tokens=True)
-        special = {t["content"] for t in json.loads(blob).get("added_tokens", [])}
+    def __init__(self, blob: bytes, pattern: str | None = None):
+        letters, config = _byte_letters(), json.loads(blob)
+        found = library().from_str(blob.decode()).get_vocab(with_added_tokens=True)
+        special = {t["content"] for t in config.get("added_tokens", [])}
         self.tokens = [b""] * (max(found.values()) + 1)
         for name, i in found.items():
             self.tokens[i] = name.encode() if name in special else bytes(letters[c] for c in name)
+        self.encoder = Encoder(blob, 4, pattern, plain_special=True)
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that begin with the space both tokenizers start with."""
+        return self.encoder.texts(texts)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        return self.encoder.pieces(pieces)
 
 
 class PieceTokens:
@@ -87,19 +90,30 @@ class PieceTokens:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=blob)
-        self.tokens = []
+        self.tokens, self.unsafe = [], set()
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
             own = bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode()
             self.tokens.append(own)
+            # A piece that reaches over the beginning of white space.
+            self.unsafe.update(re.findall(f"[^{WHITE}]([{WHITE}])", piece.replace("▁", " ")))
+        self.space = self.model.piece_to_id("▁")
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that begin with the space the model adds."""
+        return self._serialized(self.model.encode([t[1:] for t in texts], num_threads=1))
 
+    def pieces(self, pieces: list[str]) -> list[bytes | None]:
+        """Ids of pieces; those without a space in front must do without the one the model adds."""
+        found = self.model.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
+        bare = {n: ids[:1] == [self.space] for n, (p, ids) in enumerate(zip(pieces, found)) if p[0] != " "}
+        data = self._serialized([ids[1:] if n in bare else ids for n, ids in enumerate(found)])
+        return [d if bare.get(n, True) else None for n, d in enumerate(data)]
 
-def _read(path: str) -> bytes:
-    with open(path, "rb") as file:
-        return file.read()
+    def _serialized(self, found: list[list[int]]) -> list[bytes]:
+        data = np.array([i for ids in found for i in ids], "<u4").tobytes()
+        edges = np.cumsum([0, *[4 * len(ids) for ids in found]]).tolist()
+        return [data[i:j] for i, j in zip(edges, edges[1:])]
 
 
 # -- merging ------------------------------------------------------------------
@@ -163,23 +177,65 @@ class Aligner:
 
     def __init__(self, a, b):
         self.a, self.b, self.width = a, b, len(b.tokens)
+        self.cut = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
         self.sizes = [np.array([len(t) for t in x.tokens]) for x in (a, b)]
         # A token with what follows it: "," inside its side, "|" after side A, ";" after side B.
         self.written = [b"%d%c" % (i, c) for i in range(max(len(a.tokens), len(b.tokens))) for c in b",|;"]
 
-    def _ids(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids by A and B, none where the tokens' bytes are not those of the text."""
-        found = []
-        for text, a, b in zip(texts, self.a.encode(texts), self.b.encode(texts)):
-            whole = b" " + text.encode()
-            same = text and all(b"".join(map(x.tokens.__getitem__, ids)) == whole for x, ids in ((self.a, a), (self.b, b)))
-            found.append((a, b) if same else ([], []))
+    def _learn(self, pieces: set[str]) -> None:
+        """Ids by A and B of pieces not seen before; None where one does not give the piece back, or cannot tell."""
+        self.known = known = drop_most(self.known, pieces, KNOWN)
+        new = list(pieces - known.keys())
+        by_a, by_b = self.a.pieces(new), self.b.pieces(new)
+        same = self._give(new, by_a, 0) & self._give(new, [b or b"" for b in by_b], 1)
+        known.update((p, (a, b) if s else None) for p, a, b, s in zip(new, by_a, by_b, same.tolist()))
+
+    def _give(self, texts: list[str], found: list[bytes], side: int) -> np.ndarray:
+        """Whether the bytes of each text's tokens are those of the text."""
+        tokens = (self.a, self.b)[side].tokens
+        ids = np.frombuffer(b"".join(found), "<u4")
+        given = b"".join(map(tokens.__getitem__, ids.tolist()))
+        whole = [t.encode() for t in texts]
+        # Equal as a whole and text by text equally long: then all are equal.
+        edges = np.cumsum([0, *[len(f) // 4 for f in found]])
+        reached = np.append(0, np.cumsum(self.sizes[side][ids]))[edges]
+        if given == b"".join(whole) and np.array_equal(reached[1:], np.cumsum([len(w) for w in whole])):
+            return np.ones(len(texts), bool)
+        return np.array([given[i:j] == w for w, i, j in zip(whole, reached, reached[1:])], bool)
+
+    def _ids(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids by A and B, none where the tokens' bytes are not those of the text.
+
+        Both tokenizers cut before white space that follows anything else, so a text is
+        put together from pieces, each encoded once. A text with white space that is
+        no such place, or a piece that is not given back alone, is encoded as a whole.
+        """
+        whole = [" " + t for t in texts]
+        unsafe = self.a.unsafe | self.b.unsafe
+        pieces = [self.cut.findall(t) if unsafe.isdisjoint(t) else None for t in whole]
+        self._learn(set().union(*[p for p in pieces if p]))
+        found: list[tuple[bytes, bytes]] = [(b"", b"")] * len(texts)
+        left = []
+        for n, (text, own) in enumerate(zip(texts, pieces)):
+            ids = [self.known[p] for p in own] if own else [None]
+            if not text:
+                continue
+            if None in ids:
+                left.append(n)
+            else:
+                found[n] = tuple(map(b"".join, zip(*ids)))
+        rest = [whole[n] for n in left]
+        by_a, by_b = self.a.texts(rest), self.b.texts(rest)
+        same = self._give(rest, by_a, 0) & self._give(rest, by_b, 1)
+        for n, a, b, s in zip(left, by_a, by_b, same.tolist()):
+            found[n] = (a, b) if s else (b"", b"")
         return found
 
     def align(self, texts: list[str]) -> dict[str, pa.Array]:
         found = self._ids(texts)
-        n_a, n_b = (np.array([len(f[k]) for f in found], np.int64) for k in (0, 1))
-        ids_a, ids_b = (np.array([i for f in found for i in f[k]], np.int64) for k in (0, 1))
+        n_a, n_b = (np.array([len(f[k]) // 4 for f in found], np.int64) for k in (0, 1))
+        ids_a, ids_b = (np.frombuffer(b"".join(f[k] for f in found), "<u4").astype(np.int64) for k in (0, 1))
         # Ends over the whole slice: texts follow each other, and end together in A and B.
         link_a, link_b, ends = merged(np.cumsum(self.sizes[0][ids_a]), np.cumsum(self.sizes[1][ids_b]))
         doc_ends = np.cumsum(n_a)
@@ -283,7 +339,8 @@ def align(
         for batch in batches:
             column = text_column(batch, "text")
             for start, stop in slices(column, SLICE_BYTES):
-                found = aligner.align([t or "" for t in column[start:stop].to_pylist()])
+                with no_collection():
+                    found = aligner.align([t or "" for t in column[start:stop].to_pylist()])
                 own = [text_column(batch, c)[start:stop] for c in ("doc", "row")]
                 yield pa.RecordBatch.from_arrays([*own, *[found[n] for n in names]], ["doc", "row", *names])
 
@@ -315,11 +372,15 @@ def align(
     return counted.select(F.col("doc").alias(key), *RESULT)
 
 
+#: How byte-level tokenizers cut a text before merging.
+BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 def byte_and_piece(file_a: bytes, file_b: bytes) -> Aligner:
-    return Aligner(ByteTokens(file_a), PieceTokens(file_b))
+    return Aligner(ByteTokens(file_a, BYTE_PATTERN), PieceTokens(file_b))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
-    file_a, file_b = _read(vocabulary_file("byte_bpe_50k.json")), _read(vocabulary_file("piece_bpe_32k.model"))
+    file_a, file_b = (file_bytes(vocabulary_file(n)) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return align(docs, byte_and_piece, file_a, file_b)

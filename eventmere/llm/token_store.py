@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from eventmere.llm import shared
+from eventmere.llm.encoding import KNOWN, Encoder, drop_most, file_bytes, library, no_collection, vocabulary_file
 from eventmere.llm.texts import mix, slices, text_column
 from eventmere.sources import paths
 
@@ -55,9 +56,6 @@ SHARD_IDS = 8_000_000
 SAMPLE_PIECES = 2000
 PIECE_BYTES = 4096
 DICTIONARY_BYTES = 64 << 10
-#: Words whose ids a task remembers, about, and words encoded as one text.
-KNOWN_WORDS = 500_000
-RUN_WORDS = 2000
 LEVEL = 3
 #: Shards whose totals are added up in one window.
 RUN = 1000
@@ -67,88 +65,65 @@ INDEX_DDL = "shard int, file string, doc long, place long, length long, n_ids lo
 READ_DDL = "shard int, doc long, before long, n_ids long, ids binary"
 
 
-def vocabulary_file(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
-def _file_bytes(path: str) -> bytes:
-    with open(path, "rb") as file:
-        return file.read()
-
-
 def id_width(tokenizer: bytes, end_id: int) -> int:
     """Bytes that hold any id of a vocabulary file."""
-    from tokenizers import Tokenizer
-
-    most = max(Tokenizer.from_str(tokenizer.decode()).get_vocab(with_added_tokens=True).values(), default=0)
+    most = max(library().from_str(tokenizer.decode()).get_vocab(with_added_tokens=True).values(), default=0)
     return 2 if max(most, end_id) < 1 << 16 else 4
 
 
-class Encoder:
-    """Serialized ids of texts.
-
-    With ``by_words`` each word ``[^\\x20\\x09-\\x0D]+`` is encoded once and remembered.
-    That is right for tokenizers that drop white space and never join over it.
-    """
-
-    def __init__(self, tokenizer: bytes, width: int, by_words: bool):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(tokenizer.decode())
-        self.type, self.by_words = f"<u{width}", by_words
+def word_pattern(tokenizer: bytes) -> str | None:
+    """The pattern by which a file cuts words, if it makes lower case, drops white space and never joins over it."""
+    config = json.loads(tokenizer)
+    steps = (config.get("normalizer") or {}).get("normalizers", [])
+    cuts = (config.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    spaces = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    if [n["type"] for n in steps] != ["NFC", "Replace", "Lowercase"] or steps[1] != spaces:
+        return None
+    if [c["type"] for c in cuts] != ["Split", "ByteLevel"] or cuts[1].get("use_regex") or cuts[1].get("add_prefix_space"):
+        return None
+    split = cuts[0]
+    if (split["behavior"], split["invert"]) != ("Removed", True) or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in config["added_tokens"]):
+        return None
+    return split["pattern"].get("Regex")
+
+
+class Words:
+    """Serialized ids of texts by a file that cuts words; each word ``[^\x20\x09-\x0D]+`` is encoded once."""
+
+    def __init__(self, tokenizer: bytes, width: int):
+        self.pattern = word_pattern(tokenizer)
+        self.encoder = Encoder(tokenizer, width, self.pattern, lower=True)
         self.known: dict[bytes, bytes] = {}
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.type).tobytes() for e in found]
-
-    def _words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Words with their ids. Many are encoded as one text, and its ids dealt out by their places."""
-        size = int(self.type[2:])
-        for start in range(0, len(words), RUN_WORDS):
-            run = words[start : start + RUN_WORDS]
-            texts = [w.decode() for w in run]
-            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            places = np.array([p[0] for p in found.offsets], np.int64)
-            begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
-            edges = (np.searchsorted(places, begins) * size).tolist()
-            data = np.array(found.ids, self.type).tobytes()
-            yield from zip(run, [data[i:j] for i, j in zip(edges, edges[1:])])
-
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if not self.by_words:
-            return self._plain([t.decode() for t in texts])
+        if self.pattern is None:
+            return self.encoder.texts([t.decode() for t in texts])
         # bytes.split() cuts at exactly these six bytes.
         words = [t.split() for t in texts]
-        own, known = set().union(*words), self.known
-        if len(known) + len(own) > KNOWN_WORDS:
-            # What this slice needs is what the next ones will need most.
-            self.known = known = {w: known[w] for w in own if w in known}
-        known.update(self._words(list(own - known.keys())))
-        return [b"".join(map(known.__getitem__, own)) for own in words]
+        own = set().union(*words)
+        self.known = known = drop_most(self.known, own, KNOWN)
+        new = list(own - known.keys())
+        known.update(zip(new, self.encoder.pieces([w.decode() for w in new])))
+        return [b"".join(map(known.__getitem__, ids)) for ids in words]
 
 
 def encode(
-    docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", by_words: bool = False
+    docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text"
 ) -> tuple[DataFrame, int]:
     """The serialized ids of every document, end id included, stored; and an id's width."""
-    blob = _file_bytes(tokenizer)
+    blob = file_bytes(tokenizer)
     width = id_width(blob, end_id)
     sent = docs.sparkSession.sparkContext.broadcast(blob)
     end = np.array([end_id], f"<u{width}").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value, width, by_words)
+        encoder = Words(sent.value, width)
         for batch in batches:
             column, ids, rows = (text_column(batch, c) for c in ("text", "doc", "row"))
             for start, stop in slices(column):
                 texts = [t or b"" for t in column[start:stop].cast(pa.binary()).to_pylist()]
-                found = [e + end for e in encoder.encode(texts)]
+                with no_collection():
+                    found = [e + end for e in encoder.encode(texts)]
                 sizes = pa.array([len(f) // width for f in found], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [ids[start:stop], pa.array(found, pa.binary()), sizes, rows[start:stop]], ["doc", "ids", "n_ids", "row"]
@@ -350,10 +325,10 @@ def _stretches(ends: np.ndarray, size: int = 4 << 20) -> list[int]:
 
 
 def write_store(
-    docs: DataFrame, folder: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", by_words: bool = False
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text"
 ) -> Store:
     """Encode all documents and write their ids in ascending order of ``key``."""
-    ids, width = encode(docs, tokenizer, end_id, key, text, by_words)
+    ids, width = encode(docs, tokenizer, end_id, key, text)
     dictionary = train_dictionary(ids, width)
     head = _header(width, end_id, dictionary)
     # The digest orders equal ids, the row deals out equal rows over shards.
@@ -402,7 +377,6 @@ def ids_crc32(rows: DataFrame, width: int) -> DataFrame:
     return rows.select("doc", "start", "n_ids", "ids").mapInArrow(run, "doc long, start long, n_ids long, ids_crc32 long")
 
 
-#: Its tokenizer drops white space and cuts words at it.
 WORD_VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 
@@ -410,7 +384,7 @@ END_ID = 1
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
     folder = paths.fresh_folder(spark, "token-store")
-    store = write_store(docs, folder, vocabulary_file(WORD_VOCABULARY), END_ID, by_words=True)
+    store = write_store(docs, folder, vocabulary_file(WORD_VOCABULARY), END_ID)
     return ids_crc32(store.read(), store.width).select(
         F.col("doc").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), "ids_crc32"
     )

@@ -9,13 +9,14 @@ from tokenizers import Tokenizer
 
 from cases import SCHEMA, frame, texts
 from eventmere.llm import alignment
-from eventmere.llm.token_store import vocabulary_file
+from eventmere.llm.encoding import file_bytes, vocabulary_file
 
 FILES = [vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model")]
 ODD = [
     (20, " leading and  double   spaces \n\n\tx"), (21, "▁ is taken for a space"), (22, "<|endoftext|> <s> <0x41> <unk>"),
     (23, "日本語のテキスト 🙂🙂 é é"), (24, " nbsp\u0085nel\x00nul\x01"), (25, "a"), (26, " "),
-    (27, "https://example.org/a?b=c&d=%20 " * 50),
+    (27, "https://example.org/a?b=c&d=%20 " * 50), (28, "a;\r\nb )\r{ \r\r x"), (29, "\u00a0 a\u2003\nb\x1cc \x0bd  \n"),
+    (30, "don't I'll 'S '' \t\tx\n\n\ny   z"),
 ]
 
 
@@ -88,7 +89,7 @@ def test_odd_texts_against_brute_force(spark, monkeypatch, piece):
     monkeypatch.setattr(alignment, "PIECE", piece)
     monkeypatch.setattr(alignment, "BLOCK_BYTES", 20_000)
     rows = texts() + ODD + ODD[:2]
-    files = [alignment._read(f) for f in FILES]
+    files = [file_bytes(f) for f in FILES]
     got = alignment.align(frame(spark, rows), alignment.byte_and_piece, *files)
     assert rows_of(got) == sorted(brute(rows), key=str)
 
@@ -118,5 +119,5 @@ def test_query_on_small_tables(spark):
 
 
 def test_empty_table(spark):
-    files = [alignment._read(f) for f in FILES]
+    files = [file_bytes(f) for f in FILES]
     assert alignment.align(spark.createDataFrame([], SCHEMA), alignment.byte_and_piece, *files).count() == 0

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -5,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from cases import SCHEMA, frame, texts
-from eventmere.llm import catalog, shared, token_store
+from eventmere.llm import catalog, encoding, shared, token_store
 from eventmere.sources import paths
 
 FILE = token_store.vocabulary_file("word_bpe_49k.json")
@@ -24,10 +25,13 @@ def brute(rows):
 @pytest.mark.parametrize("by_words", [True, False])
 def test_round_trip(spark, monkeypatch, by_words):
     monkeypatch.setattr(token_store, "SHARD_IDS", 4000)
-    monkeypatch.setattr(token_store, "KNOWN_WORDS", 500)
+    monkeypatch.setattr(token_store, "KNOWN", 500)
+    monkeypatch.setattr(encoding, "KNOWN", 300)
+    if not by_words:
+        monkeypatch.setattr(token_store, "word_pattern", lambda blob: None)
     monkeypatch.setattr(token_store, "SAMPLE_PIECES", 3)
     rows = texts() + ODD
-    store = token_store.write_store(frame(spark, rows), paths.fresh_folder(spark, "ids"), FILE, 1, by_words=by_words)
+    store = token_store.write_store(frame(spark, rows), paths.fresh_folder(spark, "ids"), FILE, 1)
     got = store.read().collect()
     assert len(got) == len(rows) and store.width == 2
     assert {(r["doc"], tuple(np.frombuffer(r["ids"], "<u2").tolist())) for r in got} == brute(rows)
@@ -38,17 +42,29 @@ def test_round_trip(spark, monkeypatch, by_words):
     assert store.shards().count() > 2
 
 
+def test_words_as_the_library_encodes_them():
+    plain = Tokenizer.from_file(FILE)
+    rng = random.Random(4)
+    letters = "aeiouAEIOU'sdtrevlm.,!?#$%&*()-_=+[]{}|;:\"<>/\\0123456789éÉñÑßİıſŉǅªº²½×÷\u00ad\u0301日🙂Σσς<|endoftext|>\x00\x1c\x7f\u0085\u00a0\u2003\ufb01"
+    made = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) for _ in range(20_000)]
+    made += ["x<|endoftext|>y", "<|endoftext|>", "don't", "I'LL'S", "''s's"]
+    words = token_store.Words(token_store.file_bytes(FILE), 2)
+    texts_ = [" ".join(made[i : i + 40]) for i in range(0, len(made), 40)]
+    for text, got in zip(texts_, words.encode([t.encode() for t in texts_])):
+        assert np.frombuffer(got, "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_lookup_reads_single_documents(spark, monkeypatch):
     monkeypatch.setattr(token_store, "SHARD_IDS", 4000)
     rows = texts() + ODD
-    store = token_store.write_store(frame(spark, rows), paths.fresh_folder(spark, "ids"), FILE, 1, by_words=True)
+    store = token_store.write_store(frame(spark, rows), paths.fresh_folder(spark, "ids"), FILE, 1)
     wanted = spark.createDataFrame([(4,), (4,), (31,), (999,), (None,), (-5,)], "doc_id long")
     got = {(r["doc"], tuple(np.frombuffer(r["ids"], "<u2").tolist())) for r in store.lookup(wanted).collect()}
     assert got == {x for x in brute(rows) if x[0] in (4, 31, -5)}
 
 
 def test_another_dictionary_is_refused(spark):
-    store = token_store.write_store(frame(spark), paths.fresh_folder(spark, "ids"), FILE, 1, by_words=True)
+    store = token_store.write_store(frame(spark), paths.fresh_folder(spark, "ids"), FILE, 1)
     store.dictionary = b"other" * 100
     with pytest.raises(Exception, match="another dictionary"):
         store.read().collect()
@@ -56,7 +72,7 @@ def test_another_dictionary_is_refused(spark):
 
 def test_dictionary_helps_short_documents(spark):
     rows = [(i, f"the usual licence text of part {i} applies to this file and all others") for i in range(3000)]
-    store = token_store.write_store(frame(spark, rows), paths.fresh_folder(spark, "ids"), FILE, 1, by_words=True)
+    store = token_store.write_store(frame(spark, rows), paths.fresh_folder(spark, "ids"), FILE, 1)
     index = store.index.agg({"length": "sum", "n_ids": "sum"}).first()
     assert index["sum(length)"] < index["sum(n_ids)"] * 2 * 0.8  # alone, a frame of this size is longer than its array
 
