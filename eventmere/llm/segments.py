@@ -523,11 +523,11 @@ def decode_segments(docs: DataFrame, ids: str = "ids", into: str = "text", model
     return docs.mapInArrow(add, T.StructType([*kept, T.StructField(into, T.StringType())]))
 
 
-DIGESTS = ("n_samples", "n_pieces", "ids_sha256", "log_chance", "inclusion", "round_trip")
+DIGESTS = ("n_samples", "n_pieces", "ids_sha256", "log_chance", "inclusion", "log_chances", "inclusions", "round_trip")
 
 
 def digest_columns(into: str = "segments") -> list:
-    """A row's samples as plain columns."""
+    """A row's samples as plain columns; ``log_chance`` and ``inclusion`` are those of the first."""
     each = lambda name: F.transform(into, lambda s: s[name])
     return [
         F.size(into).cast("long").alias("n_samples"),
@@ -535,6 +535,8 @@ def digest_columns(into: str = "segments") -> list:
         F.array_join(each("ids_sha256"), ",").alias("ids_sha256"),
         F.element_at(each("log_chance"), 1).alias("log_chance"),
         F.element_at(each("inclusion"), 1).alias("inclusion"),
+        F.array_join(F.transform(each("log_chance"), lambda x: x.cast("string")), ",").alias("log_chances"),
+        F.array_join(F.transform(each("inclusion"), lambda x: x.cast("string")), ",").alias("inclusions"),
         "round_trip",
     ]
 
