@@ -43,10 +43,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def segmentation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without their text, with sampled segmentations as digests."""
-    found = segments.sample_segments(docs, into="segments", with_ids=False, keep_text=False)
-    kept = [c for c in docs.columns if c not in segments.DIGESTS and c != "text"]
-    return found.select(*kept, *segments.digest_columns())
+    """All documents with their sampled segmentations, piece ids and scores, in place of the text."""
+    found = segments.sample_segments(docs, into="segments", keep_text=False)
+    kept = [c for c in docs.columns if c not in segments.DIGESTS and c not in ("text", "segments")]
+    return found.select(*kept, "segments", *segments.digest_columns())
 
 
 STAGES = [
