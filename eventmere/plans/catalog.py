@@ -20,7 +20,7 @@ from eventmere.schemas import KIND_COLUMNS, RAW_EVENT, WIDE, record_columns
 from eventmere.session import use_utc
 from eventmere.sources import batches, driver_tables, lake, paths, tables, text_lake
 from eventmere.streaming.archive import archive_once, archive_stream, purge_archived, purge_until
-from eventmere.streaming.capture import capture, read_rejected, seed_users, watch_parquet
+from eventmere.streaming.capture import capture, events_of, read_rejected, read_unreadable, seed_users, watch_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -412,6 +412,39 @@ def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _micros(read_rejected(spark, root).select("event_id", "user_id", "event_type", "created_at", "reject_reason"))
 
 
+def _message_store(spark: SparkSession, sf_dir: str) -> str:
+    """Events as JSON messages, of which every tenth is cut off."""
+    use_utc(spark)
+    key = (spark.sparkContext.applicationId, f"messages {sf_dir}")
+    if key not in _lakes:
+        inbox, root = paths.fresh_folder(spark, "inbox"), paths.fresh_folder(spark, "store")
+        raw = _raw(spark, sf_dir)
+        n = F.col("event_id").cast("bigint")
+        whole = F.to_json(F.struct(*RAW_EVENT.fieldNames()), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+        cut = F.concat(F.lit('{"event_id": "'), F.col("event_id"))
+        messages = raw.select(
+            F.lit("events").alias("topic"), (n % 4).cast("int").alias("partition"), n.alias("offset"),
+            F.when(n % 10 == 3, cut).otherwise(whole).cast("binary").alias("value"),
+        )
+        messages.write.parquet(inbox)
+        stream = events_of(watch_parquet(spark, inbox, messages.schema))
+        capture(stream, root, paths.fresh_folder(spark, "capture-checkpoint")).awaitTermination()
+        _lakes[key] = root
+    return _lakes[key]
+
+
+def stream_message_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events captured from messages, with all their details."""
+    stored = batches.read_tables(spark, _message_store(spark, sf_dir))
+    return _micros(archive.wide(stored).drop("task_status", "retry_count"))
+
+
+def stream_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that hold no event, with where they came from."""
+    kept = read_unreadable(spark, _message_store(spark, sf_dir))
+    return kept.select("topic", "partition", "offset", F.col("content").cast("string").alias("content"))
+
+
 def store_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the users are seeded; all come again under another name, twice."""
     root, users = paths.fresh_folder(spark, "store"), _live(spark, sf_dir).users
@@ -511,6 +544,8 @@ def queries() -> dict[str, Query]:
             stream_ingest_scan,
             stream_archive_scan,
             stream_rejected,
+            stream_message_scan,
+            stream_unreadable,
             archive_idle_metrics,
             archive_wide_many_tasks,
             store_purged_master,

@@ -10,22 +10,45 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from eventmere.functions import labels
 from eventmere.operators import ingest
 from eventmere.operators.dedupe import earliest_row
 from eventmere.schemas import RAW_EVENT, TABLES
-from eventmere.sources import batches, paths
+from eventmere.sources import batches, layout, paths
 
 
 #: Events that were left out, with the reason; part of their batch's commit, and never purged.
 REJECTED = "rejected"
+#: Messages that hold no event, as they came; part of their batch's commit, and never purged.
+UNREADABLE = "unreadable"
+MESSAGE = T.StructType(
+    [
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+#: Column of a stream that holds the message where it cannot be read, else NULL.
+MESSAGE_COLUMN = "_unreadable"
 
 
 def read_rejected(spark: SparkSession, root: str) -> DataFrame:
     """All rejected events of committed batches, those of retired batches included."""
     schema = T.StructType([*RAW_EVENT.fields, T.StructField("reject_reason", T.StringType())])
-    ids = [*batches.committed_ids(spark, root), *batches.committed_ids(spark, root, "retired")]
-    folders = [batches.batch_folder(root, REJECTED, i) for i in sorted(set(ids))]
-    folders = [f for f in folders if paths.exists(spark, f)]
+    return _read_kept(spark, root, REJECTED, schema)
+
+
+def read_unreadable(spark: SparkSession, root: str) -> DataFrame:
+    """Messages of committed batches that hold no event, as they came, those of retired batches included."""
+    return _read_kept(spark, root, UNREADABLE, MESSAGE)
+
+
+def _read_kept(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
+    """A table that is not purged with its batches."""
+    ids = {*batches.committed_ids(spark, root), *batches.committed_ids(spark, root, "retired")}
+    held = ids.intersection(layout.batch_names(paths.child_folders(spark, f"{root}/{table}")))
+    folders = [batches.batch_folder(root, table, i) for i in sorted(held)]
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
@@ -59,7 +82,7 @@ def watch_parquet(
     return reader.option("pathGlobFilter", name).parquet(folder)
 
 
-def watch_topic(spark: SparkSession, servers: str, topic: str, schema: T.StructType, records_per_batch: int) -> DataFrame:
+def watch_topic(spark: SparkSession, servers: str, topic: str, records_per_batch: int) -> DataFrame:
     """Stream of a Kafka topic holding one JSON event per message (needs the Kafka connector)."""
     messages = (
         spark.readStream.format("kafka")
@@ -68,7 +91,31 @@ def watch_topic(spark: SparkSession, servers: str, topic: str, schema: T.StructT
         .option("maxOffsetsPerTrigger", records_per_batch)
         .load()
     )
-    return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("event")).select("event.*")
+    return events_of(messages)
+
+
+def events_of(messages: DataFrame) -> DataFrame:
+    """Events of messages (``topic``, ``partition``, ``offset``, ``value``), one JSON object each.
+
+    A message that is no object, or has a field of another type, is kept whole in
+    ``MESSAGE_COLUMN``; :func:`capture` stores it apart. An event without an id gets
+    one from its topic, partition and offset, which stay the same when it is read again.
+    """
+    schema = T.StructType([*RAW_EVENT.fields, T.StructField("_corrupt", T.StringType())])
+    text = F.col("value").cast("string")
+    options = {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
+    parsed = messages.withColumn("_event", F.from_json(text, schema, options))
+    # The parser takes a list of objects for its first one, and an empty text for nothing.
+    is_object = F.regexp_like(text, F.lit(r"^\s*\{"))
+    readable = F.coalesce(is_object & F.col("_event").isNotNull() & F.col("_event._corrupt").isNull(), F.lit(False))
+    place = F.struct(
+        F.col("topic").cast("string").alias("topic"), F.col("partition").cast("int").alias("partition"),
+        F.col("offset").cast("long").alias("offset"), F.col("value").cast("binary").alias("content"),
+    )
+    made = labels.stable_uuid(F.col("topic"), F.col("partition"), F.col("offset"))
+    event = [F.when(readable, F.col(f"_event.{c}")).alias(c) for c in RAW_EVENT.fieldNames() if c != "event_id"]
+    event_id = F.when(readable, F.coalesce(F.col("_event.event_id"), made)).alias("event_id")
+    return parsed.select(event_id, *event, F.when(~readable, place).alias(MESSAGE_COLUMN))
 
 
 def run_name(spark: SparkSession, checkpoint: str) -> str:
@@ -117,6 +164,10 @@ def capture(
         if batches.is_committed(spark, root, batch_id):
             return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        arrived, apart = batch, {}
+        if MESSAGE_COLUMN in batch.columns:
+            apart = {UNREADABLE: batch.filter(F.col(MESSAGE_COLUMN).isNotNull()).select(f"{MESSAGE_COLUMN}.*")}
+            batch = batch.filter(F.col(MESSAGE_COLUMN).isNull()).drop(MESSAGE_COLUMN)
         stored = batches.read_tables(spark, root)
         # Nearly always everyone is known. Seeing that from the few distinct ids
         # saves two shuffles of the whole batch by user and by creator.
@@ -127,10 +178,10 @@ def capture(
         # the same rows: ties are broken by all columns.
         accepted.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            frames = ingest.route(accepted) | {REJECTED: ingest.rejected(batch, known, stored)}
+            frames = ingest.route(accepted) | {REJECTED: ingest.rejected(batch, known, stored)} | apart
             batches.commit_tables(spark, frames, root, batch_id)
         finally:
             accepted.unpersist()
-            batch.unpersist()
+            arrived.unpersist()
 
     return each_batch(raw_stream, checkpoint, handle, trigger)

@@ -393,6 +393,10 @@ FROM raw WHERE event_type = 'payment' AND status = 'SUCCESS' AND n % 2 = 1""",
         + """SELECT event_id, user_id, event_type, epoch_us(created_at) AS created_us, reject_reason FROM judged WHERE reject_reason IS NOT NULL
 UNION ALL SELECT event_id, user_id, event_type, epoch_us(created_at), 'repeated event_id' FROM per_event WHERE copy > 1
 UNION ALL SELECT event_id, user_id, event_type, epoch_us(created_at), 'repeated order_id' FROM per_order WHERE order_copy > 1""",
+        "stream_message_scan": BASE.replace("FROM events\n", "FROM events WHERE event_id % 10 <> 3\n")
+        + f"SELECT {_WIDE_OUT.replace(', task_status, retry_count', '')} FROM wide",
+        "stream_unreadable": """SELECT 'events' AS topic, CAST(event_id % 4 AS INTEGER) AS partition, event_id AS "offset",
+  '{"event_id": "' || event_id AS content FROM events WHERE event_id % 10 = 3""",
         "store_users": sql["users_insert_if_absent"],
         "store_cutoff_counts": BASE.replace("FROM events\n", _LATE_EVENTS) + _counts(_EVENT_TABLES),
         "store_cutoff_tasks": BASE

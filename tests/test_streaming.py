@@ -148,3 +148,24 @@ def test_tables_commit_together(spark):
     assert batches.commit_tables(spark, frames, store, "two")
     assert batches.read_tables(spark, store).master_event_logs.count() == 2 * full
     assert set(TABLES) - {"users"} == set(frames)
+
+
+def test_messages_without_an_event_are_kept_whole(spark):
+    good = '{"event_id": "e1", "user_id": 1, "creator_id": 2, "event_type": "signup", "created_at": "2024-03-01T10:00:00Z"}'
+    no_id = good.replace('"event_id": "e1", ', "")
+    bad = ["", "{", "null", "5", f"[{good}]", good.replace("1, \"creator", '"x", "creator'), good[:-9], "not json \u00e9"]
+    rows = [("t", 0, n, v.encode()) for n, v in enumerate([good, no_id, *bad])] + [("t", 1, 0, None), ("t", 1, 1, b"\xff{"), ("t", 2, 1, no_id.encode())]
+    schema = "topic string, partition int, offset long, value binary"
+    inbox, root = paths.fresh_folder(spark, "inbox"), paths.fresh_folder(spark, "store")
+    messages = spark.createDataFrame(rows, schema)
+    messages.write.parquet(inbox)
+    stream = capturing.events_of(capturing.watch_parquet(spark, inbox, messages.schema))
+    capturing.capture(stream, root, paths.fresh_folder(spark, "cp")).awaitTermination()
+    ids = [r[0] for r in values(batches.read_tables(spark, root).master_event_logs, "event_id")]
+    again = [r[0] for r in values(capturing.events_of(messages).filter("event_id is not null"), "event_id")]
+    assert len(ids) == 3 and "e1" in ids and ids == again
+    kept = {(r["topic"], r["partition"], r["offset"]): r["content"] for r in capturing.read_unreadable(spark, root).collect()}
+    assert {k: None if v is None else bytes(v) for k, v in kept.items()} == {
+        (t, p, o): v for t, p, o, v in rows if (p, o) not in ((0, 0), (0, 1), (2, 1))
+    }
+    assert capturing.read_rejected(spark, root).count() == 0
