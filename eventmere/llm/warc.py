@@ -46,6 +46,11 @@ FILE_BYTES = 64 << 20
 BLOCK_LINES = 1000
 PART_ROWS = 50_000
 MOST_PARTS = 20_000
+#: Bytes of a file that one task reads, about.
+READ_BYTES = 16 << 20
+#: URLs of these characters are written as they are; others are quoted, which a header of their record says.
+URL_CHARS = re.compile(r"[!-~]+")
+QUOTED = "X-Target-URI-Quoted: yes"
 CAPTURED = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -59,9 +64,10 @@ def url_key(url: str | None) -> str:
         return ""
     rest = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*://", "", url.strip())
     host, cut, path = re.match(r"([^/?#]*)([/?#]?)(.*)", rest, re.S).groups()
-    host = host.rpartition("@")[2].lower()
-    host, _, port = host.partition(":")
+    host, port = re.match(r"(\[[^\]]*\]|[^:]*):?(.*)", host.rpartition("@")[2].lower(), re.S).groups()
     port = "" if port in ("", "80", "443") else f":{port}"
+    if host.startswith("["):  # an address with colons has no labels to reverse
+        return f"{host}{port}){cut if cut == '/' else '/' + cut}{path}"
     return ",".join(reversed(host.strip(".").split("."))) + f"{port}){cut if cut == '/' else '/' + cut}{path}"
 
 
@@ -72,8 +78,10 @@ def _record(page_id: int | None, url: str | None, payload: bytes, digest: str, r
     block += payload or b""
     name = "" if page_id is None else page_id
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:capture:{name}>", f"WARC-Date: {CAPTURED}"]
-    if url is not None:
-        head.append("WARC-Target-URI: " + urllib.parse.quote(url, safe="%/:=&?~#+!$,;'@()*[]"))
+    if url is not None and URL_CHARS.fullmatch(url):
+        head.append("WARC-Target-URI: " + url)
+    elif url is not None:
+        head += ["WARC-Target-URI: " + urllib.parse.quote(url, safe="/:=&?~#+!$,;'@()*[]"), QUOTED]
     head.append(f"WARC-Payload-Digest: sha1:{digest}")
     if revisit:
         head += [f"WARC-Refers-To: <urn:capture:{refers_to}>", f"WARC-Profile: {PROFILE}"]
@@ -96,7 +104,7 @@ def parse_record(data: bytes) -> dict:
     url = fields.get("WARC-Target-URI")
     return {
         "page_id": name(fields["WARC-Record-ID"]),
-        "url": None if url is None else urllib.parse.unquote(url),
+        "url": urllib.parse.unquote(url) if url is not None and QUOTED in head.decode().split("\r\n") else url,
         "payload": None if revisit else payload,
         "payload_bytes": size,
         "payload_digest": fields["WARC-Payload-Digest"][5:],
@@ -232,8 +240,12 @@ def url_keys(pages: DataFrame) -> DataFrame:
     return pages.select("url").mapInArrow(keys, "url_key string").distinct()
 
 
-def read_ranges(captures: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
-    """The records at some captures, read by byte range; payloads may be left out."""
+def read_ranges(captures: DataFrame, folder: str, payloads: bool = True, total_bytes: int | None = None) -> DataFrame:
+    """The records at some captures, read by byte range; payloads may be left out.
+
+    ``total_bytes`` is how much there is to read: each task reads some ``READ_BYTES``, of
+    one stretch of a file as far as possible.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, top = _open(folder)
@@ -253,16 +265,19 @@ def read_ranges(captures: DataFrame, folder: str, payloads: bool = True) -> Data
                 found.append(record if payloads else record | {"payload": None})
             yield pa.RecordBatch.from_pylist(found, schema=schema)
 
-    by_file = captures.repartition("file").sortWithinPartitions("file", "offset")
+    # The index is small beside what it points to, so the count follows from the archive's bytes.
+    tasks = max(1, -(-(total_bytes or READ_BYTES) // READ_BYTES))
+    by_file = captures.repartition(tasks, "file", F.expr(f"offset div {READ_BYTES}")).sortWithinPartitions("file", "offset")
     return by_file.mapInArrow(read, RECORD_DDL)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = shared.table(spark, sf_dir, "pages").select("page_id", "url", "html")
     folder = paths.fresh_folder(spark, "warc")
-    index = build_index(write_archives(pages, folder))
-    captures = lookup(index, url_keys(pages))
-    return read_ranges(captures, folder, payloads=False).select(
+    written = write_archives(pages, folder)
+    total_bytes = written.agg(F.sum("length")).first()[0]
+    captures = lookup(build_index(written), url_keys(pages))
+    return read_ranges(captures, folder, payloads=False, total_bytes=total_bytes).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
