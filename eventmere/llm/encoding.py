@@ -11,17 +11,19 @@ from __future__ import annotations
 
 import gc
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 import numpy as np
 
 #: Pieces and runs that a task remembers, about.
-KNOWN = 600_000
+KNOWN = 1_000_000
 #: Runs that are encoded as one text.
 LINES = 1000
 #: White space in the sense of the patterns.
 WHITE = "\t-\r \u0085   -     　"
+#: Neither letters, digits nor white space.
+MARKS = ".,;:!?)]}\"'"
 #: No line break, no combining marks, no controls, no letter whose lower case has another length.
 PLAIN = "[\t -~¡-¬®-įı-ɏ]+"
 
@@ -69,7 +71,8 @@ class Encoder:
     """Serialized ids of pieces of text by a tokenizers file.
 
     ``pattern`` is the one the file cuts with, and ``lower`` says that it makes lower
-    case first; it must keep letters, with at most one space before them, in one run.
+    case first; it must keep letters, with at most one space before them, in one run,
+    and the ``MARKS`` after them in another.
     Without a pattern every piece is left whole to the library.
     """
 
@@ -118,25 +121,28 @@ class Encoder:
         """Ids of distinct pieces, before and after which the pattern is sure to cut."""
         if self.merges is None:
             return self.texts(pieces)
+        plain = set(self._plain(range(len(pieces)), pieces))
         texts = [p.lower() for p in pieces] if self.lower else pieces
-        # Letters are one run.
-        letters = [t.isascii() and (t.isalpha() or t[:1] == " " and t[1:].isalpha()) for t in texts]
-        rest = [n for n, alone in enumerate(letters) if not alone]
-        plain = set(self._plain(rest, pieces))
-        cut = [(n, self.pattern.findall(texts[n])) for n in rest if n in plain]
-        own = {t for t, alone in zip(texts, letters) if alone}.union(*[runs for _, runs in cut])
+        cut: list[tuple[str, ...] | None] = []
+        for n, text in enumerate(texts):
+            letters = text.rstrip(MARKS)
+            if n not in plain:
+                cut.append(None)
+            elif letters.isalpha() or letters[:1] == " " and letters[1:].isalpha():
+                # Letters are one run, and so are the marks after them.
+                cut.append((letters, text[len(letters) :]) if len(letters) < len(text) else (text,))
+            else:
+                cut.append(tuple(self.pattern.findall(text)))
+        own = set().union(*[runs for runs in cut if runs])
         self.runs = runs = drop_most(self.runs, own, KNOWN)
         new = list(own - runs.keys())
         runs.update(zip(new, self.merged(new)))
-        found = [runs[t] if alone else b"" for t, alone in zip(texts, letters)]
-        for n, parts in cut:
-            found[n] = b"".join([runs[r] for r in parts])
-        left = [n for n in rest if n not in plain]
-        for n, data in zip(left, self.texts([pieces[n] for n in left])):
-            found[n] = data
-        return found
-
-    def _plain(self, chosen: list[int], pieces: list[str]) -> list[int]:
+        left = [n for n, parts in enumerate(cut) if parts is None]
+        whole = dict(zip(left, self.texts([pieces[n] for n in left])))
+        get = runs.__getitem__
+        return [whole[n] if parts is None else get(parts[0]) if len(parts) == 1 else b"".join(map(get, parts)) for n, parts in enumerate(cut)]
+
+    def _plain(self, chosen: Sequence[int], pieces: list[str]) -> list[int]:
         """Those of the chosen pieces that have plain characters only, and no special token's string."""
         out = []
         for start in range(0, len(chosen), LINES):

@@ -36,6 +36,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,8 @@ SAMPLE_PIECES = 2000
 PIECE_BYTES = 4096
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
+#: File bytes that a task of the encoding should read.
+TASK_BYTES = 48 << 20
 #: Shards whose totals are added up in one window.
 RUN = 1000
 
@@ -100,13 +103,27 @@ class Words:
             return self.encoder.texts([t.decode() for t in texts])
         # bytes.split() cuts at exactly these six bytes.
         words = [t.split() for t in texts]
-        own = set().union(*words)
-        self.known = known = drop_most(self.known, own, KNOWN)
-        new = list(own - known.keys())
+        if len(self.known) >= KNOWN:
+            self.known = drop_most(self.known, set().union(*words), KNOWN)
+        known, new = self.known, set()
+        for own in words:
+            new.update(filterfalse(known.__contains__, own))
+        new = list(new)
         known.update(zip(new, self.encoder.pieces([w.decode() for w in new])))
         return [b"".join(map(known.__getitem__, ids)) for ids in words]
 
 
+def large_tasks(docs: DataFrame, size: int = TASK_BYTES) -> DataFrame:
+    """The documents in tasks of at least ``size`` file bytes, as long as all cores have one.
+
+    Words repeat, so a task that sees more text encodes fewer of its words.
+    """
+    spark = docs.sparkSession
+    parts = docs.rdd.getNumPartitions()
+    whole = -(-parts * spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() // size)
+    return docs.coalesce(min(parts, max(1, whole, spark.sparkContext.defaultParallelism)))
+
+
 def encode(
     docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text"
 ) -> tuple[DataFrame, int]:
@@ -130,7 +147,7 @@ def encode(
                 )
 
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    rows = large_tasks(rows).withColumn("row", F.monotonically_increasing_id())
     return shared.stored(rows.mapInArrow(run, IDS_DDL), "token-ids"), width
 
 
