@@ -271,8 +271,13 @@ def drop_old(spark: SparkSession, root: str, grace: timedelta = timedelta(days=1
     return names
 
 
-def run_metrics(counts: DataFrame) -> DataFrame:
-    """Archived rows per kind and day, plus a total line with the run's status."""
+def run_metrics(records: DataFrame) -> DataFrame:
+    """Records per kind and day, plus a total line with the run's status."""
+    return metric_lines(records.groupBy("kind", "dt").agg(F.count("*").alias("row_count")))
+
+
+def metric_lines(counts: DataFrame) -> DataFrame:
+    """The same from rows counted per kind and day."""
     lines = counts.select(
         F.lit("partition").alias("line"), "kind", F.col("dt").cast("string").alias("dt"), "row_count", F.lit(None).cast("string").alias("status")
     )
@@ -290,13 +295,13 @@ def run_metrics(counts: DataFrame) -> DataFrame:
 def write_metrics(spark: SparkSession, root: str, batch_id: str) -> None:
     """Store a batch's metrics beside it, from what was counted while it was written."""
     lines = batch_counts(spark, root, [batch_id])
-    run_metrics(lines).coalesce(1).write.mode("overwrite").parquet(batches.batch_folder(root, METRICS, batch_id))
+    metric_lines(lines).coalesce(1).write.mode("overwrite").parquet(batches.batch_folder(root, METRICS, batch_id))
 
 
 def write_idle(spark: SparkSession, root: str, run_id: str) -> None:
     """Store the metrics of a run that found nothing to archive."""
     nothing = spark.createDataFrame([], COUNT)
-    run_metrics(nothing).coalesce(1).write.mode("overwrite").parquet(batches.batch_folder(root, METRICS, run_id))
+    metric_lines(nothing).coalesce(1).write.mode("overwrite").parquet(batches.batch_folder(root, METRICS, run_id))
 
 
 def read_metrics(spark: SparkSession, root: str) -> DataFrame:
