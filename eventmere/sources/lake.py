@@ -89,6 +89,11 @@ def write_batch(
     return batches.commit(spark, root, batch_id, write_files)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt out by folder; AQE splits a large folder and merges small ones."""
+    return rows.hint("rebalance", F.col("kind"), F.col("dt"))
+
+
 def _write_data(spark: SparkSession, rows: DataFrame, root: str, batch_id: str) -> list[tuple]:
     """Write rows that have the folder columns; returns lines of ``COUNT``.
 
@@ -97,7 +102,7 @@ def _write_data(spark: SparkSession, rows: DataFrame, root: str, batch_id: str)
     """
     seen = Observation()
     place = F.to_json(F.struct("kind", F.col("dt").cast("string").alias("dt")))
-    rows = rows.hint("rebalance", F.col("kind"), F.col("dt")).withColumn("_place", place).observe(
+    rows = spread(rows).withColumn("_place", place).observe(
         seen,
         F.count("*").alias("rows"),
         F.min("created_at").alias("first_at"),

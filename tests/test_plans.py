@@ -106,14 +106,8 @@ def test_orders_with_several_tasks_share_the_shuffles(spark, no_broadcast):
     assert len(reused) >= 4  # the parent log and three details
 
 
-def test_write_spreads_hot_folders(spark):
-    root = paths.fresh_folder(spark, "lake")
+def test_write_spreads_hot_folders(spark, monkeypatch):
     seen = []
-    original = lake.batches.commit
-    try:
-        lake.batches.commit = lambda s, r, b, write: seen.append(write)
-        lake.write_batch(spark, archive.wide(driver_tables.tables(spark, SF)), root, "b")
-    finally:
-        lake.batches.commit = original
-    rows = next(c.cell_contents for c in seen[0].__closure__ if hasattr(c.cell_contents, "_jdf"))
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan(rows)
+    monkeypatch.setattr(lake, "spread", lambda rows, real=lake.spread: seen.append(real(rows)) or seen[0])
+    lake.write_batch(spark, archive.wide(driver_tables.tables(spark, SF)), paths.fresh_folder(spark, "lake"), "b")
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(seen[0])
