@@ -131,17 +131,23 @@ def _word_keys(column: pa.Array):
 
 
 def _block_grams(column: pa.Array, held: np.ndarray):
-    """Each slice's grams, and the block's distinct ones, spread, with their counts where they may be learned from."""
+    """Each slice's distinct grams, spread, with the place of every symbol among them, and those of the block.
+
+    The block's come with their counts where they may be learned from.
+    """
     parts, keys, counts = [], [], []
     for start, stop in slices(column):
         symbols, begins = symbols_of(read_words(column[start:stop], lower=True))
-        grams = grams_of(symbols, begins)
+        spread = grams_of(symbols, begins) * SPREAD
         learned = np.repeat(~held[start:stop], np.diff(begins))
-        spread = grams * SPREAD
-        parts.append((spread, begins))
-        own, _, sums = exchange.grouped(spread, np.zeros_like(spread), learned.astype(np.int64))
-        keys.append(own)
-        counts.append(sums)
+        order = np.argsort(spread)
+        ordered = spread[order]
+        new = np.r_[True, ordered[1:] != ordered[:-1]] if len(ordered) else np.zeros(0, bool)
+        place = np.empty(len(spread), np.int32)
+        place[order] = np.cumsum(new) - 1
+        parts.append((ordered[new], place, begins))
+        keys.append(ordered[new])
+        counts.append(np.add.reduceat(learned[order], np.flatnonzero(new), dtype=np.int64) if len(ordered) else np.zeros(0, np.int64))
     join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
     keys = join(keys, np.uint64)
     return parts, exchange.grouped(keys, np.zeros_like(keys), join(counts, np.int64))
@@ -239,12 +245,12 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
         answers = found.filter(pc.invert(is_word)).sort_by("bucket").column("chances").to_pylist()
         chance_of = np.concatenate([np.frombuffer(x, "<f4") for x in answers]) if answers else np.zeros(0, np.float32)
         n_known, base, scores = [], [], []
-        for (start, stop, words, first, second), (spread, begins) in zip(parts, grams):
+        for (start, stop, words, first, second), (own, place, begins) in zip(parts, grams):
             seen = known.of(first, second)
             owner, n = words.text_of, stop - start
             n_known.append(np.bincount(owner[seen > 0], minlength=n) + (ends > 0))
             base.append(np.bincount(owner, np.log10(seen + 1) - unit, n) + np.log10(ends + 1) - unit)
-            chances, end_chances = spelled(words, chance_of[np.searchsorted(distinct_grams, spread)], begins)
+            chances, end_chances = spelled(words, chance_of[np.searchsorted(distinct_grams, own)][place], begins)
             ended = blended(np.full(n, ends), end_chances, total, kinds)
             scores.append(np.bincount(owner, blended(seen, chances, total, kinds), n) + ended)
         return pa.table(
