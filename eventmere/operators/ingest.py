@@ -59,18 +59,19 @@ def _broken_rule() -> Column:
 def judge(raw: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """Add ``reject_reason``: why an event cannot be stored, NULL when it can.
 
-    With ``users`` both the acting user and the creator must be known. User ids are
-    unique there, so the joins keep one row per event, and the event side, where a
-    busy user's rows pile up, is the one AQE can split.
+    With ``users`` both the acting user and the creator must be known. The ids that are
+    not, each once and mostly few, are what events are joined with: known creators, whose
+    events pile up, then meet in no task, as AQE sends a small table to all.
     """
     judged = raw.withColumn("reject_reason", _broken_rule())
     if users is not None:
         for column, text in (("user_id", "unknown user"), ("creator_id", "unknown creator")):
-            known = users.select(F.col("user_id").alias(column), F.lit(True).alias("_known"))
-            judged = judged.join(known, column, "left").withColumn(
+            ids = raw.select(column).distinct().join(users.select(F.col("user_id").alias(column)), column, "left_anti")
+            unknown = ids.withColumn("_unknown", F.lit(True))
+            judged = judged.join(unknown, column, "left").withColumn(
                 "reject_reason",
-                F.coalesce("reject_reason", F.when(F.col("_known").isNull(), F.lit(text))),
-            ).drop("_known")
+                F.coalesce("reject_reason", F.when(F.col(column).isNull() | F.col("_unknown").isNotNull(), F.lit(text))),
+            ).drop("_unknown")
     return judged.select(*raw.columns, "reject_reason")
 
 
@@ -87,14 +88,14 @@ def accept(raw: DataFrame, users: DataFrame | None = None, stored: Tables | None
     Ids and orders already in ``stored`` are taken.
     """
     fit = judge(raw, users).filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    if stored is not None:
-        fit = fit.join(stored.master_event_logs.select("event_id"), "event_id", "left_anti")
+    # Copies are combined before ids are looked up, so that a key with very many rows never meets in one task.
     events = earliest_row(fit, "event_id", order=("created_at",))
+    if stored is not None:
+        events = events.join(stored.master_event_logs.select("event_id"), "event_id", "left_anti")
     is_payment = F.col("event_type") == "payment"
-    payments = events.filter(is_payment)
+    payments = earliest_row(events.filter(is_payment), "order_id", order=("created_at", "event_id"))
     if stored is not None:
         payments = payments.join(stored.payment_details.select("order_id"), "order_id", "left_anti")
-    payments = earliest_row(payments, "order_id", order=("created_at", "event_id"))
     names = RAW_EVENT.fieldNames()
     return events.filter(~is_payment).select(*names).unionByName(payments.select(*names))
 
@@ -103,33 +104,27 @@ def rejected(raw: DataFrame, users: DataFrame | None = None, stored: Tables | No
     """One row per event that :func:`accept` leaves out, with its ``reject_reason``.
 
     Repeats are kept as often as they came: accepted and rejected make up all events.
+    No join gathers the rows of a repeated event or order; they are counted by all columns.
     """
     names = RAW_EVENT.fieldNames()
     judged = judge(raw.select(*names), users)
     broken = judged.filter(F.col("reject_reason").isNotNull())
     fit = judged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     repeated_event, repeated_order = F.lit("repeated event_id"), F.lit("repeated order_id")
-    parts = [broken]
+    first = earliest_row(fit, "event_id", order=("created_at",))
     if stored is not None:
-        known = stored.master_event_logs.select("event_id")
-        parts.append(fit.join(known, "event_id", "left_semi").withColumn("reject_reason", repeated_event))
-        fit = fit.join(known, "event_id", "left_anti")
-    # Equal copies are counted, so that the one that stays can be told from the rest.
-    rest = ["created_at", *[c for c in names if c not in ("event_id", "created_at")]]
-    copies = fit.groupBy(*names).agg(F.count("*").alias("_copies"))
-    first = fit.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("_first"))
-    left = copies.join(first, "event_id").withColumn(
-        "_left", F.col("_copies") - F.when(F.struct(*rest).eqNullSafe(F.col("_first")), 1).otherwise(0)
-    )
-    again = left.filter("_left > 0").withColumn("_one", F.explode(F.array_repeat(F.lit(0), F.col("_left").cast("int"))))
-    parts.append(again.select(*names, repeated_event.alias("reject_reason")))
-    payments = first.select("event_id", "_first.*").select(*names).filter(F.col("event_type") == "payment")
-    if stored is not None:
-        taken = stored.payment_details.select("order_id")
-        parts.append(payments.join(taken, "order_id", "left_semi").withColumn("reject_reason", repeated_order))
-        payments = payments.join(taken, "order_id", "left_anti")
+        first = first.join(stored.master_event_logs.select("event_id"), "event_id", "left_anti")
+    # All copies but the one that stays: each row counts one, the first of its id takes one off.
+    counted = fit.select(*names, F.lit(1).alias("_one")).unionByName(first.select(*names, F.lit(-1).alias("_one")))
+    left = counted.groupBy(*names).agg(F.sum("_one").alias("_left")).filter("_left > 0")
+    again = left.withColumn("_one", F.explode(F.array_repeat(F.lit(0), F.col("_left").cast("int"))))
+    parts = [broken, again.select(*names, repeated_event.alias("reject_reason"))]
+    payments = first.filter(F.col("event_type") == "payment")
     winners = payments.groupBy("order_id").agg(F.min(F.struct("created_at", "event_id")).alias("_winner"))
-    losers = payments.join(winners, "order_id").filter(F.col("event_id") != F.col("_winner.event_id"))
+    if stored is not None:
+        winners = winners.join(stored.payment_details.select("order_id"), "order_id", "left_anti")
+    # Event ids are unique here, order ids are not.
+    losers = payments.join(winners.select("_winner.event_id"), "event_id", "left_anti")
     parts.append(losers.select(*names, repeated_order.alias("reject_reason")))
     return reduce(lambda a, b: a.unionByName(b), [p.select(*names, "reject_reason") for p in parts])
 

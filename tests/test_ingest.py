@@ -132,3 +132,28 @@ def test_earliest_row_of_a_key_with_many_copies(spark):
     first = dedupe.earliest_row(rows, "k", order=("t",))
     assert first.count() == rows.select("k").distinct().count()
     assert values(first.filter("k = 'hot'"), "t", "id") == [(2, 19998)]
+
+
+def test_copies_of_one_event_are_rejected_by_many_tasks(spark):
+    rows = spark.range(4000).select(
+        F.lit("hot").alias("event_id"), F.lit(1).cast("long").alias("user_id"), F.lit(2).cast("long").alias("creator_id"),
+        F.lit("signup").alias("event_type"), F.timestamp_seconds(F.lit(1700000000) + F.col("id")).alias("created_at"),
+    )
+    rows = raw(spark).unionByName(rows, allowMissingColumns=True)
+    stored = Log().cart("e0", 1).tables(spark)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = ingest.rejected(rows, None, stored).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(r["count"] for r in left) == 3999
+    assert max(r["count"] for r in left) < 2000
+
+
+def test_rejected_rows_with_stored_ids_and_orders(spark):
+    stored = Log().cart("e0", 1).pay("p", 1, order="o1").tables(spark)
+    reasons = values(ingest.rejected(broken(spark), None, stored), "event_id", "reject_reason")
+    repeated = [r for r in reasons if r[1].startswith("repeated")]
+    assert repeated == [("e0", "repeated event_id")] * 2 + [(f"e{n}", "repeated order_id") for n in (7, 8, 9)]
+    assert ingest.accept(broken(spark), None, stored).count() + len(reasons) == broken(spark).count()
