@@ -91,11 +91,11 @@ def accept(raw: DataFrame, users: DataFrame | None = None, stored: Tables | None
     # Copies are combined before ids are looked up, so that a key with very many rows never meets in one task.
     events = earliest_row(fit, "event_id", order=("created_at",))
     if stored is not None:
-        events = events.join(stored.master_event_logs.select("event_id"), "event_id", "left_anti")
+        events = events.join(stored.master_event_logs.select("event_id").hint("merge"), "event_id", "left_anti")
     is_payment = F.col("event_type") == "payment"
     payments = earliest_row(events.filter(is_payment), "order_id", order=("created_at", "event_id"))
     if stored is not None:
-        payments = payments.join(stored.payment_details.select("order_id"), "order_id", "left_anti")
+        payments = payments.join(stored.payment_details.select("order_id").hint("merge"), "order_id", "left_anti")
     names = RAW_EVENT.fieldNames()
     return events.filter(~is_payment).select(*names).unionByName(payments.select(*names))
 
@@ -113,7 +113,7 @@ def rejected(raw: DataFrame, users: DataFrame | None = None, stored: Tables | No
     repeated_event, repeated_order = F.lit("repeated event_id"), F.lit("repeated order_id")
     first = earliest_row(fit, "event_id", order=("created_at",))
     if stored is not None:
-        first = first.join(stored.master_event_logs.select("event_id"), "event_id", "left_anti")
+        first = first.join(stored.master_event_logs.select("event_id").hint("merge"), "event_id", "left_anti")
     # All copies but the one that stays: each row counts one, the first of its id takes one off.
     counted = fit.select(*names, F.lit(1).alias("_one")).unionByName(first.select(*names, F.lit(-1).alias("_one")))
     left = counted.groupBy(*names).agg(F.sum("_one").alias("_left")).filter("_left > 0")
@@ -122,9 +122,9 @@ def rejected(raw: DataFrame, users: DataFrame | None = None, stored: Tables | No
     payments = first.filter(F.col("event_type") == "payment")
     winners = payments.groupBy("order_id").agg(F.min(F.struct("created_at", "event_id")).alias("_winner"))
     if stored is not None:
-        winners = winners.join(stored.payment_details.select("order_id"), "order_id", "left_anti")
+        winners = winners.join(stored.payment_details.select("order_id").hint("merge"), "order_id", "left_anti")
     # Event ids are unique here, order ids are not.
-    losers = payments.join(winners.select("_winner.event_id"), "event_id", "left_anti")
+    losers = payments.join(winners.select("_winner.event_id").hint("merge"), "event_id", "left_anti")
     parts.append(losers.select(*names, repeated_order.alias("reject_reason")))
     return reduce(lambda a, b: a.unionByName(b), [p.select(*names, "reject_reason") for p in parts])
 

@@ -110,7 +110,8 @@ def visible(
     if touched:
         gone = removed_keys(spark, root, touched).select("batch_id", key).filter(F.col(key).isNotNull()).distinct()
         rows = _read(spark, root, table, full, now, list(touched))
-        parts.append(rows.join(gone, ["batch_id", key], "left_anti"))
+        # Removed keys grow with the tables: sent to all for each of them, they would pass the driver every time.
+        parts.append(rows.join(gone.hint("merge"), ["batch_id", key], "left_anti"))
     return reduce(lambda a, b: a.unionByName(b), [p.select(*full.fieldNames()) for p in parts])
 
 

@@ -140,9 +140,10 @@ def purge_until(spark: SparkSession, root: str, lake_root: str, cutoff: datetime
     master = batches.visible(spark, root, "master_event_logs", TABLES["master_event_logs"].schema, sources, now)
     events = archive.up_to(master, cutoff).select("batch_id", "event_id")
     archived = archive.up_to(batches.visible(spark, lake_root, lake.DATA, LAKE, lakes), cutoff).select("event_id")
-    gone = events.join(archived, "event_id", "left_semi")
+    gone = events.join(archived.hint("merge"), "event_id", "left_semi")
     payments = batches.visible(spark, root, "payment_details", TABLES["payment_details"].schema, sources, now)
-    keys = gone.join(payments.select("batch_id", "event_id", "order_id"), ["batch_id", "event_id"], "left")
+    orders = payments.select("batch_id", "event_id", "order_id").hint("merge")
+    keys = gone.join(orders, ["batch_id", "event_id"], "left")
     if gone.isEmpty():
         return None
     return batches.remove_rows(spark, root, keys)
