@@ -16,8 +16,8 @@ from contextlib import contextmanager
 
 import numpy as np
 
-#: Pieces and runs that a task remembers, about.
-KNOWN = 1_000_000
+#: Pieces and runs that a task remembers, about; some 200 bytes each, in two tables.
+KNOWN = 250_000
 #: Runs that are encoded as one text.
 LINES = 1000
 #: White space in the sense of the patterns.

@@ -502,7 +502,7 @@ def _one_round(docs: DataFrame, out: list[T.StructField], items: DataFrame, bloc
                 yield rows.filter(pa.array([bool(x) for x in found])) if finds_only else rows
 
     schema = T.StructType([*out, T.StructField(into, LEAKS)])
-    return docs.mapInArrow(add, schema), sent
+    return docs.mapInArrow(shared.given_back(add), schema), sent
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:

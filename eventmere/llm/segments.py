@@ -506,7 +506,7 @@ def sample_segments(
                     [*names, into, "round_trip"],
                 )
 
-    return docs.withColumn("__seed", F.xxhash64(key)).mapInArrow(add, schema)
+    return docs.withColumn("__seed", F.xxhash64(key)).mapInArrow(shared.given_back(add), schema)
 
 
 def decode_segments(docs: DataFrame, ids: str = "ids", into: str = "text", model: str = MODEL_FILE) -> DataFrame:

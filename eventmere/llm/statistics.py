@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from eventmere.llm.shared import given_back
 from eventmere.llm.texts import mix, read_words, run_hashes, slices, text_column, whole_runs, word_hashes
 from eventmere.llm.texts import _BYTE_VALUES, _power_tables
 
@@ -122,4 +123,4 @@ def with_statistics(df: DataFrame, into: str, text: str = "text", keep_text: boo
                     [batch.column(name)[start:stop] for name in names] + [struct], [*names, into]
                 )
 
-    return df.mapInArrow(add, schema)
+    return df.mapInArrow(given_back(add), schema)

@@ -148,7 +148,7 @@ def encode(
 
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     rows = large_tasks(rows).withColumn("row", F.monotonically_increasing_id())
-    return shared.stored(rows.mapInArrow(run, IDS_DDL), "token-ids"), width
+    return shared.stored(rows.mapInArrow(shared.given_back(run), IDS_DDL), "token-ids"), width
 
 
 def _train(pieces: list[bytes]) -> bytes:
