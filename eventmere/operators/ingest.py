@@ -81,51 +81,70 @@ def unknown_people(raw: DataFrame, users: DataFrame) -> DataFrame:
     return ids.filter(F.col("user_id").isNotNull()).join(users.select("user_id"), "user_id", "left_anti")
 
 
-def accept(raw: DataFrame, users: DataFrame | None = None, stored: Tables | None = None) -> DataFrame:
-    """Events that can be stored whole: an event that breaks a rule goes with all its parts.
+def fit_events(raw: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """Events that break no rule, repeated ones as often as they came."""
+    return judge(raw, users).filter(F.col("reject_reason").isNull()).drop("reject_reason")
 
-    Of several events with one id, or payments with one order, the earliest stays.
-    Ids and orders already in ``stored`` are taken.
-    """
-    fit = judge(raw, users).filter(F.col("reject_reason").isNull()).drop("reject_reason")
+
+def first_events(raw: DataFrame, users: DataFrame | None = None, stored: Tables | None = None) -> DataFrame:
+    """Of the fit events with one id the earliest; ids already in ``stored`` are taken."""
     # Copies are combined before ids are looked up, so that a key with very many rows never meets in one task.
-    events = earliest_row(fit, "event_id", order=("created_at",))
+    events = earliest_row(fit_events(raw, users), "event_id", order=("created_at",))
     if stored is not None:
         events = events.join(stored.master_event_logs.select("event_id").hint("merge"), "event_id", "left_anti")
-    is_payment = F.col("event_type") == "payment"
-    payments = earliest_row(events.filter(is_payment), "order_id", order=("created_at", "event_id"))
+    return events
+
+
+def first_payments(events: DataFrame, stored: Tables | None = None) -> DataFrame:
+    """Of the payments among :func:`first_events` with one order the earliest; orders already in ``stored`` are taken."""
+    payments = earliest_row(events.filter(F.col("event_type") == "payment"), "order_id", order=("created_at", "event_id"))
     if stored is not None:
         payments = payments.join(stored.payment_details.select("order_id").hint("merge"), "order_id", "left_anti")
+    return payments
+
+
+def with_payments(events: DataFrame, payments: DataFrame) -> DataFrame:
+    """:func:`first_events` with :func:`first_payments` in place of their payments: what can be stored."""
     names = RAW_EVENT.fieldNames()
-    return events.filter(~is_payment).select(*names).unionByName(payments.select(*names))
+    return events.filter(F.col("event_type") != "payment").select(*names).unionByName(payments.select(*names))
 
 
-def rejected(raw: DataFrame, users: DataFrame | None = None, stored: Tables | None = None) -> DataFrame:
+def accept(raw: DataFrame, users: DataFrame | None = None, stored: Tables | None = None) -> DataFrame:
+    """Events that can be stored whole: an event that breaks a rule goes with all its parts.
+
+    Of several events with one id, or payments with one order, the earliest stays.
+    Ids and orders already in ``stored`` are taken.
+    """
+    events = first_events(raw, users, stored)
+    return with_payments(events, first_payments(events, stored))
+
+
+def rejected(
+    raw: DataFrame, users: DataFrame | None = None, stored: Tables | None = None, events: DataFrame | None = None,
+    payments: DataFrame | None = None, repeats: bool = True,
+) -> DataFrame:
     """One row per event that :func:`accept` leaves out, with its ``reject_reason``.
 
     Repeats are kept as often as they came: accepted and rejected make up all events.
     No join gathers the rows of a repeated event or order; they are counted by all columns.
+    ``events`` and ``payments`` are :func:`first_events` and :func:`first_payments`, if they are
+    there already; ``repeats`` is False if there are as many first events as fit ones.
     """
     names = RAW_EVENT.fieldNames()
-    judged = judge(raw.select(*names), users)
-    broken = judged.filter(F.col("reject_reason").isNotNull())
-    fit = judged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    repeated_event, repeated_order = F.lit("repeated event_id"), F.lit("repeated order_id")
-    first = earliest_row(fit, "event_id", order=("created_at",))
-    if stored is not None:
-        first = first.join(stored.master_event_logs.select("event_id").hint("merge"), "event_id", "left_anti")
-    # All copies but the one that stays: each row counts one, the first of its id takes one off.
-    counted = fit.select(*names, F.lit(1).alias("_one")).unionByName(first.select(*names, F.lit(-1).alias("_one")))
-    left = counted.groupBy(*names).agg(F.sum("_one").alias("_left")).filter("_left > 0")
-    again = left.withColumn("_one", F.explode(F.array_repeat(F.lit(0), F.col("_left").cast("int"))))
-    parts = [broken, again.select(*names, repeated_event.alias("reject_reason"))]
-    payments = first.filter(F.col("event_type") == "payment")
-    winners = payments.groupBy("order_id").agg(F.min(F.struct("created_at", "event_id")).alias("_winner"))
-    if stored is not None:
-        winners = winners.join(stored.payment_details.select("order_id").hint("merge"), "order_id", "left_anti")
+    raw = raw.select(*names)
+    parts = [judge(raw, users).filter(F.col("reject_reason").isNotNull())]
+    first = first_events(raw, users, stored) if events is None else events
+    if repeats:
+        # All copies but the one that stays: each row counts one, the first of its id takes one off.
+        fit = fit_events(raw, users)
+        counted = fit.select(*names, F.lit(1).alias("_one")).unionByName(first.select(*names, F.lit(-1).alias("_one")))
+        left = counted.groupBy(*names).agg(F.sum("_one").alias("_left")).filter("_left > 0")
+        again = left.withColumn("_one", F.explode(F.array_repeat(F.lit(0), F.col("_left").cast("int"))))
+        parts.append(again.select(*names, F.lit("repeated event_id").alias("reject_reason")))
+    winners = first_payments(first, stored) if payments is None else payments
     # Event ids are unique here, order ids are not.
-    losers = payments.join(winners.select("_winner.event_id").hint("merge"), "event_id", "left_anti")
-    parts.append(losers.select(*names, repeated_order.alias("reject_reason")))
+    losers = first.filter(F.col("event_type") == "payment").join(winners.select("event_id").hint("merge"), "event_id", "left_anti")
+    parts.append(losers.select(*names, F.lit("repeated order_id").alias("reject_reason")))
     return reduce(lambda a, b: a.unionByName(b), [p.select(*names, "reject_reason") for p in parts])
 
 

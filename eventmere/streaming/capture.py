@@ -107,7 +107,9 @@ def events_of(messages: DataFrame) -> DataFrame:
     parsed = messages.withColumn("_event", F.from_json(text, schema, options))
     # The parser takes a list of objects for its first one, and an empty text for nothing.
     is_object = F.regexp_like(text, F.lit(r"^\s*\{"))
-    readable = F.coalesce(is_object & F.col("_event").isNotNull() & F.col("_event._corrupt").isNull(), F.lit(False))
+    good = F.coalesce(is_object & F.col("_event").isNotNull() & F.col("_event._corrupt").isNull(), F.lit(False))
+    # A column of its own, so that the text is looked at once and not for every field.
+    parsed, readable = parsed.withColumn("_readable", good), F.col("_readable")
     place = F.struct(
         F.col("topic").cast("string").alias("topic"), F.col("partition").cast("int").alias("partition"),
         F.col("offset").cast("long").alias("offset"), F.col("value").cast("binary").alias("content"),
@@ -173,15 +175,19 @@ def capture(
         # saves two shuffles of the whole batch by user and by creator.
         checked = users is not None and not ingest.unknown_people(batch, users).isEmpty()
         known = users if checked else None
-        accepted = ingest.accept(batch, known, stored)
-        # Six tables are written from it. Lost blocks are computed again, and give
+        # Eight tables are written from these two. Lost blocks are computed again, and give
         # the same rows: ties are broken by all columns.
-        accepted.persist(StorageLevel.MEMORY_AND_DISK)
+        first = ingest.first_events(batch, known, stored).persist(StorageLevel.MEMORY_AND_DISK)
+        payments = ingest.first_payments(first, stored).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            frames = ingest.route(accepted) | {REJECTED: ingest.rejected(batch, known, stored)} | apart
+            # Counting whole events by all columns is a shuffle of the batch; two counts tell whether any is left over.
+            repeats = ingest.fit_events(batch, known).count() > first.count()
+            left_out = ingest.rejected(batch, known, stored, first, payments, repeats)
+            frames = ingest.route(ingest.with_payments(first, payments)) | {REJECTED: left_out} | apart
             batches.commit_tables(spark, frames, root, batch_id)
         finally:
-            accepted.unpersist()
+            payments.unpersist()
+            first.unpersist()
             arrived.unpersist()
 
     return each_batch(raw_stream, checkpoint, handle, trigger)

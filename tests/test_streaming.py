@@ -169,3 +169,24 @@ def test_messages_without_an_event_are_kept_whole(spark):
         (t, p, o): v for t, p, o, v in rows if (p, o) not in ((0, 0), (0, 1), (2, 1))
     }
     assert capturing.read_rejected(spark, root).count() == 0
+
+
+def test_events_are_grouped_by_id_once_per_batch(spark, monkeypatch):
+    inbox, store, *_, checkpoint, _ = folders(spark)
+    grouped, plain = [], ingest.earliest_row
+
+    def counted(df, *keys, **kw):
+        grouped.append(keys)
+        return plain(df, *keys, **kw)
+
+    monkeypatch.setattr(ingest, "earliest_row", counted)
+    given(spark).write.parquet(inbox)
+    capture(spark, inbox, store, checkpoint)
+    assert grouped.count(("event_id",)) == 1 and capturing.read_rejected(spark, store).count() == 0
+    # Now all are stored already, and one of them comes twice.
+    given(spark).unionByName(given(spark).filter("event_id = '7'")).write.mode("append").parquet(inbox)
+    capture(spark, inbox, store, checkpoint)
+    assert grouped.count(("event_id",)) == 2
+    again = capturing.read_rejected(spark, store)
+    assert again.count() == 1001 and again.filter("event_id = '7'").count() == 2
+    assert [r[0] for r in again.select("reject_reason").distinct().collect()] == ["repeated event_id"]
