@@ -11,15 +11,16 @@ from __future__ import annotations
 
 import gc
 import json
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from itertools import filterfalse
 
 import numpy as np
 
 #: Pieces and runs that a task remembers, about; some 200 bytes each, in two tables.
 KNOWN = 250_000
-#: Runs that are encoded as one text.
-LINES = 1000
+#: Runs that are encoded as one text, and pieces that are looked at together.
+LINES = 200
 #: White space in the sense of the patterns.
 WHITE = "\t-\r \u0085   -     　"
 #: Neither letters, digits nor white space.
@@ -67,6 +68,28 @@ def drop_most(known: dict, needed: Iterable, limit: int) -> dict:
     return known if len(known) < limit else {k: known[k] for k in needed if k in known}
 
 
+class Recent:
+    """Values by key in two tables: the newer one becomes the older when it has enough, and the older one goes.
+
+    What is asked for again comes into the newer one, so that of very many keys the frequent ones stay.
+    """
+
+    def __init__(self):
+        self.new, self.old = {}, {}
+
+    def renew(self, limit: int) -> None:
+        """Remember about ``limit`` keys, and what one call adds."""
+        if len(self.new) >= limit // 2:
+            self.new, self.old = {}, self.new
+
+    def absent(self, keys: set) -> list:
+        """Those of the keys that are in neither table; the others are in the newer one from now on."""
+        left = list(filterfalse(self.new.__contains__, keys))
+        again = list(filter(self.old.__contains__, left))
+        self.new.update(zip(again, map(self.old.__getitem__, again)))
+        return list(filterfalse(self.new.__contains__, left)) if again else left
+
+
 class Encoder:
     """Serialized ids of pieces of text by a tokenizers file.
 
@@ -92,7 +115,7 @@ class Encoder:
         self.merges = Tokenizer.from_str(json.dumps(config)) if pattern else None
         self.pattern, self.plain = regex.compile(pattern or ""), regex.compile(PLAIN)
         self.type, self.lower = f"<u{width}", lower
-        self.runs: dict[str, bytes] = {}
+        self.runs = Recent()
 
     def texts(self, texts: list[str], by: object = None) -> list[bytes]:
         """The library's own ids of whole texts."""
@@ -121,37 +144,30 @@ class Encoder:
         """Ids of distinct pieces, before and after which the pattern is sure to cut."""
         if self.merges is None:
             return self.texts(pieces)
-        plain = set(self._plain(range(len(pieces)), pieces))
-        texts = [p.lower() for p in pieces] if self.lower else pieces
-        cut: list[tuple[str, ...] | None] = []
-        for n, text in enumerate(texts):
-            letters = text.rstrip(MARKS)
-            if n not in plain:
-                cut.append(None)
-            elif letters.isalpha() or letters[:1] == " " and letters[1:].isalpha():
-                # Letters are one run, and so are the marks after them.
-                cut.append((letters, text[len(letters) :]) if len(letters) < len(text) else (text,))
-            else:
-                cut.append(tuple(self.pattern.findall(text)))
-        own = set().union(*[runs for runs in cut if runs])
-        self.runs = runs = drop_most(self.runs, own, KNOWN)
-        new = list(own - runs.keys())
-        runs.update(zip(new, self.merged(new)))
-        left = [n for n, parts in enumerate(cut) if parts is None]
-        whole = dict(zip(left, self.texts([pieces[n] for n in left])))
-        get = runs.__getitem__
-        return [whole[n] if parts is None else get(parts[0]) if len(parts) == 1 else b"".join(map(get, parts)) for n, parts in enumerate(cut)]
-
-    def _plain(self, chosen: Sequence[int], pieces: list[str]) -> list[int]:
-        """Those of the chosen pieces that have plain characters only, and no special token's string."""
-        out = []
-        for start in range(0, len(chosen), LINES):
-            own = chosen[start : start + LINES]
-            if self._is_plain(" ".join([pieces[n] for n in own])):
-                out += own
-            else:
-                out += [n for n in own if self._is_plain(pieces[n])]
-        return out
+        cut = [runs for start in range(0, len(pieces), LINES) for runs in self._cut(pieces[start : start + LINES])]
+        own = {runs for runs in cut if type(runs) is str}
+        own.update(*[runs for runs in cut if type(runs) is tuple])
+        self.runs.renew(KNOWN)
+        new = self.runs.absent(own)
+        self.runs.new.update(zip(new, self.merged(new)))
+        whole = iter(self.texts([piece for piece, runs in zip(pieces, cut) if runs is None]))
+        get = self.runs.new.__getitem__
+        return [get(runs) if type(runs) is str else next(whole) if runs is None else b"".join(map(get, runs)) for runs in cut]
+
+    def _cut(self, pieces: list[str]) -> list[str | tuple[str, ...] | None]:
+        """A run, or several, of each piece; None where the piece has other than plain characters, or a special token's string."""
+        if not self._is_plain(" ".join(pieces)):
+            return [self._runs(p.lower() if self.lower else p) if self._is_plain(p) else None for p in pieces]
+        # Plain pieces have no line breaks.
+        texts = "\n".join(pieces).lower().split("\n") if self.lower else pieces
+        return [t if t.isalpha() else self._runs(t) for t in texts]
+
+    def _runs(self, text: str) -> str | tuple[str, ...]:
+        letters = text.rstrip(MARKS)
+        if letters.isalpha() or letters[:1] == " " and letters[1:].isalpha():
+            # Letters are one run, and so are the marks after them.
+            return (letters, text[len(letters) :]) if len(letters) < len(text) else text
+        return tuple(self.pattern.findall(text))
 
     def _is_plain(self, text: str) -> bool:
         return bool(self.plain.fullmatch(text)) and not (self.special and self.special.search(text))

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from eventmere.llm import shared
-from eventmere.llm.encoding import KNOWN, Encoder, drop_most, file_bytes, library, no_collection, vocabulary_file
+from eventmere.llm.encoding import KNOWN, Encoder, Recent, file_bytes, library, no_collection, vocabulary_file
 from eventmere.llm.texts import mix, slices, text_column
 from eventmere.sources import paths
 
@@ -96,21 +96,20 @@ class Words:
     def __init__(self, tokenizer: bytes, width: int):
         self.pattern = word_pattern(tokenizer)
         self.encoder = Encoder(tokenizer, width, self.pattern, lower=True)
-        self.known: dict[bytes, bytes] = {}
+        self.known = Recent()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if self.pattern is None:
             return self.encoder.texts([t.decode() for t in texts])
         # bytes.split() cuts at exactly these six bytes.
         words = [t.split() for t in texts]
-        if len(self.known) >= KNOWN:
-            self.known = drop_most(self.known, set().union(*words), KNOWN)
-        known, new = self.known, set()
+        self.known.renew(KNOWN)
+        known, asked = self.known.new, set()
         for own in words:
-            new.update(filterfalse(known.__contains__, own))
-        new = list(new)
-        known.update(zip(new, self.encoder.pieces([w.decode() for w in new])))
-        return [b"".join(map(known.__getitem__, ids)) for ids in words]
+            asked.update(filterfalse(known.__contains__, own))
+        if new := self.known.absent(asked):
+            known.update(zip(new, self.encoder.pieces(b" ".join(new).decode().split(" "))))
+        return [b"".join(map(known.__getitem__, own)) for own in words]
 
 
 def large_tasks(docs: DataFrame, size: int = TASK_BYTES) -> DataFrame:

@@ -92,3 +92,15 @@ def test_query_on_small_tables(spark):
         ids = plain.encode(text or "", add_special_tokens=False).ids + [1]
         assert got[doc] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+
+
+def test_a_word_that_comes_again_stays_known(monkeypatch):
+    monkeypatch.setattr(token_store, "KNOWN", 200)
+    words, asked = token_store.Words(token_store.file_bytes(FILE), 2), []
+    plain = words.encoder.pieces
+    monkeypatch.setattr(words.encoder, "pieces", lambda pieces: asked.extend(pieces) or plain(pieces))
+    rng = random.Random(5)
+    for n in range(30):
+        own = ["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(30)]
+        words.encode([" ".join(own + ["often"] * (n % 3 == 0)).encode()])
+    assert asked.count("often") == 1
