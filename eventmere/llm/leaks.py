@@ -121,7 +121,8 @@ def term_weights(docs: DataFrame) -> np.ndarray:
         counts, column = np.zeros(TERMS), text_column(batch, "text")
         for start, stop in slices(column):
             words = read_words(column[start:stop], lower=True)
-            held = np.unique(words.text_of * TERMS + _terms(word_hashes(words)))
+            held = np.sort(words.text_of * TERMS + _terms(word_hashes(words)))
+            held = held[np.append(True, held[1:] != held[:-1])] if len(held) else held
             counts += np.bincount(held % TERMS, minlength=TERMS)
         return np.vstack((counts.reshape(ROWS, -1), np.full(TERMS // ROWS, len(column))))
 
@@ -347,6 +348,25 @@ def candidates(hashes: np.ndarray, step_of: np.ndarray, text_of: np.ndarray, pas
     return kept
 
 
+def _row_sums(table: np.ndarray, rows: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    """The sum of each owner's rows of a table; owners ascend, and an owner has a few rows only."""
+    sums = np.zeros((count, table.shape[1]), table.dtype)
+    heads = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, int)
+    sizes = np.diff(np.append(heads, len(owner)))
+    # Owners with most rows first: those that have an n-th row are the first ones.
+    order = np.argsort(-sizes, kind="stable")
+    heads, sizes = heads[order], sizes[order]
+    more = heads[: np.searchsorted(-sizes, -1)]
+    rest = table[rows[more + 1]]
+    for n in range(2, int(sizes.max(initial=0))):
+        own = heads[: np.searchsorted(-sizes, -n)]
+        rest[: len(own)] += table[rows[own + n]]
+    total = table[rows[heads]]
+    total[: len(more)] += rest
+    sums[owner[heads]] = total
+    return sums
+
+
 def near_windows(words: Words, hashes: np.ndarray, block: Block, weights: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
     """Text, first and last word place, item and cosine of windows that are near to a passage of their class."""
     if not len(block.vectors) or not len(hashes):
@@ -354,11 +374,7 @@ def near_windows(words: Words, hashes: np.ndarray, block: Block, weights: np.nda
     at = np.minimum(np.searchsorted(block.words, hashes), len(block.words) - 1)
     hit = np.flatnonzero(block.words[at] == hashes)
     hop_of, text_of = _windows(words, HOP)
-    sums = np.zeros((len(text_of), block.table.shape[1]), np.float32)
-    if len(hit):
-        own = hop_of[hit]
-        heads = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        sums[own[heads]] = np.add.reduceat(block.table[at[hit]], heads, axis=0)
+    sums = _row_sums(block.table, at[hit], hop_of[hit], len(text_of))
     squares = np.bincount(hop_of, weights[_terms(hashes)] ** 2, len(text_of))
     place = np.arange(len(text_of)) - np.searchsorted(text_of, text_of)
     for number, longest in enumerate(CLASSES):

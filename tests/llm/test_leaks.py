@@ -135,3 +135,14 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, " ".join(prose(9, 20)))], "item_id long, text string")
     assert leaks.find_leaks(frame(spark), none).filter("size(leaks) > 0").count() == 0
     assert leaks.find_leaks(frame(spark, []), some).count() == 0
+
+
+def test_rows_of_each_owner_are_added_up():
+    rng = np.random.default_rng(8)
+    table = rng.normal(size=(50, 6)).astype(np.float32)
+    sizes = rng.integers(0, 9, 300)
+    owner, rows = np.repeat(np.arange(300), sizes), rng.integers(0, 50, sizes.sum())
+    got = leaks._row_sums(table, rows, owner, 300)
+    for n in range(300):
+        np.testing.assert_allclose(got[n], table[rows[owner == n]].sum(0), atol=1e-5)
+    assert not leaks._row_sums(table, rows[:0], owner[:0], 2).any()
