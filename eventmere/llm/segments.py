@@ -25,6 +25,7 @@ result; other columns are carried along.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmere.llm import shared
-from eventmere.llm.texts import _BYTE_VALUES, _STEP, _power_tables, buffer_of, mix, slices, text_column
+from eventmere.llm.texts import buffer_of, mix, slices, text_column
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
@@ -50,24 +51,24 @@ SLICE = 1_000_000
 LEAST_LOG_MASS = -45.0
 #: Edges looked at first, four times as many where their mass is not used up, and cells at a time.
 WIDTH, CELLS = 512, 2_000_000
-SLOT_BITS = 18
 SPACE = 0x20
 FALLBACK = -1
 
 
 @dataclass
 class Vocabulary:
-    """Pieces by the hash of their bytes; spaces stand for the model's word mark."""
+    """Pieces as a tree of their bytes; spaces stand for the model's word mark."""
 
-    hashes: np.ndarray
     ids: np.ndarray
     weights: np.ndarray
-    lengths: list[int]
-    first: np.ndarray
+    column: np.ndarray  # of each byte, its place among those that pieces have
+    child: np.ndarray  # a row for each node with children, the root first; no child is 0
+    piece: np.ndarray  # of each node, the piece that ends there, or -1
     byte_ids: np.ndarray
     byte_weight: float
 
 
+@functools.cache
 def piece_bytes(path: str = MODEL_FILE) -> list[bytes | None]:
     """What each id stands for; control and unknown ids stand for nothing."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -82,17 +83,39 @@ def piece_bytes(path: str = MODEL_FILE) -> list[bytes | None]:
     return found
 
 
-def _span_hashes(reached: np.ndarray, down: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    return mix((reached[starts + length] - reached[starts]) * down[starts] + np.full(1, length, np.uint64) * _STEP)
-
-
-def _reached(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _power_tables(len(data) + 1)
-    reached = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=reached[1:])
-    return reached, down
-
-
+def _tree(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Columns of bytes, children and pieces of the tree of all pieces, which are distinct."""
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    lengths = np.array([len(p) for p in pieces], np.int64)
+    begins = np.cumsum(lengths) - lengths
+    used = np.unique(data)
+    column = np.zeros(256, np.int64)
+    column[used] = np.arange(1, len(used) + 1)
+    width = len(used) + 1
+    node_of, nodes = np.zeros(len(pieces), np.int64), 1
+    parents, columns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for depth in range(int(lengths.max(initial=0))):
+        own = np.flatnonzero(lengths > depth)
+        keys, at = np.unique(node_of[own] * width + column[data[begins[own] + depth]], return_inverse=True)
+        parents.append(keys // width)
+        columns.append(keys % width)
+        node_of[own] = nodes + at
+        nodes += len(keys)
+    parent, place = np.concatenate(parents), np.concatenate(columns)
+    # Nodes with children get the lowest numbers.
+    inner = np.zeros(nodes, bool)
+    inner[0] = True
+    inner[parent] = True
+    number = np.empty(nodes, np.int32)
+    number[np.argsort(~inner, kind="stable")] = np.arange(nodes)
+    child = np.zeros((int(inner.sum()), width), np.int32)
+    child[number[parent], place] = number[1:]
+    piece = np.full(nodes, -1, np.int32)
+    piece[number[node_of]] = np.arange(len(pieces))
+    return column, child, piece
+
+
+@functools.cache
 def read_vocabulary(path: str = MODEL_FILE) -> Vocabulary:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     found = piece_bytes(path)
@@ -108,18 +131,9 @@ def read_vocabulary(path: str = MODEL_FILE) -> Vocabulary:
     order = {i: n for n, (_, i) in enumerate(sorted(pieces, key=lambda p: (-model.get_score(p[1]), p[1])))}
     law = -ZIPF_POWER * np.log(np.arange(len(pieces)) + ZIPF_OFFSET)
     law -= np.log(np.exp(law).sum())
-    hashes = np.zeros(len(pieces), np.uint64)
-    for n, (piece, _) in enumerate(pieces):
-        reached, down = _reached(np.frombuffer(piece, np.uint8))
-        hashes[n] = _span_hashes(reached, down, np.zeros(1, np.int64), len(piece))[0]
-    by_hash = np.argsort(hashes)
-    ids = np.array([i for _, i in pieces], np.int32)[by_hash]
-    hashes = hashes[by_hash]
-    slots = hashes >> np.uint64(64 - SLOT_BITS)
-    first = np.searchsorted(slots, np.arange((1 << SLOT_BITS) + 1, dtype=np.uint64))
-    weights = np.array([law[order[i]] for i in ids])
-    lengths = sorted({len(p) for p, _ in pieces})
-    return Vocabulary(hashes, ids, weights, lengths, first, byte_ids, float(law.min()))
+    ids = np.array([i for _, i in pieces], np.int32)
+    weights = np.array([law[order[i]] for i in ids.tolist()])
+    return Vocabulary(ids, weights, *_tree([p for p, _ in pieces]), byte_ids, float(law.min()))
 
 
 @dataclass
@@ -144,33 +158,29 @@ def build_lattice(units: pa.Array, words: Vocabulary) -> Lattice:
     lengths = np.diff(offsets)
     unit_of = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     left = np.repeat(offsets[1:], lengths) - np.arange(len(data))
-    reached, down = _reached(data)
     lead = np.flatnonzero((data & 0xC0) != 0x80)
     char_length = np.diff(np.append(lead, len(data)))
     sources, sizes, pieces, weights = [], [], [], []
     whole = np.zeros(len(data), bool)
     size_at = np.zeros(len(data), np.int32)
     size_at[lead] = char_length
-    for length in words.lengths:
-        at = lead[left[lead] >= length]
-        if not len(at):
-            continue
-        hashes = _span_hashes(reached, down, at, length)
-        slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        begin, end = words.first[slot], words.first[slot + 1]
-        open_at = np.flatnonzero(begin < end)
-        while len(open_at):
-            place = begin[open_at]
-            hit = words.hashes[place] == hashes[open_at]
-            own, place = at[open_at[hit]], place[hit]
-            sources.append(own)
-            sizes.append(np.full(len(own), length, np.int32))
-            pieces.append(words.ids[place])
-            weights.append(words.weights[place])
-            whole[own[size_at[own] == length]] = True
-            begin[open_at] += 1
-            open_at = open_at[~hit]
-            open_at = open_at[begin[open_at] < end[open_at]]
+    # From every character the tree is followed as long as it goes on inside the unit.
+    inner, width = words.child.shape
+    children, columns = words.child.reshape(-1), words.column[data]
+    at, ahead, node, length = lead, left[lead], np.zeros(len(lead), np.int64), 0
+    while len(at):
+        length += 1
+        node = children[node * width + columns[at + (length - 1)]]
+        place = words.piece[node]
+        hit = np.flatnonzero((place >= 0) & (node > 0))
+        own, place = at[hit], place[hit]
+        sources.append(own)
+        sizes.append(np.full(len(own), length, np.int32))
+        pieces.append(words.ids[place])
+        weights.append(words.weights[place])
+        whole[own[size_at[own] == length]] = True
+        on = np.flatnonzero((node > 0) & (node < inner) & (ahead > length))
+        at, ahead, node = at[on], ahead[on], node[on].astype(np.int64)
     bare = lead[~whole[lead]]
     sources.append(bare)
     sizes.append(size_at[bare])
@@ -196,15 +206,18 @@ def build_lattice(units: pa.Array, words: Vocabulary) -> Lattice:
     mass = np.zeros(nodes)
     by_far = np.argsort(far.astype(np.uint16) if far.max(initial=0) < 1 << 16 else far, kind="stable")
     edges = np.append(0, np.cumsum(np.bincount(far)))
-    for d in range(1, len(edges) - 1):
-        e = by_far[edges[d] : edges[d + 1]]
-        if not len(e):
+    leaves, reaches, laws = source[by_far], target[by_far], weight[by_far]
+    new = np.append(True, leaves[1:] != leaves[:-1])
+    for begin, end in zip(edges[1:-1].tolist(), edges[2:].tolist()):
+        if begin == end:
             continue
-        values = weight[e] + mass[target[e]]
-        heads = np.flatnonzero(np.append(True, source[e][1:] != source[e][:-1]))
+        values = laws[begin:end] + mass[reaches[begin:end]]
+        heads = np.flatnonzero(new[begin:end])
+        if not len(heads) or heads[0]:
+            heads = np.append(0, heads)
         top = np.maximum.reduceat(values, heads)
-        total = np.add.reduceat(np.exp(values - np.repeat(top, np.diff(np.append(heads, len(e))))), heads)
-        mass[source[e[heads]]] = top + np.log(total)
+        total = np.add.reduceat(np.exp(values - np.repeat(top, np.diff(np.append(heads, end - begin)))), heads)
+        mass[leaves[begin + heads]] = top + np.log(total)
     log_chance = weight + mass[target] - mass[source]
     chance = np.exp(log_chance)
     ends = np.zeros(nodes, bool)

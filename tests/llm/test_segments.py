@@ -73,3 +73,19 @@ def test_draws_do_not_depend_on_neighbours(spark):
     whole = segments.sample_segments(frame(spark)).select("doc_id", "text", "segments").collect()
     alone = segments.sample_segments(frame(spark).repartition(7, "text")).select("doc_id", "text", "segments").collect()
     assert sorted(map(str, whole)) == sorted(map(str, alone))
+
+
+def test_tree_of_pieces():
+    pieces = [b" a", b"ab", b"a", b"abc", b"b\xc3\xa9", b" "]
+    column, child, piece = segments._tree(pieces)
+    for n, own in enumerate(pieces):
+        node = 0
+        for byte in own:
+            assert node < len(child)
+            node = child[node, column[byte]]
+        assert piece[node] == n
+    assert child[0, column[ord("c")]] == 0 and column[ord("x")] == 0 and not child[:, 0].any()
+
+
+def test_vocabulary_is_read_once_by_a_process():
+    assert segments.read_vocabulary() is segments.read_vocabulary()
