@@ -116,6 +116,8 @@ class Encoder:
         self.pattern, self.plain = regex.compile(pattern or ""), regex.compile(PLAIN)
         self.type, self.lower = f"<u{width}", lower
         self.runs = Recent()
+        # Whether lower-case letters alone are one run as they are.
+        self.letters = bool(pattern) and lower and not any(n.isalpha() for n in ([] if plain_special else names))
 
     def texts(self, texts: list[str], by: object = None) -> list[bytes]:
         """The library's own ids of whole texts."""
@@ -144,6 +146,15 @@ class Encoder:
         """Ids of distinct pieces, before and after which the pattern is sure to cut."""
         if self.merges is None:
             return self.texts(pieces)
+        if not self.letters:
+            return self._cut_pieces(pieces)
+        # The caller remembers pieces; those that are one run need not be remembered as runs too.
+        single = [p.isalpha() and p.isascii() and p.islower() for p in pieces]
+        runs = iter(self.merged([p for p, s in zip(pieces, single) if s]))
+        others = iter(self._cut_pieces([p for p, s in zip(pieces, single) if not s]))
+        return [next(runs if s else others) for s in single]
+
+    def _cut_pieces(self, pieces: list[str]) -> list[bytes]:
         cut = [runs for start in range(0, len(pieces), LINES) for runs in self._cut(pieces[start : start + LINES])]
         own = {runs for runs in cut if type(runs) is str}
         own.update(*[runs for runs in cut if type(runs) is tuple])

@@ -36,7 +36,6 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +45,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from eventmere.llm import shared
-from eventmere.llm.encoding import KNOWN, Encoder, Recent, file_bytes, library, no_collection, vocabulary_file
-from eventmere.llm.texts import mix, slices, text_column
+from eventmere.llm.encoding import KNOWN, MARKS, Encoder, Recent, file_bytes, library, no_collection, vocabulary_file
+from eventmere.llm.texts import LOWER, SPACE, mix, read_words, slices, text_column
+from eventmere.llm.texts import Words as TextWords
 from eventmere.sources import paths
 
 MAGIC = b"IDSTORE1"
@@ -63,6 +63,12 @@ TASK_BYTES = 48 << 20
 #: Shards whose totals are added up in one window.
 RUN = 1000
 
+#: What a byte adds to the count of letters, and of marks, of a word; any other byte adds to neither.
+_LETTER, _MARK, _OTHER = 1, 1 << 21, 1 << 42
+_BYTE_KINDS = np.zeros(256, np.int64)
+_BYTE_KINDS[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = _LETTER
+_BYTE_KINDS[list(MARKS.encode())] = _MARK
+
 IDS_DDL = "doc long, ids binary, n_ids long, row long"
 INDEX_DDL = "shard int, file string, doc long, place long, length long, n_ids long"
 READ_DDL = "shard int, doc long, before long, n_ids long, ids binary"
@@ -91,25 +97,63 @@ def word_pattern(tokenizer: bytes) -> str | None:
 
 
 class Words:
-    """Serialized ids of texts by a file that cuts words; each word ``[^\x20\x09-\x0D]+`` is encoded once."""
+    """Serialized ids of texts by a file that cuts words; each distinct word ``[^\x20\x09-\x0D]+`` is encoded once.
+
+    Of words of plain letters with marks after them the letters, in lower case, and the marks are looked up.
+    """
 
     def __init__(self, tokenizer: bytes, width: int):
         self.pattern = word_pattern(tokenizer)
         self.encoder = Encoder(tokenizer, width, self.pattern, lower=True)
-        self.known = Recent()
+        self.known, self.width = Recent(), width
+        special = [t["content"] for t in json.loads(tokenizer).get("added_tokens", [])]
+        self.cuts = all(_BYTE_KINDS[np.frombuffer(s.encode(), np.uint8)].min(initial=1) == 0 for s in special)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        ids, edges = self.ids(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        return [ids[i:j].tobytes() for i, j in zip(edges.tolist(), edges[1:].tolist())]
+
+    def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's begin; nulls have none."""
+        kind = f"<u{self.width}"
         if self.pattern is None:
-            return self.encoder.texts([t.decode() for t in texts])
-        # bytes.split() cuts at exactly these six bytes.
-        words = [t.split() for t in texts]
+            found = self.encoder.texts([t or "" for t in column.to_pylist()])
+            return np.frombuffer(b"".join(found), kind), np.cumsum([0, *map(len, found)]) // self.width
+        units, first = self._units(read_words(column))
+        encoded = units.dictionary_encode()
+        asked = encoded.dictionary.to_pylist()
         self.known.renew(KNOWN)
-        known, asked = self.known.new, set()
-        for own in words:
-            asked.update(filterfalse(known.__contains__, own))
+        known = self.known.new
         if new := self.known.absent(asked):
             known.update(zip(new, self.encoder.pieces(b" ".join(new).decode().split(" "))))
-        return [b"".join(map(known.__getitem__, own)) for own in words]
+        blobs = list(map(known.__getitem__, asked))
+        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // self.width
+        begins, at = np.cumsum(sizes) - sizes, np.asarray(encoded.indices)
+        reached = np.append(0, np.cumsum(sizes[at]))
+        places = np.repeat(begins[at] - reached[:-1], sizes[at]) + np.arange(reached[-1])
+        return np.frombuffer(b"".join(blobs), kind)[places], reached[first]
+
+    def _units(self, words: TextWords) -> tuple[pa.Array, np.ndarray]:
+        """What is looked up of all words, and the first of each text."""
+        data, lengths = words.data[~SPACE[words.data]], words.ends - words.starts
+        begins, kinds = np.cumsum(lengths) - lengths, _BYTE_KINDS[data]
+        # Letters, marks, and marks before a letter of the same word, counted in one sum.
+        before = kinds[:-1] == _MARK
+        before &= kinds[1:] == _LETTER
+        before[begins[1:] - 1] = False
+        kinds[:-1][before] += _OTHER
+        counted = np.append(0, np.cumsum(kinds))
+        counted = counted[begins + lengths] - counted[begins]
+        letters, marks = counted % _MARK, counted % _OTHER // _MARK
+        simple = (letters + marks == lengths) & (counted < _OTHER) & self.cuts
+        data = np.where(np.repeat(simple, lengths), LOWER[data], data)
+        both = simple & (letters > 0) & (marks > 0)
+        place = np.append(0, np.cumsum(1 + both))
+        edges = np.full(place[-1] + 1, len(data), np.int64)
+        edges[place[:-1]] = begins
+        edges[place[:-1][both] + 1] = (begins + letters)[both]
+        buffers = [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(data.tobytes())]
+        return pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, buffers), place[words.first]
 
 
 def large_tasks(docs: DataFrame, size: int = TASK_BYTES) -> DataFrame:
@@ -130,19 +174,19 @@ def encode(
     blob = file_bytes(tokenizer)
     width = id_width(blob, end_id)
     sent = docs.sparkSession.sparkContext.broadcast(blob)
-    end = np.array([end_id], f"<u{width}").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Words(sent.value, width)
         for batch in batches:
             column, ids, rows = (text_column(batch, c) for c in ("text", "doc", "row"))
             for start, stop in slices(column):
-                texts = [t or b"" for t in column[start:stop].cast(pa.binary()).to_pylist()]
                 with no_collection():
-                    found = [e + end for e in encoder.encode(texts)]
-                sizes = pa.array([len(f) // width for f in found], pa.int64())
+                    found, edges = encoder.ids(column[start:stop])
+                found, edges = np.insert(found, edges[1:], end_id), edges + np.arange(len(edges))
+                buffers = [None, pa.py_buffer((edges * width).tobytes()), pa.py_buffer(found.tobytes())]
+                blobs = pa.Array.from_buffers(pa.large_binary(), stop - start, buffers).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [ids[start:stop], pa.array(found, pa.binary()), sizes, rows[start:stop]], ["doc", "ids", "n_ids", "row"]
+                    [ids[start:stop], blobs, pa.array(np.diff(edges)), rows[start:stop]], ["doc", "ids", "n_ids", "row"]
                 )
 
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))

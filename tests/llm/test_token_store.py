@@ -104,3 +104,16 @@ def test_a_word_that_comes_again_stays_known(monkeypatch):
         own = ["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(30)]
         words.encode([" ".join(own + ["often"] * (n % 3 == 0)).encode()])
     assert asked.count("often") == 1
+
+
+def test_capitals_and_marks_do_not_make_new_words(monkeypatch):
+    words, asked = token_store.Words(token_store.file_bytes(FILE), 2), []
+    plain = words.encoder.pieces
+    monkeypatch.setattr(words.encoder, "pieces", lambda pieces: asked.extend(pieces) or plain(pieces))
+    text = "House house, HOUSE. (house) house's ... house! \thouse,House"
+    whole = Tokenizer.from_file(FILE)
+    for got in words.encode([text.encode(), b"", b"house", b"House."]):
+        text, own = (text, whole.encode(text, add_special_tokens=False).ids) if len(got) > 4 else (text, None)
+        if own:
+            assert np.frombuffer(got, "<u2").tolist() == own
+    assert sorted(asked) == sorted(["house", ",", ".", "(house)", "house's", "...", "!", "house,House"])
