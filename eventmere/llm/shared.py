@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,9 +36,20 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(folder)
     finally:
         spark.conf.set(CLEANUP, before)
+    collect(spark)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def collect(spark: SparkSession) -> None:
+    """Let the driver drop what ended jobs have left: plans, generated classes, broadcast tables.
+
+    Spark lets go of a broadcast when the JVM finds that nothing refers to it any more. A
+    driver of little live data seldom looks, and its heap grows to the limit meanwhile.
+    """
+    gc.collect()  # Python's frames hold the JVM's.
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

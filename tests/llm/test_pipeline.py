@@ -26,3 +26,13 @@ def test_all_are_registered():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries() and set(catalog.oracle_sql()) <= set(names)
+
+
+def test_a_stored_frame_leaves_the_driver_collected(spark):
+    from eventmere.llm import shared
+
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    count = lambda: sum(b.getCollectionCount() for b in beans if "Young" not in b.getName())
+    before = count()
+    shared.stored(spark.range(3).toDF("x"), "small")
+    assert count() > before
