@@ -140,14 +140,16 @@ def _block_grams(column: pa.Array, held: np.ndarray):
         symbols, begins = symbols_of(read_words(column[start:stop], lower=True))
         spread = grams_of(symbols, begins) * SPREAD
         learned = np.repeat(~held[start:stop], np.diff(begins))
-        order = np.argsort(spread)
-        ordered = spread[order]
-        new = np.r_[True, ordered[1:] != ordered[:-1]] if len(ordered) else np.zeros(0, bool)
-        place = np.empty(len(spread), np.int32)
-        place[order] = np.cumsum(new) - 1
-        parts.append((ordered[new], place, begins))
-        keys.append(ordered[new])
-        counts.append(np.add.reduceat(learned[order], np.flatnonzero(new), dtype=np.int64) if len(ordered) else np.zeros(0, np.int64))
+        # Distinct grams are found by hashing, and only these are sorted.
+        encoded = pa.array(spread).dictionary_encode()
+        distinct = np.asarray(encoded.dictionary)
+        order = np.argsort(distinct)
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        place = rank[np.asarray(encoded.indices)]
+        parts.append((distinct[order], place, begins))
+        keys.append(distinct[order])
+        counts.append(np.bincount(place[learned], minlength=len(order)))
     join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
     keys = join(keys, np.uint64)
     return parts, exchange.grouped(keys, np.zeros_like(keys), join(counts, np.int64))

@@ -118,3 +118,22 @@ def test_contexts_stop_at_the_start_of_a_text():
 
 def test_empty_table(spark):
     assert suffix_tree.score_documents(frame(spark, [])).count() == 0
+
+
+def test_only_distinct_grams_are_sorted(monkeypatch):
+    column = pa.array([" ".join(prose(n % 5, 300)) for n in range(40)] + [None, ""] + [t for _, t in texts()])
+    held = np.arange(len(column)) % 3 == 0
+    sorted_lengths, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, *args, **named: sorted_lengths.append(len(a)) or argsort(a, *args, **named))
+    parts, (keys, _, counts) = suffix_tree._block_grams(column, held)
+    symbols, begins = suffix_tree.symbols_of(read_words(column, lower=True))
+    spread = suffix_tree.grams_of(symbols, begins) * suffix_tree.SPREAD
+    assert max(sorted_lengths) < len(symbols) / 2
+    ((own, place, _),) = parts
+    assert np.array_equal(own[place], spread) and np.array_equal(own, np.unique(spread)) and np.array_equal(keys, own)
+    learned = Counter(spread[np.repeat(~held, np.diff(begins))].tolist())
+    assert [learned[k] for k in keys.tolist()] == counts.tolist()
+    parts, (keys, _, counts) = suffix_tree._block_grams(column[:0], held[:0])
+    assert not parts and not len(keys) and not len(counts)
+    parts, (keys, _, counts) = suffix_tree._block_grams(pa.array([None, ""]), np.array([False, True]))
+    assert len(keys) == 1 and counts.tolist() == [1]
