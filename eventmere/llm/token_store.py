@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,7 +122,7 @@ class Words:
             return np.frombuffer(b"".join(found), kind), np.cumsum([0, *map(len, found)]) // self.width
         units, first = self._units(read_words(column))
         encoded = units.dictionary_encode()
-        asked = encoded.dictionary.to_pylist()
+        asked = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
         self.known.renew(KNOWN)
         known = self.known.new
         if new := self.known.absent(asked):
@@ -202,24 +203,31 @@ def _train(pieces: list[bytes]) -> bytes:
         return b"".join(pieces)[-DICTIONARY_BYTES:]
 
 
+def drawn(rows: np.ndarray, arrays: pa.Array, limit: np.uint64) -> list[bytes]:
+    """The pieces of some rows' serialized arrays whose lots, by row and place, are not above the limit."""
+    counts = -(-pc.binary_length(arrays).to_numpy(zero_copy_only=False).astype(np.int64) // PIECE_BYTES)
+    own = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts)
+    lots = mix(mix(rows.astype(np.uint64))[own] + place.astype(np.uint64))
+    hits = np.flatnonzero(lots <= limit)
+    return [
+        bytes(memoryview(arrays[n].as_buffer())[i * PIECE_BYTES : (i + 1) * PIECE_BYTES])
+        for n, i in zip(own[hits].tolist(), place[hits].tolist())
+    ]
+
+
 def train_dictionary(ids: DataFrame, width: int) -> bytes:
     """A dictionary from pieces of serialized arrays, each taken with the same chance.
 
     About ``SAMPLE_PIECES`` pieces reach the driver, whatever the corpus.
     """
-    whole = F.octet_length("ids")
-    total = ids.agg(F.sum(F.ceil(whole / PIECE_BYTES))).first()[0] or 0
+    # Its ids tell an array's length, so that the arrays themselves are read once.
+    total = ids.agg(F.sum(F.ceil(F.col("n_ids") * width / PIECE_BYTES))).first()[0] or 0
     limit = np.uint64(min(1.0, SAMPLE_PIECES / max(total, 1)) * float(2**64 - 2**11))
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for row, data in zip(batch.column("row").to_pylist(), batch.column("ids")):
-                data = memoryview(data.as_buffer())
-                at = np.arange(-(-len(data) // PIECE_BYTES), dtype=np.uint64)
-                with np.errstate(over="ignore"):
-                    lots = mix(mix(np.full(1, row, np.uint64)) + at)
-                found += [bytes(data[i * PIECE_BYTES : (i + 1) * PIECE_BYTES]) for i in np.flatnonzero(lots <= limit).tolist()]
+            found = drawn(np.asarray(batch.column("row")), batch.column("ids"), limit)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["piece"])
 
     pieces = ids.select("row", "ids").mapInArrow(draw, "piece binary").collect()

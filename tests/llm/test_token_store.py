@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -117,3 +118,18 @@ def test_capitals_and_marks_do_not_make_new_words(monkeypatch):
         if own:
             assert np.frombuffer(got, "<u2").tolist() == own
     assert sorted(asked) == sorted(["house", ",", ".", "(house)", "house's", "...", "!", "house,House"])
+
+
+def test_pieces_are_drawn_for_a_batch_at_once(monkeypatch):
+    monkeypatch.setattr(token_store, "PIECE_BYTES", 8)
+    arrays = pa.array([random.Random(n).randbytes(n % 37) for n in range(300)], pa.binary())[5:]
+    rows, limit, calls = np.arange(295) * 2**33, np.uint64(2**62), []
+    want = []
+    for row, data in zip(rows.tolist(), arrays.to_pylist()):
+        lots = token_store.mix(token_store.mix(np.full(1, row, np.uint64)) + np.arange(-(-len(data) // 8), dtype=np.uint64))
+        want += [data[i * 8 : i * 8 + 8] for i in np.flatnonzero(lots <= limit).tolist()]
+    mix = token_store.mix
+    monkeypatch.setattr(token_store, "mix", lambda values: calls.append(1) or mix(values))
+    assert token_store.drawn(rows, arrays, limit) == want and 0 < len(want) < 600
+    assert len(calls) == 2
+    assert token_store.drawn(rows[:0], arrays[:0], limit) == []
