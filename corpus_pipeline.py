@@ -12,6 +12,9 @@ are carried along, but for names the last stage uses for its own.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from eventmere.llm import leaks, near, personal, rules, segments, shared
@@ -49,12 +52,23 @@ def segmentation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return found.select(*kept, "segments", *segments.digest_columns())
 
 
+def in_small_batches(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The same stage, whose tasks share an executor's memory with their Python workers."""
+
+    @functools.wraps(stage)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        shared.small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
+
 STAGES = [
-    ("quality_rules", quality_rules),
-    ("minhash_near_dedup", near_dedup),
-    ("benchmark_decontamination", decontamination),
-    ("personal_data", personal_data),
-    ("sampled_segments", segmentation),
+    ("quality_rules", in_small_batches(quality_rules)),
+    ("minhash_near_dedup", in_small_batches(near_dedup)),
+    ("benchmark_decontamination", in_small_batches(decontamination)),
+    ("personal_data", in_small_batches(personal_data)),
+    ("sampled_segments", in_small_batches(segmentation)),
 ]
 
 

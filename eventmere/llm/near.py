@@ -129,7 +129,7 @@ def _sketches(docs: DataFrame) -> DataFrame:
                     ["_id", "n", "k0", "k1", "sketch"],
                 )
 
-    return docs.mapInArrow(sketch, "_id long, n long, k0 long, k1 long, sketch binary")
+    return docs.mapInArrow(shared.given_back(sketch), "_id long, n long, k0 long, k1 long, sketch binary")
 
 
 def _lists(sets: DataFrame, blocks: int, sketch: int, percent: int) -> DataFrame:
@@ -196,9 +196,9 @@ def _lists(sets: DataFrame, blocks: int, sketch: int, percent: int) -> DataFrame
         out = out.append_column("common", pa.array(common[listed], pa.float64()))
         return out.append_column("place", pa.array((rank + alone)[listed], pa.int64()))
 
-    sent = sets.select("id", "n", "s").mapInArrow(invert, "bucket int, v binary, i binary, n binary")
-    twice = sent.groupBy("bucket").applyInArrow(held_twice, "block int, value long, held long, id long, n long")
-    return twice.groupBy("block").applyInArrow(rarest, "value long, id long, n long, common double, place long")
+    sent = sets.select("id", "n", "s").mapInArrow(shared.given_back(invert), "bucket int, v binary, i binary, n binary")
+    twice = sent.groupBy("bucket").applyInArrow(shared.group_given_back(held_twice), "block int, value long, held long, id long, n long")
+    return twice.groupBy("block").applyInArrow(shared.group_given_back(rarest), "value long, id long, n long, common double, place long")
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -218,7 +218,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
                     ["id", "n", "s"],
                 )
 
-    return docs.join(ids, docs["_id"] == ids["id"], "left_semi").mapInArrow(read, "id long, n long, s binary")
+    return docs.join(ids, docs["_id"] == ids["id"], "left_semi").mapInArrow(shared.given_back(read), "id long, n long, s binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -233,7 +233,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     of = lambda side: sets.select(F.col("id").alias(side), F.col("s").alias(f"s{side}"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sa", "sb").mapInArrow(shared.given_back(check), "a long, b long")
 
 
 def _compatible(n: str, m: str, percent: int):

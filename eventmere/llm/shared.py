@@ -21,6 +21,10 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Text bytes one block of documents should hold: what one task has in memory.
 BLOCK_BYTES = 6_000_000
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of a batch that goes to a Python worker, and of a group after which its memory is given back.
+BATCH_BYTES, GROUP_BYTES = 8 << 20, 1 << 20
+
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The frame as a Parquet table in the folder all executors share.
@@ -94,7 +98,7 @@ def summed(rows: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size:
         total = sum(np.frombuffer(v) for v in table.column("v").to_pylist())
         return pa.table({"row": table.column("row")[:1], "v": pa.array([total.tobytes()], pa.binary())})
 
-    in_lanes = rows.mapInArrow(partial, "lane int, row int, v binary").groupBy("lane", "row").applyInArrow(add, "row int, v binary")
+    in_lanes = rows.mapInArrow(given_back(partial), "lane int, row int, v binary").groupBy("lane", "row").applyInArrow(add, "row int, v binary")
     found = in_lanes.groupBy("row").applyInArrow(add, "row int, v binary").collect()
     out = np.zeros((max((r["row"] for r in found), default=-1) + 1, size))
     for r in found:
@@ -111,14 +115,42 @@ def given_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch
     @functools.wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        release_memory()
+
+    return wrapped
+
+
+def group_given_back(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """The same function of a group, which returns its memory after every larger one."""
+
+    @functools.wraps(run)
+    def wrapped(table: pa.Table) -> pa.Table:
+        size, found = table.nbytes, run(table)
+        del table
+        if size > GROUP_BYTES:
+            release_memory()
+        return found
 
     return wrapped
 
 
+def release_memory() -> None:
+    """Return to the system what this Python process has free."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on let tasks and their Python workers exchange about ``BATCH_BYTES`` at a time, unless the session has its own limit.
+
+    Both sides hold a batch, the JVM's outside its heap and in buffers of up to twice its size.
+    """
+    if BATCH not in spark.conf.getAll:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
+
+
 def file_system(folder: str) -> tuple[fs.FileSystem, str]:
     """Arrow's file system of a folder, and the folder's path on it."""
     return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")

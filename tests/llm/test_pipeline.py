@@ -36,3 +36,33 @@ def test_a_stored_frame_leaves_the_driver_collected(spark):
     before = count()
     shared.stored(spark.range(3).toDF("x"), "small")
     assert count() > before
+
+
+def test_every_stage_bounds_what_workers_are_sent(spark):
+    from eventmere.llm import shared
+
+    for name, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(shared.BATCH)
+        try:
+            stage(spark, None, "")
+        except Exception:  # There are no documents; the limit comes first.
+            pass
+        assert int(spark.conf.get(shared.BATCH)) == shared.BATCH_BYTES, name
+    spark.conf.set(shared.BATCH, "1000")
+    shared.small_batches(spark)
+    assert spark.conf.get(shared.BATCH).startswith("1000")
+    spark.conf.unset(shared.BATCH)
+
+
+def test_a_large_group_gives_its_memory_back(monkeypatch):
+    import pyarrow as pa
+
+    from eventmere.llm import shared
+
+    given = []
+    monkeypatch.setattr(shared, "release_memory", lambda: given.append(1))
+    same = shared.group_given_back(lambda table: table)
+    for size, times in ((10, 0), (shared.GROUP_BYTES, 1)):
+        table = pa.table({"x": pa.array(range(size))})
+        assert same(table).equals(table) and len(given) == times
+    assert list(shared.given_back(iter)([1, 2])) == [1, 2] and len(given) == 2
